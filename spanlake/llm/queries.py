@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, url_reputation
+from . import fingerprints, packing, pii, url_reputation
 from .common import table
 
 
@@ -22,10 +22,20 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir, "documents")).drop("found")
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
         "op3_url_reputation": op3_url_reputation,
         "op7_packing": op7_packing,
+        "op8_pii": op8_pii,
+        "op9_fingerprints": op9_fingerprints,
     }
 
 
