@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, packing, pii, url_reputation
+from . import fingerprints, license_scan, packing, pii, quality_crf, url_reputation
 from .common import table
 
 
+def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_crf.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     host, _ = url_reputation.split_url(F.col("url"))
@@ -16,6 +20,10 @@ def op3_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge(pages, outcomes)
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -32,7 +40,9 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op2_quality_crf": op2_quality_crf,
         "op3_url_reputation": op3_url_reputation,
+        "op6_license_scan": op6_license_scan,
         "op7_packing": op7_packing,
         "op8_pii": op8_pii,
         "op9_fingerprints": op9_fingerprints,
