@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, license_scan, packing, pii, quality_crf, url_reputation
+from . import fingerprints, license_scan, near_dedup, packing, pii, quality_crf, toxicity, url_reputation
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op3_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge(pages, outcomes)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -38,14 +42,20 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 def queries() -> dict:
     return {
         "op2_quality_crf": op2_quality_crf,
         "op3_url_reputation": op3_url_reputation,
+        "op4_toxicity": op4_toxicity,
         "op6_license_scan": op6_license_scan,
         "op7_packing": op7_packing,
         "op8_pii": op8_pii,
         "op9_fingerprints": op9_fingerprints,
+        "op10_near_dedup": op10_near_dedup,
     }
 
 
