@@ -1,8 +1,62 @@
-"""Corpus pipeline."""
+"""Corpus pipeline: quality, line dedup, near-duplicates, decontamination, packing.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns what it kept, with the columns of ``documents`` (the last one
+its packed pieces).  ``run`` writes each stage's rows to the shared folder and reads them back for the next.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from spanlake.llm import decontaminate, line_dedup, near_dedup, packing, quality_crf
+from spanlake.llm.common import scratch, table
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier doesn't reject (score of at least 1/2)."""
+    model = quality_crf.quality_model(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality_crf.score(docs, model, docs.columns).where("score >= 0.5").drop("score")
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without lines that an earlier line of the corpus matches; ``n_chars`` follows the text."""
+    kept = line_dedup.dedup_lines(docs).select(docs.columns)
+    return kept.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the least doc_id, of each group of near-duplicates (five words, similarity 0.8)."""
+    gone = near_dedup.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no copy of a benchmark item."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' tokens in windows of 2048."""
+    import public_tokenizers
+
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("line dedup", lines),
+    ("MinHash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("packing", pack),
+]
+
+#: The classifier, the alignment and the packing have no SQL form; tests hold stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = scratch(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -219,3 +219,18 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     out = sk.select("doc_id", "n_shingles", "cls").join(found, "cls", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def oracle(k: int, percent: int) -> str:
+    """DuckDB SQL for ``near_duplicates`` over ``documents``: shared shingles counted for each pair, then closure."""
+    shingle = " || ' ' || ".join(f"w[i + {j}]" for j in range(1, k + 1))
+    return f"""
+with recursive d as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') w from documents),
+s as (select doc_id, case when len(w) = 0 then [] when len(w) < {k} then [array_to_string(w, ' ')] else list_distinct(list_transform(range(len(w) - {k - 1}), lambda i: {shingle})) end s from d),
+e as (select doc_id, unnest(s) h from s),
+p as (select a.doc_id a, b.doc_id b, count(*) n from e a join e b on a.h = b.h and a.doc_id < b.doc_id group by all),
+l as (select a, b from p join s x on x.doc_id = a join s y on y.doc_id = b where 100 * n >= {percent} * (len(x.s) + len(y.s) - n)),
+u as (select a, b from l union all select b, a from l),
+r as (select doc_id node, doc_id root from s union select u.b, r.root from r join u on u.a = r.node)
+select doc_id, cast(len(s) as bigint) n_shingles, c component_id, doc_id = c kept from s join (select node, min(root) c from r group by node) on node = doc_id
+"""

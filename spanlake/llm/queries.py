@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, license_scan, near_dedup, packing, pii, quality_crf, toxicity, url_reputation
+from . import decontaminate, fingerprints, license_scan, line_dedup, near_dedup, packing, pii, quality_crf, toxicity, url_reputation
 from .common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_crf.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -24,6 +28,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -48,9 +56,11 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_line_dedup": op1_line_dedup,
         "op2_quality_crf": op2_quality_crf,
         "op3_url_reputation": op3_url_reputation,
         "op4_toxicity": op4_toxicity,
+        "op5_decontamination": op5_decontamination,
         "op6_license_scan": op6_license_scan,
         "op7_packing": op7_packing,
         "op8_pii": op8_pii,
@@ -60,4 +70,8 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_reputation": url_reputation.ORACLE}
+    return {
+        "op1_line_dedup": line_dedup.ORACLE,
+        "op3_url_reputation": url_reputation.ORACLE,
+        "op10_near_dedup": near_dedup.oracle(3, 85),
+    }
