@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from . import core, more
+
+QUERIES = {**core.QUERIES, **more.QUERIES}
+ORACLES = {**core.ORACLES, **more.ORACLES}
