@@ -44,6 +44,13 @@ def drop_scratch(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Send at most ``rows`` rows at once to Python: ten thousand whole texts are a worker's memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the third of the documents that no model may learn from."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))

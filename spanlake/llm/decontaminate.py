@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 WORD = re.compile(r"\w+")
 SEED = 3
 #: Characters of items in a block, which bounds what a task holds.
@@ -173,6 +175,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, least: float = 0.5,
     give a row for each that hits; repeated rows repeat their hits; an empty table gives an empty result.
     Whole texts are read twice for each block and never shuffled.
     """
+    small_batches(documents.sparkSession)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
     for index in _blocks(benchmark, block_chars):

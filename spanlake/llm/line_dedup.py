@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_scratch, scratch
+from .common import drop_scratch, scratch, small_batches
 
 TOKEN = re.compile(r"\w+")
 #: Commonest tokens whose counts order the rest; all others count as rarer.  It bounds what is sent to tasks
@@ -151,6 +151,7 @@ def later_matches(classes: DataFrame, percent: int, growth: int = 16) -> DataFra
 
 def find_duplicates(documents: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, version, removed (sorted line numbers from 0): documents that lose lines."""
+    small_batches(documents.sparkSession)
     rows = _lines(documents, True)
     top = documents.agg(F.min("doc_id"), F.max("doc_id")).first()
     low, high = (0, 0) if top[0] is None else top

@@ -23,12 +23,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, drop_scratch, scratch
+from .common import connected_components, drop_scratch, scratch, small_batches
 
 ROWS, BANDS = 8, 48
 T = ROWS * BANDS
 #: Word hashes that a task keeps; the store is emptied when it is full.
-STORE = 300_000
+STORE = 100_000
+#: Shingles in the sets that a verifying task keeps at hand.
+SETS = 200_000
 _U = np.uint64
 
 
@@ -131,13 +133,18 @@ def verifier(texts: DataFrame, k: int, percent: int) -> Callable[[DataFrame], Da
 
     def run(batches):
         sets: dict[str, frozenset] = {}
+        held = 0
 
         def of(text):
-            if text not in sets:
-                if len(sets) > 64:
+            nonlocal held
+            found = sets.get(text)
+            if found is None:
+                if held > SETS:
                     sets.clear()
-                sets[text] = shingle_set(words_of(text), k)
-            return sets[text]
+                    held = 0
+                found = sets[text] = shingle_set(words_of(text), k)
+                held += len(found)
+            return found
 
         for pdf in batches:
             ok = []
@@ -154,16 +161,23 @@ def verifier(texts: DataFrame, k: int, percent: int) -> Callable[[DataFrame], Da
     return verify
 
 
+def shared_keys(members: DataFrame) -> DataFrame:
+    """The ``members(key, node)`` whose key has several, written to shared storage."""
+    shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    return scratch(members.join(shared, "key").select("key", "node"), "shared")
+
+
 def link_by_hubs(members: DataFrame, verify: Callable[[DataFrame], DataFrame], growth: int = 8) -> DataFrame:
     """Components (node, component) of the verified pairs among ``members(key, node)`` of common keys.
 
+    ``members`` holds keys of several nodes only, see ``shared_keys``; it is deleted when it is used up.
+
     Each round takes hubs (the least node of each of ``many`` hashed parts of a key that hasn't been one),
     pairs them with the members that haven't been hubs and are in other components, and verifies new pairs.
     A key leaves when all its members are in one component or have been hubs.
     """
     spark = members.sparkSession
-    shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    rest = scratch(members.join(shared, "key").select("key", "node", F.lit(False).alias("done"), F.col("node").alias("label")), "members")
+    rest = members.select("key", "node", F.lit(False).alias("done"), F.col("node").alias("label"))
     edges = spark.createDataFrame([], "a long, b long")
     tested = spark.createDataFrame([], "a long, b long")
     components = spark.createDataFrame([], "node long, component long")
@@ -188,7 +202,7 @@ def link_by_hubs(members: DataFrame, verify: Callable[[DataFrame], DataFrame], g
         after = after.join(components, "node", "left").select("key", "node", "done", F.coalesce("component", "node").alias("label"))
         open_keys = after.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("done").alias("all_done")).where("lo < hi and not all_done").select("key")
         left = scratch(after.join(open_keys, "key"), "members")
-        drop_scratch(rest)
+        drop_scratch(members if many == 1 else rest)
         rest, many = left, many * growth
     return components
 
@@ -200,16 +214,16 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     with nothing; fewer than ``k`` words are one shingle.  Rows of one doc_id are one document.  A null doc_id is in
     no component and is kept.  An empty table gives an empty result; other columns are ignored.
     """
+    small_batches(documents.sparkSession)
     sk = scratch(sketches(documents, k), "sketches")
     classes = sk.where("cls is not null and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("node"))
     classes = scratch(classes, "classes")
     reps = sk.where("cls is not null").join(classes, "cls").where("doc_id = node").select("node", "keys")
-    members = reps.select("node", F.explode("keys").alias("key")).distinct()
+    members = shared_keys(reps.select("node", F.explode("keys").alias("key")))
     # a document whose rows hold several texts ties their classes together
     ties = sk.where("cls is not null").join(classes, "cls").where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     own = ties.join(classes.select(F.col("node").alias("a")).distinct(), "a", "left_semi")
-    wanted = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    held = members.join(wanted.select("key"), "key").select("node").distinct()
+    held = members.select("node").distinct()
     texts = scratch(documents.select(F.col("doc_id").cast("long").alias("node"), "text").where("text is not null").join(held, "node"), "texts")
     components = link_by_hubs(members, verifier(texts, k, percent))
     if not own.isEmpty():
