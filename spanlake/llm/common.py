@@ -25,11 +25,13 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch(df: DataFrame, tag: str) -> DataFrame:
     """Cut lineage: write ``df`` to the shared folder once and read it back.
 
-    A written table survives lost executors and is computed once, unlike a cache.
+    A written table survives lost executors and is computed once, unlike a cache.  The shuffle files of finished
+    steps go from the executors' disks as soon as the driver's collector finds that nothing refers to them.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/spanlake/{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
@@ -30,6 +31,8 @@ TOKEN = re.compile(r"\w+")
 #: and changes only how long lists are, never a result.
 ORDERED = 50_000
 LINE_BITS = 20
+#: Size of the table of shared tokens (16 MB of bits), and the seed that its hash has in SQL.
+BITS, SEED = 27, 42
 
 
 def line_tokens(line: str) -> list[str]:
@@ -42,7 +45,7 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def _lines(documents: DataFrame, with_tokens: bool) -> DataFrame:
+def _lines(documents: DataFrame) -> DataFrame:
     """First line of each class in each document: doc_id, version (hash of the text), line, more (its later lines), cls, n, toks."""
 
     def run(batches):
@@ -60,7 +63,7 @@ def _lines(documents: DataFrame, with_tokens: bool) -> DataFrame:
                             else:
                                 held[1].append(i)
                     for joined, (i, more, n) in first.items():
-                        out.append((doc, version, i, more, xxhash.xxh3_128_digest(joined.encode("utf-8", "surrogatepass")), n, joined if with_tokens else None))
+                        out.append((doc, version, i, more, xxhash.xxh3_128_digest(joined.encode("utf-8", "surrogatepass")), n, joined))
                 yield pd.DataFrame(out, columns=["doc_id", "version", "line", "more", "cls", "n", "toks"])
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null and text <> ''")
@@ -68,8 +71,8 @@ def _lines(documents: DataFrame, with_tokens: bool) -> DataFrame:
     return docs.mapInPandas(run, "doc_id long, version long, line int, more array<int>, cls binary, n int, toks string")
 
 
-def token_counts(classes: DataFrame, most: int = ORDERED) -> dict[str, int]:
-    """The ``most`` commonest tokens of all classes with their counts."""
+def token_counts(classes: DataFrame) -> DataFrame:
+    """Tokens that several classes hold: token, c (their number)."""
 
     def run(batches):
         seen = Counter()
@@ -81,69 +84,95 @@ def token_counts(classes: DataFrame, most: int = ORDERED) -> dict[str, int]:
                 seen.clear()
         yield pd.DataFrame({"token": [*seen], "c": [*seen.values()]})
 
-    counted = classes.select("toks").mapInPandas(run, "token string, c long").groupBy("token").agg(F.sum("c").alias("c"))
-    return {r["token"]: r["c"] for r in counted.where("c > 1").orderBy(F.desc("c"), "token").limit(most).collect()}
+    return classes.select("toks").mapInPandas(run, "token string, c long").groupBy("token").agg(F.sum("c").alias("c")).where("c > 1")
 
 
-def postings(classes: DataFrame, counts: dict[str, int], percent: int) -> DataFrame:
-    """Prefix postings: key (token hash), id, n, pos (place in the global order)."""
-    shared = classes.sparkSession.sparkContext.broadcast(counts)
+def token_key(token: str) -> int:
+    return xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass"), SEED)
+
+
+def shared_bits(counts: DataFrame) -> bytes:
+    """A bit for each hash value that a shared token has: 2**BITS bits, whatever the number of tokens.
+
+    A token whose bit is off is in one class only and needs no posting; on a full table the bits only stop saving work.
+    """
+    place = F.xxhash64("token").bitwiseAND(F.lit((1 << BITS) - 1).cast("long"))
+    words = counts.select(F.shiftright(place, 6).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast({(1 << 6) - 1} & xxhash64(token) as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
+    out = np.zeros(1 << (BITS - 6), np.int64)
+    found = words.toPandas()
+    out[found["w"].to_numpy()] = found["b"].to_numpy()
+    return out.astype("<i8").tobytes()
+
+
+def postings(classes: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
+    """Prefix postings of shared tokens: key (token hash), id, n, pos (place in the global order)."""
+    context = classes.sparkSession.sparkContext
+    common = {r["token"]: r["c"] for r in counts.orderBy(F.desc("c"), "token").limit(ORDERED).collect()}
+    sent = context.broadcast((common, shared_bits(counts)))
 
     def run(batches):
-        get = shared.value.get
+        common, bits = sent.value
+        get, mask = common.get, (1 << BITS) - 1
         for pdf in batches:
-            for a in range(0, len(pdf), 5000):
-                part = pdf.iloc[a : a + 5000]
-                key, ids, size, pos = [], [], [], []
-                for i, toks in zip(part["id"], part["toks"]):
-                    t = sorted((get(x, 0), x) for x in toks.split(" "))
-                    p = prefix_length(len(t), percent)
-                    key += [xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63) for _, x in t[:p]]
-                    ids += [i] * p
-                    size += [len(t)] * p
-                    pos += range(p)
-                yield pd.DataFrame({"key": key, "id": ids, "n": size, "pos": pos}).astype("int64")
+            key, ids, size, pos = [], [], [], []
+            for i, toks in zip(pdf["id"], pdf["toks"]):
+                t = toks.split(" ")
+                n = len(t)
+                for at, x in enumerate(sorted(t, key=lambda x: (get(x, 0), x))[: prefix_length(n, percent)]):
+                    k = token_key(x)
+                    if bits[(k & mask) >> 3] >> (k & 7) & 1:
+                        key.append(k)
+                        ids.append(i)
+                        size.append(n)
+                        pos.append(at)
+            yield pd.DataFrame({"key": np.array(key, np.uint64).view(np.int64), "id": np.array(ids, np.int64), "n": np.array(size, np.int32), "pos": np.array(pos, np.int32)})
 
     # a set of fewer than `least` tokens can be similar only to an equal one
     least = 1
     while (least + 1) * percent > least * 100:
         least += 1
-    return classes.where(F.col("n") >= least).select("id", "toks").mapInPandas(run, "key long, id long, n long, pos long")
+    return classes.where(F.col("n") >= least).select("id", "toks").mapInPandas(run, "key long, id long, n int, pos int")
 
 
 def later_matches(classes: DataFrame, percent: int, growth: int = 16) -> DataFrame:
     """Ids of the classes(id, n, toks) to which an earlier class (of a lower id) is similar."""
     spark = classes.sparkSession
-    lists = postings(classes, token_counts(classes), percent)
-    lists = scratch(lists, "postings")
-    several = lists.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    rest = scratch(lists.join(several, "key").withColumn("done", F.lit(False)).withColumn("matched", F.lit(False)), "lists")
+    counts = scratch(token_counts(classes), "counts")
+    lists = scratch(postings(classes, counts, percent), "postings")
+    drop_scratch(counts)
+    several = lists.groupBy("key").agg(F.count("*").cast("int").alias("c")).where("c > 1")
+    rest = scratch(lists.join(several, "key").withColumn("done", F.lit(False)), "lists")
     drop_scratch(lists)
     matched = spark.createDataFrame([], "id long")
     tested = spark.createDataFrame([], "a long, b long")
     sets = classes.select("id", "toks")
-    many = 1
+    many, tried = 1, 0
     while not rest.isEmpty():
+        # the hubs of a list travel as one array of at most `many`
         part = F.pmod(F.xxhash64("id"), F.lit(many))
-        hubs = rest.where("not done").groupBy("key", part.alias("part")).agg(F.min("id").alias("id")).select("key", "id")
-        hub = hubs.join(rest.select("key", "id", "n", "pos"), ["key", "id"]).select("key", F.col("id").alias("a"), F.col("n").alias("an"), F.col("pos").alias("ap"))
-        fits = F.expr(
-            f"a < id and not matched and least(n, an) * 100 >= {percent} * greatest(n, an)"
-            f" and least(n - pos, an - ap) * {100 + percent} >= {percent} * (n + an)"
+        hubs = rest.where("not done").groupBy("key", part.alias("part")).agg(F.min("id").alias("a"), F.min_by("n", "id").alias("an"), F.min_by("pos", "id").alias("ap"))
+        hubs = hubs.groupBy("key").agg(F.collect_list(F.struct("a", "an", "ap")).alias("hubs"))
+        dealt = rest.join(hubs, "key")
+        open_ids = dealt.join(matched, "id", "left_anti") if tried else dealt
+        fits = (
+            f"filter(hubs, h -> h.a < id and least(n, h.an) * 100 >= {percent} * greatest(n, h.an)"
+            f" and least(n - pos, h.an - h.ap) * {100 + percent} >= {percent} * (n + h.an))"
         )
-        pairs = rest.join(hub, "key").where(fits).select("a", F.col("id").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
+        pairs = open_ids.select(F.explode(F.expr(fits)).alias("h"), F.col("id").alias("b")).select("h.a", "b").distinct()
+        if tried:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
         both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", F.split("x", " ").alias("x"), F.split("y", " ").alias("y"))
         overlap = F.size(F.array_intersect("x", "y"))
         judged = scratch(both.select("a", "b", (overlap * (100 + percent) >= percent * (F.size("x") + F.size("y"))).alias("ok")), "judged")
         tested = tested.union(judged.where("not ok").select("a", "b"))
         matched = scratch(matched.union(judged.where("ok").select(F.col("b").alias("id"))).distinct(), "matched")
-        after = (
-            rest.drop("matched").join(hubs.withColumn("_hub", F.lit(True)), ["key", "id"], "left")
-            .withColumn("done", F.col("done") | F.coalesce("_hub", F.lit(False))).drop("_hub")
-            .join(matched.withColumn("matched", F.lit(True)), "id", "left").withColumn("matched", F.coalesce("matched", F.lit(False)))
-        )
+        tried += many
+        # a list of two is settled by its one hub
+        done = F.col("done") | F.exists("hubs", lambda h: h["a"] == F.col("id"))
+        after = dealt.where("c > 2" if many == 1 else "true").select("key", "id", "n", "pos", "c", done.alias("done"))
+        after = after.join(matched.withColumn("matched", F.lit(True)), "id", "left").withColumn("matched", F.coalesce("matched", F.lit(False)))
         bound = after.groupBy("key").agg(F.max(F.when(~F.col("matched"), F.col("id"))).alias("last"), F.min(F.when(~F.col("done"), F.col("id"))).alias("next")).where("next < last")
-        left = scratch(after.join(bound.select("key", "last"), "key").where("id <= last and not (done and matched)").drop("last").select("key", "id", "n", "pos", "done", "matched"), "lists")
+        left = scratch(after.join(bound.select("key", "last"), "key").where("id <= last and not (done and matched)").select("key", "id", "n", "pos", "c", "done"), "lists")
         drop_scratch(rest)
         rest, many = left, many * growth
     return matched
@@ -152,7 +181,7 @@ def later_matches(classes: DataFrame, percent: int, growth: int = 16) -> DataFra
 def find_duplicates(documents: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, version, removed (sorted line numbers from 0): documents that lose lines."""
     small_batches(documents.sparkSession)
-    rows = _lines(documents, True)
+    rows = scratch(_lines(documents), "lines")
     top = documents.agg(F.min("doc_id"), F.max("doc_id")).first()
     low, high = (0, 0) if top[0] is None else top
     if high - low >= 1 << (62 - LINE_BITS):
@@ -162,7 +191,7 @@ def find_duplicates(documents: DataFrame, percent: int = 80) -> DataFrame:
     classes = scratch(classes, "classes")
     matched = later_matches(classes, percent).withColumn("gone", F.lit(True))
     verdict = classes.select("cls", "id").join(matched, "id", "left").select("cls", "id", F.coalesce("gone", F.lit(False)).alias("gone"))
-    own = _lines(documents, False).select("doc_id", "version", "line", "more", "cls", place.alias("_place"))
+    own = rows.select("doc_id", "version", "line", "more", "cls", place.alias("_place"))
     lost = (
         own.join(verdict, "cls").withColumn("self", F.col("gone") | (F.col("_place") != F.col("id")))
         .where("self or size(more) > 0")
