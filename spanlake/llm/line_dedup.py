@@ -82,7 +82,8 @@ def token_counts(classes: DataFrame) -> DataFrame:
             if len(seen) > 500_000:
                 yield pd.DataFrame({"token": [*seen], "c": [*seen.values()]})
                 seen.clear()
-        yield pd.DataFrame({"token": [*seen], "c": [*seen.values()]})
+        if seen:
+            yield pd.DataFrame({"token": [*seen], "c": [*seen.values()]})
 
     return classes.select("toks").mapInPandas(run, "token string, c long").groupBy("token").agg(F.sum("c").alias("c")).where("c > 1")
 
