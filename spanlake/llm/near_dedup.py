@@ -9,7 +9,7 @@ shares none with probability (1 - 0.85**8)**48 = 2e-7, a pair at 0.5 shares one
 
 Texts with the same words are one class and go on as one document.  In a bucket, hubs are tried against the
 members of other components instead of all pairs: first one hub, then ever more, until each member of a bucket
-that still spans several components has been a hub.  Only pairs that some bucket holds and no component
+that still spans several components has been a hub (large buckets: block against block).  Only pairs that some bucket holds and no component
 already joins are verified, each once and on full shingle sets, so components are those of all pairs in common buckets.
 """
 
@@ -167,14 +167,16 @@ def shared_keys(members: DataFrame) -> DataFrame:
     return scratch(members.join(shared, "key").select("key", "node"), "shared")
 
 
-def link_by_hubs(members: DataFrame, verify: Callable[[DataFrame], DataFrame], growth: int = 8) -> DataFrame:
+def link_by_hubs(members: DataFrame, verify: Callable[[DataFrame], DataFrame], by_blocks: Callable[[DataFrame], DataFrame], growth: int = 8, crowd: int = 64) -> DataFrame:
     """Components (node, component) of the verified pairs among ``members(key, node)`` of common keys.
 
     ``members`` holds keys of several nodes only, see ``shared_keys``; it is deleted when it is used up.
 
     Each round takes hubs (the least node of each of ``many`` hashed parts of a key that hasn't been one),
     pairs them with the members that haven't been hubs and are in other components, and verifies new pairs.
-    A key leaves when all its members are in one component or have been hubs.
+    A key leaves when all its members are in one component or have been hubs.  After the first round, keys that still
+    have over ``crowd`` members to try are joined to clusters, and each cluster's pairs are searched block by block (``by_blocks``), which
+    returns links without emitting pairs.
     """
     spark = members.sparkSession
     rest = members.select("key", "node", F.lit(False).alias("done"), F.col("node").alias("label"))
@@ -198,16 +200,84 @@ def link_by_hubs(members: DataFrame, verify: Callable[[DataFrame], DataFrame], g
         if not new.isEmpty():
             edges = edges.union(new)
             components = scratch(connected_components(edges), "components")
-        after = rest.drop("label").join(hubs.withColumn("_hub", F.lit(True)), ["key", "node"], "left").select("key", "node", (F.col("done") | F.coalesce("_hub", F.lit(False))).alias("done"))
-        after = after.join(components, "node", "left").select("key", "node", "done", F.coalesce("component", "node").alias("label"))
-        open_keys = after.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("done").alias("all_done")).where("lo < hi and not all_done").select("key")
-        left = scratch(after.join(open_keys, "key"), "members")
+        done = rest.drop("label").join(hubs.withColumn("_hub", F.lit(True)), ["key", "node"], "left").select("key", "node", (F.col("done") | F.coalesce("_hub", F.lit(False))).alias("done"))
+
+        def still_open(after: DataFrame, components: DataFrame) -> DataFrame:
+            after = after.join(components, "node", "left").select("key", "node", "done", F.coalesce("component", "node").alias("label"))
+            keys = after.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("done").alias("all_done"), F.count_if(~F.col("done")).alias("todo"))
+            return after.join(keys.where("lo < hi and not all_done").select("key", "todo"), "key")
+
+        left = scratch(still_open(done, components), "members")
         drop_scratch(members if many == 1 else rest)
-        rest, many = left, many * growth
+        if many == 1:
+            crowded = left.where(F.col("todo") > crowd)
+            if not crowded.isEmpty():
+                edges = edges.union(scratch(by_blocks(crowded.select("key", "node", "label")), "blocks"))
+                components = scratch(connected_components(edges), "components")
+                small = scratch(still_open(left.where(F.col("todo") <= crowd).select("key", "node", "done"), components), "members")
+                drop_scratch(left)
+                left = small
+        rest, many = left.drop("todo"), many * growth
     return components
 
 
-def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+#: Documents of a block.
+BLOCK = 256
+
+
+def block_search(texts: DataFrame, k: int, percent: int) -> Callable[[DataFrame], DataFrame]:
+    """Crowded ``members(key, node, label)`` -> links (a, b) that join all their components.
+
+    Keys that share nodes are one cluster.  A cluster of n documents is dealt into n / BLOCK blocks by hash; every pair of blocks is
+    one group of at most about 2 BLOCK texts, whatever n, so no task holds a cluster.  A group looks for pairs of different
+    labels in an inverted index of its shingles and gives one link for each two labels that it joins.
+    """
+
+    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+        sketcher = Sketcher(k)
+        nodes, labels, blocks = pdf["node"].tolist(), pdf["label"].tolist(), pdf["block"].tolist()
+        sets = [sketcher.shingles(words_of(t)) for t in pdf["text"]]
+        one = blocks.count(blocks[0]) == len(blocks)
+        root: dict = {x: x for x in labels}
+
+        def find(x):
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        values, place = np.unique(np.concatenate(sets), return_inverse=True)
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        order = np.argsort(place, kind="stable")
+        starts = np.searchsorted(place[order], np.arange(len(values) + 1))
+        sizes = np.array([len(s) for s in sets])
+        out, at = [], 0
+        for i, s in enumerate(sets):
+            own = place[at : at + len(s)]
+            at += len(s)
+            hit = np.concatenate([owner[order[starts[p] : starts[p + 1]]] for p in own]) if len(own) else own
+            both = np.bincount(hit, minlength=len(sets))
+            for j in np.flatnonzero(100 * both >= percent * (sizes + sizes[i] - both)).tolist():
+                if j < i and (one or blocks[i] != blocks[j]) and find(labels[i]) != find(labels[j]):
+                    if len(p := shingle_set(words_of(pdf["text"].iloc[i]), k)) and 100 * len(p & (q := shingle_set(words_of(pdf["text"].iloc[j]), k))) >= percent * len(p | q):
+                        root[find(labels[i])] = find(labels[j])
+                        out.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    def by_blocks(crowded: DataFrame) -> DataFrame:
+        star = crowded.join(crowded.groupBy("key").agg(F.min("node").alias("low")), "key").select(F.col("node").alias("a"), F.col("low").alias("b"))
+        cluster = connected_components(star).withColumnRenamed("component", "cluster")
+        nodes = crowded.select("node", "label").distinct().join(cluster, "node")
+        n = nodes.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
+        dealt = nodes.join(n, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("n")).cast("int"))
+        other = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other"))
+        pairs = other.select("cluster", "node", "label", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+        return pairs.join(texts, "node").groupBy("cluster", "i", "j").applyInPandas(search, "a long, b long")
+
+    return by_blocks
+
+
+def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, crowd: int = 64) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable by links of ``percent`` %), kept.
 
     One row for each row of ``documents``.  A null or empty text, or one without words, has no shingles and is linked
@@ -225,7 +295,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     own = ties.join(classes.select(F.col("node").alias("a")).distinct(), "a", "left_semi")
     held = members.select("node").distinct()
     texts = scratch(documents.select(F.col("doc_id").cast("long").alias("node"), "text").where("text is not null").join(held, "node"), "texts")
-    components = link_by_hubs(members, verifier(texts, k, percent))
+    components = link_by_hubs(members, verifier(texts, k, percent), block_search(texts, k, percent), crowd=crowd)
     if not own.isEmpty():
         linked = components.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
         components = connected_components(linked.union(own))
