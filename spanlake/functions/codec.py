@@ -9,7 +9,7 @@ NODE_BITS = 29
 NODE_MASK = (1 << NODE_BITS) - 1
 
 #: Genome names and the names they are filed under.
-GENOME_NAMES = {"CHM13": "hs1", "T2T-CHM13v2.0": "hs1", "GRCh38": "hg38", "GRCh37": "hg19", "GRCm39": "mm39", "GRCm38": "mm10"}
+GENOME_NAMES = {"CHM13": "hs1", "GRCh38": "hg38", "GRCm39": "mm39"}
 #: Junction types by bit.
 JUNCTION_BITS = {"proper": 0, "deletion": 1, "duplication": 2, "inversion": 4, "translocation": 8}
 JUNCTION_LABELS = {"deletion": "del", "duplication": "dup", "inversion": "inv", "translocation": "trans", "intergenome": "int-gen"}

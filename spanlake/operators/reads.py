@@ -103,11 +103,45 @@ def deduplicated_coverage(alignments: DataFrame) -> DataFrame:
     return once.groupBy("sample_bit").agg(F.count("*").alias("n_alns"), F.sum("n").alias("n_alns_before"), F.sum("ref_span").alias("n_bases"))
 
 
-def endpoints(alignments: DataFrame, adapter: int = 34, untrimmed: bool = False) -> DataFrame:
-    """Tally of the 5' ends of reads: chrom_index1, site_pos1 (1 at least), n_observed.
+def endpoints(alignments: DataFrame, min_mapq: int = 0, clip_tolerance: int = 1_000_000, ont_adapter: int | None = None) -> DataFrame:
+    """Tally of site positions that read ends suggest: chrom_index1, site_pos1 (1 at least), n_observed.
 
-    The end moves outward by the clipped bases (less the adapter if it is still there).
+    Every read gives its first alignment's 5' end, and its last one's 3' end where ``informative3`` holds.  A site is the first
+    base after the cut, so ends on the right side of an alignment count one further.  Clipped bases (clip5, clip3) move the
+    end outward; low mapq or more clipping than tolerated drops it.  With ``ont_adapter``, a 5' end whose adapter wasn't trimmed
+    (``trim5`` 0) moves back by that many bases.
     """
-    clip = F.greatest(F.col("clip5") - adapter, F.lit(0)) if untrimmed else F.col("clip5")
-    pos = F.when(F.col("strand0") == 0, F.col("pos1") - clip).otherwise(F.col("pos1") + F.col("ref_span") + clip)
-    return alignments.where("aln_i = 0").groupBy("chrom_index1", F.greatest(pos, F.lit(1).cast("bigint")).alias("site_pos1")).agg(F.count("*").alias("n_observed"))
+    w = Window.partitionBy("qname")
+    rows = alignments.withColumn("_last", F.max("aln_i").over(w))
+    right = F.col("pos1") + F.col("ref_span")
+    forward = F.col("strand0") == 0
+
+    def side(end: int, where) -> DataFrame:
+        leftward = forward if end == 5 else ~forward
+        outward = F.when(leftward, -1).otherwise(1)
+        clip = F.col(f"clip{end}")
+        pos = F.greatest(F.when(leftward, F.col("pos1")).otherwise(right) + outward * clip, F.lit(1).cast("bigint"))
+        if ont_adapter and end == 5:
+            pos = F.when(F.col("trim5") == 0, F.greatest(pos - outward * ont_adapter, F.lit(1).cast("bigint"))).otherwise(pos)
+        return rows.where(where & (F.col("mapq") >= min_mapq) & (clip <= clip_tolerance)).select("chrom_index1", pos.cast("bigint").alias("site_pos1"))
+
+    both = side(5, F.col("aln_i") == 0).unionByName(side(3, (F.col("aln_i") == F.col("_last")) & F.col("informative3")))
+    return both.groupBy("chrom_index1", "site_pos1").agg(F.count("*").alias("n_observed"))
+
+
+def alignment_segments(alignments: DataFrame, expecting_sites: bool = False) -> DataFrame:
+    """Fragment segments: 5' and 3' positions, projected 3' position, number of junctions of the read.
+
+    With restriction sites at read ends (``site5_pos1``, ``proj3_pos1``) the outer positions are the sites', less 1 where the
+    site's first base lies beyond the fragment.
+    """
+    last = F.max("aln_i").over(Window.partitionBy("qname"))
+    right = F.col("pos1") + F.col("ref_span") - 1
+    reverse = F.col("strand0") == 1
+    pos5, pos3 = F.when(reverse, right).otherwise(F.col("pos1")), F.when(reverse, F.col("pos1")).otherwise(right)
+    rows = alignments.withColumn("n_jxns", last)
+    proj3 = pos3
+    if expecting_sites:
+        pos5 = F.when(F.col("aln_i") == 0, F.col("site5_pos1") - F.col("strand0")).otherwise(pos5)
+        proj3 = F.when(F.col("aln_i") == F.col("n_jxns"), F.col("proj3_pos1") - (1 - F.col("strand0"))).otherwise(pos3)
+    return rows.select("qname", "aln_i", "chrom_index1", pos5.alias("ref_pos5"), pos3.alias("ref_pos3"), proj3.alias("ref_proj3"), "strand0", "n_jxns")

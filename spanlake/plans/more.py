@@ -34,10 +34,22 @@ def a1_counters(spark, sf):
     return reports.counter(fx.alignments(spark, sf), "chrom_index1", "strand0")
 
 
-@query("""select chrom_index1, greatest(case when strand0 = 0 then pos1 - c else pos1 + ref_span + c end, 1)::bigint site_pos1, count(*) n_observed
-  from (select *, greatest(mapq - 34, 0) c from fx_aln where aln_i = 0) group by all""")
+ENDS = """en as (select *, max(aln_i) over (partition by qname) la, mapq % 7 c5, div_pct % 5 c3 from fx_aln),
+en2 as (select chrom_index1, case when mapq % 2 = 0 then greatest(p - o * 34, 1) else p end site_pos1 from (select *, case when strand0 = 0 then -1 else 1 end o, greatest(case when strand0 = 0 then pos1 - c5 else pos1 + ref_span + c5 end, 1) p from en where aln_i = 0 and mapq >= 44 and c5 <= 5)
+  union all select chrom_index1, greatest(case when strand0 = 1 then pos1 - c3 else pos1 + ref_span + c3 end, 1) from en where aln_i = la and qname % 2 = 0 and mapq >= 44 and c3 <= 5)"""
+
+
+@query("select chrom_index1, site_pos1::bigint site_pos1, count(*) n_observed from en2 group by all", ENDS)
 def a2_endpoint_tally(spark, sf):
-    return reads.endpoints(fx.alignments(spark, sf).withColumn("clip5", col("mapq")), untrimmed=True)
+    a = fx.alignments(spark, sf).withColumns({"clip5": col("mapq") % 7, "clip3": col("div_pct") % 5, "trim5": col("mapq") % 2, "informative3": col("qname") % 2 == 0})
+    return reads.endpoints(a, 44, 5, 34)
+
+
+@query("""select qname, aln_i, chrom_index1, case when aln_i = 0 then pos1 // 10 * 10 - strand0 when strand0 = 1 then pos1 + ref_span - 1 else pos1 end ref_pos5, case when strand0 = 1 then pos1 else pos1 + ref_span - 1 end ref_pos3,
+  case when aln_i = la then pos1 // 10 * 10 + 700 - (1 - strand0) when strand0 = 1 then pos1 else pos1 + ref_span - 1 end ref_proj3, strand0, la n_jxns from en""", ENDS)
+def p32_alignment_segments(spark, sf):
+    a = fx.alignments(spark, sf).withColumns({"site5_pos1": F.expr("pos1 div 10 * 10"), "proj3_pos1": F.expr("pos1 div 10 * 10 + 700")})
+    return reads.alignment_segments(a, True)
 
 
 @query("select chrom_index1, pos1, ref_span, strand0, count(*) n from fx_aln group by all")
