@@ -16,6 +16,7 @@ member has been a hub or no unmatched line is left after it: no line's earlier m
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -106,7 +107,7 @@ def shared_bits(counts: DataFrame) -> bytes:
 
 
 def postings(classes: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
-    """Prefix postings of shared tokens: key (token hash), id, n, pos (place in the global order)."""
+    """Prefix postings of shared tokens: key (token hash), id, n, pos (place in the global order), map (64 bits of all tokens' hashes)."""
     context = classes.sparkSession.sparkContext
     common = {r["token"]: r["c"] for r in counts.orderBy(F.desc("c"), "token").limit(ORDERED).collect()}
     sent = context.broadcast((common, shared_bits(counts)))
@@ -115,10 +116,12 @@ def postings(classes: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
         common, bits = sent.value
         get, mask = common.get, (1 << BITS) - 1
         for pdf in batches:
-            key, ids, size, pos = [], [], [], []
+            key, ids, size, pos, maps = [], [], [], [], []
             for i, toks in zip(pdf["id"], pdf["toks"]):
                 t = toks.split(" ")
-                n = len(t)
+                n, own = len(t), 0
+                for x in toks.encode("utf-8", "surrogatepass").split(b" "):
+                    own |= 1 << (zlib.crc32(x) & 63)
                 for at, x in enumerate(sorted(t, key=lambda x: (get(x, 0), x))[: prefix_length(n, percent)]):
                     k = token_key(x)
                     if bits[(k & mask) >> 3] >> (k & 7) & 1:
@@ -126,54 +129,84 @@ def postings(classes: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
                         ids.append(i)
                         size.append(n)
                         pos.append(at)
-            yield pd.DataFrame({"key": np.array(key, np.uint64).view(np.int64), "id": np.array(ids, np.int64), "n": np.array(size, np.int32), "pos": np.array(pos, np.int32)})
+                        maps.append(own)
+            whole = lambda x: np.array(x, np.uint64).view(np.int64)
+            yield pd.DataFrame({"key": whole(key), "id": np.array(ids, np.int64), "n": np.array(size, np.int32), "pos": np.array(pos, np.int32), "map": whole(maps)})
 
     # a set of fewer than `least` tokens can be similar only to an equal one
     least = 1
     while (least + 1) * percent > least * 100:
         least += 1
-    return classes.where(F.col("n") >= least).select("id", "toks").mapInPandas(run, "key long, id long, n int, pos int")
+    return classes.where(F.col("n") >= least).select("id", "toks").mapInPandas(run, "key long, id long, n int, pos int, map long")
 
 
-def later_matches(classes: DataFrame, percent: int, growth: int = 16) -> DataFrame:
-    """Ids of the classes(id, n, toks) to which an earlier class (of a lower id) is similar."""
+def fits(x: str, y: str, percent: int) -> str:
+    """Length, positional and bitmap filters of two postings of one token, ``x`` the earlier.
+
+    Two sets differ in at least as many tokens as their bitmaps differ in bits.
+    """
+    return (
+        f"{x}.id < {y}.id and least({x}.n, {y}.n) * 100 >= {percent} * greatest({x}.n, {y}.n)"
+        f" and least({x}.n - {x}.pos, {y}.n - {y}.pos) * {100 + percent} >= {percent} * ({x}.n + {y}.n)"
+        f" and bit_count({x}.map ^ {y}.map) * {100 + percent} <= {100 - percent} * ({x}.n + {y}.n)"
+    )
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int, few: int = 500_000) -> DataFrame:
+    """``pairs(a, b)`` with ``ok``, by whole sets (id, toks).
+
+    Only sets that stand in a pair are joined; their ids are broadcast if they are counted and are at most ``few``.
+    """
+    pairs = scratch(pairs, "pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    if pairs.count() * 2 <= few:
+        ids = F.broadcast(ids)
+    held = scratch(sets.join(ids, "id", "left_semi"), "held")
+    both = pairs.join(held.toDF("a", "x"), "a").join(held.toDF("b", "y"), "b").select("a", "b", F.split("x", " ").alias("x"), F.split("y", " ").alias("y"))
+    overlap = F.size(F.array_intersect("x", "y"))
+    out = scratch(both.select("a", "b", (overlap * (100 + percent) >= percent * (F.size("x") + F.size("y"))).alias("ok")), "judged")
+    drop_scratch(held)
+    drop_scratch(pairs)
+    return out
+
+
+def later_matches(classes: DataFrame, percent: int, growth: int = 16, short: int = 16) -> DataFrame:
+    """Ids of the classes(id, n, toks) to which an earlier class (of a lower id) is similar.
+
+    Lists of at most ``short`` postings are searched as one array; only pairs that pass the filters leave it.  Longer lists, whatever
+    their length, go in rounds of hubs.
+    """
     spark = classes.sparkSession
     counts = scratch(token_counts(classes), "counts")
     lists = scratch(postings(classes, counts, percent), "postings")
     drop_scratch(counts)
     several = lists.groupBy("key").agg(F.count("*").cast("int").alias("c")).where("c > 1")
-    rest = scratch(lists.join(several, "key").withColumn("done", F.lit(False)), "lists")
-    drop_scratch(lists)
-    matched = spark.createDataFrame([], "id long")
-    tested = spark.createDataFrame([], "a long, b long")
     sets = classes.select("id", "toks")
-    many, tried = 1, 0
+    arrays = lists.join(several.where(F.col("c") <= short).select("key"), "key").groupBy("key").agg(F.collect_list(F.struct("id", "n", "pos", "map")).alias("p"))
+    found = arrays.select(F.explode(F.expr(f"flatten(transform(p, y -> transform(filter(p, x -> {fits('x', 'y', percent)}), x -> struct(x.id as a, y.id as b))))")).alias("e"))
+    judged = verified(found.select("e.a", "e.b").distinct(), sets, percent)
+    tested = judged.where("not ok").select("a", "b")
+    matched = judged.where("ok").select(F.col("b").alias("id")).distinct()
+    rest = scratch(lists.join(several.where(F.col("c") > short).select("key"), "key").withColumn("done", F.lit(False)), "lists")
+    drop_scratch(lists)
+    many = 1
     while not rest.isEmpty():
         # the hubs of a list travel as one array of at most `many`
         part = F.pmod(F.xxhash64("id"), F.lit(many))
-        hubs = rest.where("not done").groupBy("key", part.alias("part")).agg(F.min("id").alias("a"), F.min_by("n", "id").alias("an"), F.min_by("pos", "id").alias("ap"))
-        hubs = hubs.groupBy("key").agg(F.collect_list(F.struct("a", "an", "ap")).alias("hubs"))
+        hubs = rest.where("not done").groupBy("key", part.alias("part")).agg(F.min("id").alias("id"), *(F.min_by(c, "id").alias(c) for c in ("n", "pos", "map")))
+        hubs = hubs.groupBy("key").agg(F.collect_list(F.struct("id", "n", "pos", "map")).alias("hubs"))
         dealt = rest.join(hubs, "key")
-        open_ids = dealt.join(matched, "id", "left_anti") if tried else dealt
-        fits = (
-            f"filter(hubs, h -> h.a < id and least(n, h.an) * 100 >= {percent} * greatest(n, h.an)"
-            f" and least(n - pos, h.an - h.ap) * {100 + percent} >= {percent} * (n + h.an))"
-        )
-        pairs = open_ids.select(F.explode(F.expr(fits)).alias("h"), F.col("id").alias("b")).select("h.a", "b").distinct()
-        if tried:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", F.split("x", " ").alias("x"), F.split("y", " ").alias("y"))
-        overlap = F.size(F.array_intersect("x", "y"))
-        judged = scratch(both.select("a", "b", (overlap * (100 + percent) >= percent * (F.size("x") + F.size("y"))).alias("ok")), "judged")
+        near = F.expr(f"filter(hubs, h -> {fits('h', 'me', percent)})")
+        pairs = dealt.join(matched, "id", "left_anti").withColumn("me", F.struct("id", "n", "pos", "map")).select(F.explode(near).alias("h"), F.col("id").alias("b"))
+        pairs = pairs.select(F.col("h.id").alias("a"), "b").distinct().join(tested, ["a", "b"], "left_anti")
+        judged = verified(pairs, sets, percent)
         tested = tested.union(judged.where("not ok").select("a", "b"))
         matched = scratch(matched.union(judged.where("ok").select(F.col("b").alias("id"))).distinct(), "matched")
-        tried += many
-        # a list of two is settled by its one hub
-        done = F.col("done") | F.exists("hubs", lambda h: h["a"] == F.col("id"))
-        after = dealt.where("c > 2" if many == 1 else "true").select("key", "id", "n", "pos", "c", done.alias("done"))
+        done = F.col("done") | F.exists("hubs", lambda h: h["id"] == F.col("id"))
+        after = dealt.select("key", "id", "n", "pos", "map", done.alias("done"))
         after = after.join(matched.withColumn("matched", F.lit(True)), "id", "left").withColumn("matched", F.coalesce("matched", F.lit(False)))
         bound = after.groupBy("key").agg(F.max(F.when(~F.col("matched"), F.col("id"))).alias("last"), F.min(F.when(~F.col("done"), F.col("id"))).alias("next")).where("next < last")
-        left = scratch(after.join(bound.select("key", "last"), "key").where("id <= last and not (done and matched)").select("key", "id", "n", "pos", "c", "done"), "lists")
+        left = scratch(after.join(bound.select("key", "last"), "key").where("id <= last and not (done and matched)").select("key", "id", "n", "pos", "map", "done"), "lists")
         drop_scratch(rest)
         rest, many = left, many * growth
     return matched
@@ -182,14 +215,16 @@ def later_matches(classes: DataFrame, percent: int, growth: int = 16) -> DataFra
 def find_duplicates(documents: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, version, removed (sorted line numbers from 0): documents that lose lines."""
     small_batches(documents.sparkSession)
-    rows = scratch(_lines(documents), "lines")
+    read = scratch(_lines(documents), "lines")
     top = documents.agg(F.min("doc_id"), F.max("doc_id")).first()
     low, high = (0, 0) if top[0] is None else top
     if high - low >= 1 << (62 - LINE_BITS):
         raise ValueError("doc_id spans more than 2**42; number the documents first")
     place = (F.col("doc_id") - low) * (1 << LINE_BITS) + F.col("line")
-    classes = rows.groupBy("cls").agg(F.min(place).alias("id"), F.first("n").alias("n"), F.first("toks").alias("toks"))
+    rows = scratch(read.drop("toks", "n"), "rows")
+    classes = read.groupBy("cls").agg(F.min(place).alias("id"), F.first("n").alias("n"), F.first("toks").alias("toks"))
     classes = scratch(classes, "classes")
+    drop_scratch(read)
     matched = later_matches(classes, percent).withColumn("gone", F.lit(True))
     verdict = classes.select("cls", "id").join(matched, "id", "left").select("cls", "id", F.coalesce("gone", F.lit(False)).alias("gone"))
     own = rows.select("doc_id", "version", "line", "more", "cls", place.alias("_place"))
