@@ -32,7 +32,7 @@ IP = "(?<![0-9])[0-9]++\\.[0-9]++\\.[0-9]++\\.[0-9]++"
 CARD = "[0-9][0-9\\x01]*[0-9]"
 PHONE = "\\+[0-9][ ().0-9-]+[0-9]"
 #: Looser candidates.
-LONE_CARD = "(?<![0-9])(?:[0-9]{12,19}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4})(?![0-9])"
+LONE_CARD = "(?<![0-9A-Za-z_])(?:[0-9]{12,19}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4})(?![0-9A-Za-z_])"
 LOCAL_PHONE = "(?<![0-9+] ?)\\([0-9]{3}\\) ?[0-9]{3}-[0-9]{4}(?![0-9])"
 SECRET = "(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{24,256}(?![A-Za-z0-9_+/-])"
 SSN = "(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"

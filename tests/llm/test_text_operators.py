@@ -175,7 +175,7 @@ def test_personal_data_base(spark):
 def test_personal_data_beyond_base(spark):
     docs = [(i, f"say token = \"{hashlib.md5(str(i).encode()).hexdigest()}\" now") for i in range(30)] + [(100 + i, "plain words only, key = value") for i in range(30)] + [(200 + i, f"mail u{i}@x.com and 4111111111111111") for i in range(30)]
     got = {x["doc_id"]: x["spans"] for x in pii.detect(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    assert all(got[i] == "secret:13:45" for i in range(30)) and all(got[100 + i] == "" for i in range(30))
+    assert all(set(got[i].split(",")) - set(base_spans(docs[i][1]).split(",")) == {"secret:13:45"} for i in range(30)) and all(got[100 + i] == "" for i in range(30))
 
 
 def test_pipeline_stages(spark):
