@@ -212,3 +212,17 @@ def junction_sequence(seq: Column, end1: Column, offset: Column, flank: int) ->
     """Bases around a junction: ``flank`` before, the inserted (or shared) bases in the middle, ``flank`` after."""
     left = F.greatest(end1 - flank, F.lit(0))
     return F.substring(seq, (left + 1).cast("int"), (end1 - left + F.abs(offset) + flank).cast("int"))
+
+
+def query_on_reference(cigar: Column, seq: Column) -> Column:
+    """The read's bases by reference position: ``-`` where they are deleted, ``+`` left of an insertion; clips are left out."""
+    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("q"))
+
+    def step(a: Column, x: Column) -> Column:
+        n, op, out, q = x["n"].cast("int"), x["op"], a["out"], a["q"]
+        bases = F.substring(seq, (q + 1).cast("int"), n)
+        grown = F.when(op.isin("D", "N"), F.concat(out, F.repeat(F.lit("-"), n))).when(op == "I", F.when(out == "", out).otherwise(F.concat(F.substring(out, F.lit(1), F.char_length(out) - 1), F.lit("+"))))
+        grown = grown.when(op.isin("S", "H", "P"), out).otherwise(F.concat(out, bases))
+        return F.struct(grown.alias("out"), (q + F.when(op.isin("D", "N", "H", "P"), 0).otherwise(n)).cast("bigint").alias("q"))
+
+    return F.aggregate(cigar_ops(cigar), start, step, lambda a: a["out"])

@@ -237,3 +237,16 @@ def ubam_rows(merged: DataFrame) -> DataFrame:
 def read_name_patterns() -> re.Pattern:
     """Names of paired files end in _R1 or _R2, _1 or _2, before the extension."""
     return re.compile(r"(?P<base>.+)[._]R?(?P<mate>[12])(?P<rest>(?:_\d+)?\.f(?:ast)?q(?:\.gz)?)$")
+
+
+#: Tags that each stage needs from those before it.
+STAGE_TAGS = {
+    "alignment": ["ch", "tl", "ec", "dt", "dd", "sk", "fm"],
+    "junctions": ["ch", "tl", "fm", "de", "cs", "po", "tm", "to", "af", "bn", "jx", "ji"],
+    "variants": ["ec", "dd", "cs", "de", "rf", "sb"],
+}
+
+
+def keep_tags(df: DataFrame, stage: str) -> DataFrame:
+    """Records with only those tags that ``stage`` needs."""
+    return df.withColumn("tags", F.map_filter("tags", lambda k, v: k.isin(STAGE_TAGS[stage])))

@@ -69,3 +69,8 @@ def test_traversal_modes(spark):
     same = (F.lit(1), F.lit(0), F.lit(1), F.lit(0))
     assert one(spark, flags.traversal_fails(*same, F.lit(-5), F.lit(3), 100, "wrap")) == [False]
     assert one(spark, flags.traversal_fails(*same, F.lit(-5), F.lit(3), 100, "signed")) == [True]
+
+
+def test_query_on_reference(spark):
+    f = codec.query_on_reference(F.lit("2S3M1I2M2D1M1S"), F.lit("NNACGTCATX"))
+    assert one(spark, f) == ["AC+CA--T"]
