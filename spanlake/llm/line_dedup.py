@@ -152,6 +152,28 @@ def fits(x: str, y: str, percent: int) -> str:
     )
 
 
+def array_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that pass the filters of ``fits``, from whole lists held as arrays: ids, ns, places, maps."""
+
+    def run(batches):
+        for pdf in batches:
+            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for ids, n, place, bits in zip(pdf["ids"], pdf["ns"], pdf["places"], pdf["maps"]):
+                order = np.argsort(ids, kind="stable")
+                ids, n, left, bits = ids[order], n[order].astype(np.int64), (n - place)[order], bits[order].view(np.uint64)
+                total = n[:, None] + n
+                ok = np.minimum(left[:, None], left) * (100 + percent) >= percent * total
+                ok &= np.minimum(n[:, None], n) * 100 >= percent * np.maximum(n[:, None], n)
+                x, y = np.nonzero(np.triu(ok, 1))
+                near = np.bitwise_count(bits[x] ^ bits[y]).astype(np.int64) * (100 + percent) <= (100 - percent) * total[x, y]
+                near &= ids[x] != ids[y]
+                a.append(ids[x[near]])
+                b.append(ids[y[near]])
+            yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    return lists.mapInPandas(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int, few: int = 500_000) -> DataFrame:
     """``pairs(a, b)`` with ``ok``, by whole sets (id, toks).
 
@@ -170,11 +192,11 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, few: int = 500_000
     return out
 
 
-def later_matches(classes: DataFrame, percent: int, growth: int = 16, short: int = 16) -> DataFrame:
+def later_matches(classes: DataFrame, percent: int, growth: int = 16, short: int = 16, long: int = 512) -> DataFrame:
     """Ids of the classes(id, n, toks) to which an earlier class (of a lower id) is similar.
 
-    Lists of at most ``short`` postings are searched as one array; only pairs that pass the filters leave it.  Longer lists, whatever
-    their length, go in rounds of hubs.
+    Lists of at most ``short`` postings are searched as one array, in SQL, and those of at most ``long`` in numpy; only pairs that pass
+    the filters leave them.  Longer lists, whatever their length, go in rounds of hubs.
     """
     spark = classes.sparkSession
     counts = scratch(token_counts(classes), "counts")
@@ -184,10 +206,14 @@ def later_matches(classes: DataFrame, percent: int, growth: int = 16, short: int
     sets = classes.select("id", "toks")
     arrays = lists.join(several.where(F.col("c") <= short).select("key"), "key").groupBy("key").agg(F.collect_list(F.struct("id", "n", "pos", "map")).alias("p"))
     found = arrays.select(F.explode(F.expr(f"flatten(transform(p, y -> transform(filter(p, x -> {fits('x', 'y', percent)}), x -> struct(x.id as a, y.id as b))))")).alias("e"))
-    judged = verified(found.select("e.a", "e.b").distinct(), sets, percent)
+    middle = lists.join(several.where((F.col("c") > short) & (F.col("c") <= long)).select("key"), "key").groupBy("key").agg(
+        *(F.collect_list(c).alias(n) for c, n in (("id", "ids"), ("n", "ns"), ("pos", "places"), ("map", "maps")))
+    )
+    candidates = found.select("e.a", "e.b").union(array_pairs(middle.drop("key"), percent))
+    judged = verified(candidates.distinct(), sets, percent)
     tested = judged.where("not ok").select("a", "b")
     matched = judged.where("ok").select(F.col("b").alias("id")).distinct()
-    rest = scratch(lists.join(several.where(F.col("c") > short).select("key"), "key").withColumn("done", F.lit(False)), "lists")
+    rest = scratch(lists.join(several.where(F.col("c") > long).select("key"), "key").withColumn("done", F.lit(False)), "lists")
     drop_scratch(lists)
     many = 1
     while not rest.isEmpty():
