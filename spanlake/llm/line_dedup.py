@@ -30,10 +30,10 @@ from .common import drop_scratch, scratch, small_batches
 TOKEN = re.compile(r"\w+")
 #: Commonest tokens whose counts order the rest; all others count as rarer.  It bounds what is sent to tasks
 #: and changes only how long lists are, never a result.
-ORDERED = 50_000
+ORDERED = 20_000
 LINE_BITS = 20
-#: Size of the table of shared tokens (16 MB of bits), and the seed that its hash has in SQL.
-BITS, SEED = 27, 42
+#: Size of the table of shared tokens (4 MB of bits), and the seed that its hash has in SQL.
+BITS, SEED = 25, 42
 
 
 def line_tokens(line: str) -> list[str]:
@@ -101,7 +101,7 @@ def shared_bits(counts: DataFrame) -> bytes:
     place = F.xxhash64("token").bitwiseAND(F.lit((1 << BITS) - 1).cast("long"))
     words = counts.select(F.shiftright(place, 6).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast({(1 << 6) - 1} & xxhash64(token) as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
     out = np.zeros(1 << (BITS - 6), np.int64)
-    found = words.toPandas()
+    found = words.toArrow()
     out[found["w"].to_numpy()] = found["b"].to_numpy()
     return out.astype("<i8").tobytes()
 
