@@ -1,16 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Items are indexed by their n-word seeds.  The seeds' document frequencies are counted over all documents; a
-seed serves if it is rare, absolutely or for its item: an item that very many documents copy keeps its own
-rarest seeds.  A document joins an item where at least two seeds (one, for an item of few words) fall near
-one diagonal; there its words are aligned with the item's, and a score of at least ``least`` of a perfect
+Items are indexed by their n-word seeds.  Every seed serves, however many documents or items hold it.  A document
+joins an item where at least two seeds (one, for an item of few words) fall near one diagonal; where enough of
+the item's words stand there, they are aligned with the item's, and a score of at least ``least`` of a perfect
 copy's is a hit.  Items go to the tasks in blocks of a fixed size, each block against all documents.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
@@ -23,6 +21,8 @@ WORD = re.compile(r"\w+")
 SEED = 3
 #: Characters of items in a block, which bounds what a task holds.
 BLOCK_CHARS = 16_000_000
+#: Pairs of a document's seeds with items' that are looked at together.
+PAIRS = 2_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 SCHEMA = "doc_id long, item_id long, score double, first_word long, end_word long"
 
@@ -72,17 +72,16 @@ class Index:
             for x in w:
                 self.id.setdefault(x, len(self.id) + 1)
         self.words = [np.array([self.id[x] for x in w], np.int64) for _, w in self.item]
-        self.places: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        self.seeds_of: list[list[int]] = []
-        self.sizes = set()
-        for j, w in enumerate(self.words):
-            n = min(SEED, len(w))
-            self.sizes.add(n)
-            codes = self.codes(w, n).tolist()
-            for p, c in enumerate(codes):
-                self.places[c].append((j, p))
-            self.seeds_of.append(codes)
-        self.known = np.array(sorted(self.places), np.uint64)
+        self.length = np.array([len(w) for w in self.words], np.int64)
+        self.slack = np.maximum(2, self.length // 2)
+        self.sizes = sorted({min(SEED, len(w)) for w in self.words})
+        codes = [self.codes(w, min(SEED, len(w))) for w in self.words]
+        self.known, seed = np.unique(np.concatenate([np.zeros(0, np.uint64), *codes]), return_inverse=True)
+        of = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
+        place = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(c)) for c in codes)])
+        #: Places of the seeds, in order of (seed, item): keys are seed * number of items + item.
+        order = np.lexsort((place, of, seed))
+        self.keys, self.of, self.place = (seed * len(codes) + of)[order], of[order], place[order]
 
     @staticmethod
     def codes(ids: np.ndarray, n: int) -> np.ndarray:
@@ -96,67 +95,86 @@ class Index:
             ok &= part > 0
         return np.where(ok, h, 0).astype(np.uint64)
 
-    def find(self, text: str | None, wanted: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
-        """(word ids of the text, (place, seed) of each of the ``wanted`` seeds that stand in it)."""
+    def find(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Word ids of the text; place and number of each seed that stands in it."""
         get = self.id.get
         ids = np.array([get(w, 0) for w in words_of(text)], np.int64)
-        out = []
-        if len(wanted):
-            for n in sorted(self.sizes):
-                c = self.codes(ids, n)
-                at = np.flatnonzero(c)
-                if len(at):
-                    k = np.searchsorted(wanted, c[at])
-                    hit = at[wanted[np.minimum(k, len(wanted) - 1)] == c[at]]
-                    out += zip(hit.tolist(), c[hit].tolist())
-        return ids, out
-
-    def rare(self, df: dict[int, int], n_docs: int, share: float, floor: int) -> np.ndarray:
-        """Seeds in few documents, or in few for one of their items (4 times its lower quartile)."""
-        keep, bound = set(), max(floor, share * n_docs)
-        for seeds in self.seeds_of:
-            own = sorted(df.get(s, 0) for s in seeds)
-            most = max(bound, 4 * own[len(own) // 4])
-            keep.update(s for s in seeds if df.get(s, 0) <= most)
-        return np.array(sorted(keep), np.uint64)
-
-    def hits(self, text: str | None, rare: np.ndarray, least: float) -> list[tuple[int, float, int, int]]:
+        places, seeds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for n in self.sizes:
+            c = self.codes(ids, n)
+            at = np.flatnonzero(c)
+            if len(at):
+                k = np.minimum(np.searchsorted(self.known, c[at]), len(self.known) - 1)
+                hit = self.known[k] == c[at]
+                places.append(at[hit])
+                seeds.append(k[hit])
+        return ids, np.concatenate(places), np.concatenate(seeds)
+
+    def joined(self, at: np.ndarray, seed: np.ndarray, low: int, high: int):
+        """Items ``low`` to ``high`` that hold the seeds: (item, place in it, place in the text), all places of an item together."""
+        first = np.searchsorted(self.keys, seed * len(self.words) + low)
+        count = np.searchsorted(self.keys, seed * len(self.words) + high) - first
+        total = int(count.sum())
+        if total > PAIRS and high - low > 1:
+            middle = (low + high) // 2
+            yield from self.joined(at, seed, low, middle)
+            yield from self.joined(at, seed, middle, high)
+        elif total:
+            k = np.repeat(first - np.cumsum(count) + count, count) + np.arange(total)
+            yield self.of[k], self.place[k], np.repeat(at, count)
+
+    def windows(self, item: np.ndarray, place: np.ndarray, at: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, first word, end word) around each seed that has another one of its item near its diagonal, in order."""
+        shift = at - place
+        order = np.lexsort((place, shift, item))
+        item, place, shift = item[order], place[order], shift[order]
+        keep = self.length[item] < 2 * SEED + 2
+        last = np.flatnonzero((item[1:] != item[:-1]) | (place[1:] != place[:-1]))
+        i = np.arange(last[-1] + 1 if len(last) else 0)
+        other = last[np.searchsorted(last, i)] + 1
+        keep[i] |= (item[other] == item[i]) & (shift[other] - shift[i] <= self.slack[item[i]])
+        item, shift = item[keep], shift[keep]
+        slack = self.slack[item]
+        return item, np.maximum(0, shift - slack), np.minimum(n_words, shift + 2 * slack + self.length[item])
+
+    def hits(self, text: str | None, least: float) -> list[tuple[int, float, int, int]]:
         """(item number, score, first word, end word) of the best alignment of each item that reaches ``least``."""
-        ids, found = self.find(text, rare)
-        by_item: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for at, seed in found:
-            for j, p in self.places[seed]:
-                by_item[j].append((at, p))
+        ids, at, seed = self.find(text)
         out = []
-        for j, seeds in sorted(by_item.items()):
-            item = self.words[j]
-            n, best = len(item), None
-            need = 1 if n < 2 * SEED + 2 else 2
-            seeds.sort(key=lambda s: (s[0] - s[1], s[0]))
-            groups, slack = [], max(2, n // 2)
-            for at, p in seeds:
-                if groups and at - p - groups[-1][0] <= slack:
-                    groups[-1][1].append((at, p))
-                else:
-                    groups.append((at - p, [(at, p)]))
-            done = 0
-            for shift, group in groups:
-                if len({p for _, p in group}) < need:
-                    continue
-                low, high = max(0, shift - slack), min(len(ids), shift + slack + n + slack)
-                low = max(low, min(done, shift))
-                part = ids[low:high]
-                done = high - n
-                common = np.minimum(np.bincount(part, minlength=1 + item.max())[item], np.bincount(item)[item])
-                if (common / np.bincount(item)[item]).sum() < least * n:
-                    continue
-                score, first, end = align(item, part)
-                if score >= least * MATCH * n and (best is None or score > best[0]):
-                    best = (score, low + first, low + end)
-            if best:
-                out.append((j, best[0] / (MATCH * n), best[1], best[2]))
+        for part in self.joined(at, seed, 0, len(self.words)):
+            items, lows, highs = self.windows(*part, len(ids))
+            edges = np.flatnonzero(np.diff(items, prepend=-1, append=-1)) if len(items) else []
+            for a, b in zip(edges[:-1], edges[1:]):
+                j, low, high = int(items[a]), lows[a:b], highs[a:b]
+                best = self.best(j, ids, low, high, least)
+                if best:
+                    out.append((j, best[0] / (MATCH * len(self.words[j])), best[1], best[2]))
         return out
 
+    def best(self, j: int, ids: np.ndarray, low: np.ndarray, high: np.ndarray, least: float) -> tuple[int, int, int] | None:
+        """(score, first word, end word) of the best alignment of an item in windows of a text, if it reaches ``least``.
+
+        Windows with too few of the item's words for that are left out; those that overlap are aligned as one.
+        """
+        item = self.words[j]
+        n, best, base = len(item), None, int(low[0])
+        known, times = np.unique(item, return_counts=True)
+        have = np.concatenate([[0], np.cumsum(np.isin(ids[base : high[-1]], known))])
+        good = have[high - base] - have[low - base] >= least * n
+        low, high = low[good], high[good]
+        if not len(low):
+            return None
+        cut = np.flatnonzero(low[1:] > high[:-1])
+        for x, y in zip(low[np.r_[0, cut + 1]].tolist(), high[np.r_[cut, len(high) - 1]].tolist()):
+            part = ids[x:y]
+            inside = part[np.isin(part, known)]
+            if np.minimum(np.bincount(np.searchsorted(known, inside), minlength=len(known)), times).sum() < least * n:
+                continue
+            score, first, end = align(item, part)
+            if score >= least * MATCH * n and (best is None or score > best[0]):
+                best = (score, x + first, x + end)
+        return best
+
 
 def _blocks(benchmark: DataFrame, chars: int):
     """The items in blocks of about ``chars`` characters, collected one at a time."""
@@ -167,13 +185,13 @@ def _blocks(benchmark: DataFrame, chars: int):
         yield Index([(r[0], r[1]) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).orderBy("item_id", "text").collect()])
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame, least: float = 0.5, share: float = 0.0005, floor: int = 20, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def contaminated(documents: DataFrame, benchmark: DataFrame, least: float = 0.5, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Hits of ``benchmark(item_id, text)`` in ``documents(doc_id, text)``; one row for a document and item, ``SCHEMA``.
 
     ``least``: share of a perfect copy's alignment score; words count from 0, ``end_word`` exclusive.  Null or empty
     texts and items without words match nothing; rows with a null item_id are skipped; items with several texts
     give a row for each that hits; repeated rows repeat their hits; an empty table gives an empty result.
-    Whole texts are read twice for each block and never shuffled.
+    Whole texts are read once for each block and never shuffled.
     """
     small_batches(documents.sparkSession)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -181,21 +199,10 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, least: float = 0.5,
     for index in _blocks(benchmark, block_chars):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
-        def count(batches, shared=shared):
-            index, seen, n = shared.value, Counter(), 0
-            for pdf in batches:
-                n += len(pdf)
-                for text in pdf["text"]:
-                    seen.update({s for _, s in index.find(text, index.known)[1]})
-            yield pd.DataFrame({"seed": np.array([0, *seen], np.uint64).view(np.int64), "n": [n, *seen.values()]})
-
-        df = {r[0] % (1 << 64): r[1] for r in docs.mapInPandas(count, "seed long, n long").groupBy("seed").agg(F.sum("n")).collect()}
-        rare = index.rare(df, df.pop(0, 0), share, floor)
-
-        def search(batches, shared=shared, rare=rare):
+        def search(batches, shared=shared):
             index = shared.value
             for pdf in batches:
-                rows = [(doc, index.item[j][0], score, a, b) for doc, text in zip(pdf["doc_id"], pdf["text"]) for j, score, a, b in index.hits(text, rare, least)]
+                rows = [(doc, index.item[j][0], score, a, b) for doc, text in zip(pdf["doc_id"], pdf["text"]) for j, score, a, b in index.hits(text, least)]
                 yield pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")]).astype({"doc_id": "Int64"})
 
         hits = docs.mapInPandas(search, SCHEMA)

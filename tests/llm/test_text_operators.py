@@ -71,6 +71,23 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(df, bench.where("false")).count() == 0 and decontaminate.contaminated(df.where("false"), bench).count() == 0
 
 
+def test_edited_passage_in_many_documents(spark, monkeypatch):
+    """Five words of fifty changed, alike in 90 of 120 documents: no seed of it is rare, and none of the item is elsewhere."""
+    r = random.Random(19)
+    word = lambda: f"w{r.randint(0, 5000)}"
+    items = [(i, " ".join(word() for _ in range(50))) for i in range(3)]
+    edited = items[0][1].split()
+    for k in (4, 14, 24, 34, 44):
+        edited[k] = f"new{k}"
+    docs = [(d, " ".join([word() for _ in range(20)] + (edited if d % 4 else []) + [word() for _ in range(20)])) for d in range(120)]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = {(d, 0, 0.85, 20, 70) for d, _ in docs if d % 4}
+    assert {(x["doc_id"], x["item_id"], round(x["score"], 6), x["first_word"], x["end_word"]) for x in decontaminate.contaminated(df, bench).collect()} == want
+    monkeypatch.setattr(decontaminate, "PAIRS", 5)  # the same hits where seeds are joined in many parts
+    index = decontaminate.Index(items)
+    assert {(d, *h) for d, t in docs for h in index.hits(t, 0.5)} == want
+
+
 def test_licences(spark):
     apache = "Licensed under the Apache License, Version 2.0"
     docs = [(1, "x MIT License, the MIT  license"), (2, f"a b {apache} c"), (3, None), (4, ""), (5, "é plain words"), (6, "All rights reserved."), (7, "general public-license"), (8, "nothing " * 3000 + apache)]
