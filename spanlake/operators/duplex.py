@@ -27,24 +27,31 @@ def global_path(a: str, b: str, band: int = 50) -> list[tuple[int | None, int |
     """Banded global alignment as pairs of positions; None stands for a gap."""
     n, m = len(a), len(b)
     band = max(band, abs(n - m) + 1)
-    score, came = {(0, 0): 0.0}, {}
+    pairs = {(x, y): pair_score(x, y) for x in set(a) for y in set(b)}
+    lows, rows, before = [], [], []
     for i in range(n + 1):
-        for j in range(max(0, i - band), min(m, i + band) + 1):
-            if i == j == 0:
-                continue
-            options = []
-            if i and j and (i - 1, j - 1) in score:
-                options.append((score[i - 1, j - 1] + pair_score(a[i - 1], b[j - 1]), 0))
-            if i and (i - 1, j) in score:
-                options.append((score[i - 1, j] + (GAP_EXTEND if came.get((i - 1, j)) == 1 else GAP_OPEN), 1))
-            if j and (i, j - 1) in score:
-                options.append((score[i, j - 1] + (GAP_EXTEND if came.get((i, j - 1)) == 2 else GAP_OPEN), 2))
-            if options:
-                s, step = max(options, key=lambda o: (o[0], -o[1]))
-                score[i, j], came[i, j] = s, step
+        low, high = max(0, i - band), min(m, i + band)
+        above, shift, width = rows[-1] if i else b"", low - lows[-1] if i else 0, len(before)
+        score, came = [0.0] * (high - low + 1), bytearray(high - low + 1)
+        for k in range(high - low + 1):
+            up, s, step = k + shift, None, 3
+            if i and k + low and 0 < up <= width:
+                s, step = before[up - 1] + pairs[a[i - 1], b[k + low - 1]], 0
+            if i and up < width:
+                t = before[up] + (GAP_EXTEND if above[up] == 1 else GAP_OPEN)
+                if s is None or t > s:
+                    s, step = t, 1
+            if k:
+                t = score[k - 1] + (GAP_EXTEND if came[k - 1] == 2 else GAP_OPEN)
+                if s is None or t > s:
+                    s, step = t, 2
+            score[k], came[k] = s or 0.0, step
+        lows.append(low)
+        rows.append(came)
+        before = score
     path, i, j = [], n, m
     while i or j:
-        step = came[i, j]
+        step = rows[i][j - lows[i]]
         path.append((i - 1 if step != 2 else None, j - 1 if step != 1 else None))
         i, j = i - (step != 2), j - (step != 1)
     return path[::-1]

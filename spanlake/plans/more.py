@@ -489,13 +489,13 @@ def u1_p8_adapter_insertions(spark, sf):
 
 @query()
 def u5_adapter_trim(spark, sf):
-    s = fx.sequences(spark, sf).where("length(seq) >= 100").select(col("doc_id").cast("string").alias("qname"), F.concat(F.lit("TTAACCTGTACTTCGTTCAGTTACGTATTGCT"), F.substring("seq", 1, 100)).alias("seq"))
+    s = fx.whole_sequences(spark, sf).where("length(seq) >= 100").select(col("doc_id").cast("string").alias("qname"), F.concat(F.lit("TTAACCTGTACTTCGTTCAGTTACGTATTGCT"), "seq").alias("seq"))
     return align.trim_adapters(s.withColumn("qual", F.expr("repeat('I', length(seq))")), "CCTGTACTTCGTTCAGTTACGTATTGCT").select("qname", "trim5", "trim3", "how5")
 
 
 @query()
 def u4_duplex_merge(spark, sf):
-    s = fx.sequences(spark, sf).where("length(seq) >= 60").select("doc_id", F.substring("seq", 1, 60).alias("seq")).withColumn("qual", F.expr("array_repeat(30, 60)"))
+    s = fx.whole_sequences(spark, sf).where("length(seq) >= 60").select("doc_id", "seq").withColumn("qual", F.expr("array_repeat(30, length(seq))"))
     fwd = s.selectExpr("'m' as movie", "doc_id as zmw", "0 as strand", "true as usable", "seq", "qual")
     rev = s.select(F.lit("m").alias("movie"), col("doc_id").alias("zmw"), F.lit(1).alias("strand"), F.lit(True).alias("usable"), codec.reverse_complement(F.expr("overlay(seq placing 'T' from 20 for 1)")).alias("seq"), "qual")
     return duplex.merge_pairs(duplex.pair_strands(fwd.unionByName(rev))).select("zmw", "seq", "dd")

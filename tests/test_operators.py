@@ -164,3 +164,15 @@ def test_sample_merge_limit(spark):
     with pytest.raises(ValueError):
         fuzzy.merge_sample_bits([df, df], [40, 40])
     assert F is not None
+
+
+def test_queries_without_sql_read_whole_texts(spark, tmp_path):
+    from spanlake.plans import registry
+
+    spell = str.maketrans("ACGT", "abcd")
+    seq = "ACGGT" * 500 + "AGCAATACGT"  # ends in the adapter's last bases, reversed
+    spark.createDataFrame([(1, seq.translate(spell))], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    trimmed = registry.QUERIES["u5_adapter_trim"](spark, str(tmp_path)).first()
+    assert (trimmed["trim5"], trimmed["trim3"]) == (32, 10)
+    merged = registry.QUERIES["u4_duplex_merge"](spark, str(tmp_path)).first()
+    assert len(merged["seq"]) == len(seq)
