@@ -5,8 +5,8 @@ vectors of its hashed character trigrams, so unknown spellings have an input too
 words, overlapping by ``WINDOW - STRIDE``, cover the whole text; a forward and a backward GRU read each window,
 attention pools their states, and a logistic output scores it.  A document's score is its windows' highest.
 
-Training is by multiple instances: only a document's label is known, so at each step the window that scores
-highest stands for its document.  Labels are noisy: after a start with cross-entropy the loss turns to the
+Training is by multiple instances: only a document's label is known, so at each step all windows of a
+document are scored and the highest stands for it.  Labels are noisy: after a start with cross-entropy the loss turns to the
 generalised one, whose gradient fades for labels that the model finds incredible, so that it doesn't
 learn single wrong labels by heart.
 """
@@ -26,6 +26,8 @@ from .common import held_out, training_sample
 #: Documents that the model is fitted on, at most.
 TRAIN_BOUND = 3000
 WINDOW, STRIDE = 32, 24
+#: Windows that training scores together.
+AT_ONCE = 2048
 EMBED, HIDDEN, TRIGRAMS = 16, 8, 2048
 #: Words that a task keeps inputs of; the store is emptied when it is full.
 STORE = 100_000
@@ -216,14 +218,16 @@ def train(rows: list[tuple[str, int]], steps: int = 450, batch: int = 64, rate:
             starts, owner = [], []
             for j, d in enumerate(docs):
                 own = windows(size[d])
-                own = own if len(own) <= 12 else sorted(r.choice(own, 12, replace=False))
                 starts += [begin[d] + s for s in own]
                 owner += [j] * len(own)
             starts, owner = np.array(starts), np.array(owner)
-            ids, mask = window_matrix(flat, starts, (begin + size)[docs][owner])
-            z, _ = forward(m, inputs(ids)[0], mask)
+            ends = (begin + size)[docs][owner]
+            z = np.empty(len(starts), np.float32)
+            for a in range(0, len(starts), AT_ONCE):
+                ids, mask = window_matrix(flat, starts[a : a + AT_ONCE], ends[a : a + AT_ONCE])
+                z[a : a + AT_ONCE] = forward(m, inputs(ids)[0], mask)[0]
             best = np.lexsort((z, owner))[np.searchsorted(owner, np.arange(len(docs)), side="right") - 1]
-            ids, mask = ids[:, best], mask[:, best]
+            ids, mask = window_matrix(flat, starts[best], ends[best])
             x, used, back, n, take = inputs(ids)
             drop = (r.random(x.shape[:2]) > 0.1).astype(np.float32)[:, :, None]
             x = x * drop

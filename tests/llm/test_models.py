@@ -122,3 +122,17 @@ def test_windows_cover_everything():
     for n in (1, 31, 32, 33, 57, 200, 1001):
         held = {i for s in toxicity.windows(n) for i in range(s, min(n, s + toxicity.WINDOW))}
         assert held == set(range(n))
+
+
+def test_toxicity_training_scores_all_windows(monkeypatch):
+    rows = [(" ".join(f"w{(i * 7 + k) % 50}" for k in range(700)), i % 2) for i in range(12)]
+    scored, forward = [], toxicity.forward
+
+    def spy(m, x, mask, keep=False):
+        if not keep:
+            scored.append(mask.shape[1])
+        return forward(m, x, mask, keep)
+
+    monkeypatch.setattr(toxicity, "forward", spy)
+    toxicity.train(rows, steps=2)
+    assert sum(scored) == 12 * len(toxicity.windows(700))
