@@ -5,35 +5,50 @@ earlier line of the corpus has a Jaccard similarity of at least ``percent`` % wi
 
 Equal sets are one class with its earliest line.  Classes are joined by prefix filtering: tokens are in one
 global order, rarest first, and two sets can only be similar if they share one of their first
-n - ceil(t n) + 1 tokens; a shared token also has to leave enough tokens after it (positional filter) and
-the sizes have to fit (length filter).  Candidates are verified on whole sets.
-
-Lists of a token are not paired with themselves.  Each round takes hubs (the earliest line of each of ever
-more hashed parts of a list) and pairs them with the lines after them that aren't matched yet, until each
-member has been a hub or no unmatched line is left after it: no line's earlier match is missed.
+n - ceil(t n) + 1 tokens; a shared token also has to leave enough tokens after it (positional filter), the sizes
+have to fit (length filter), and the parities of their words' hashes must not differ in more bits than
+similar sets can differ in words (bitmap filter).  Candidates are verified on the words themselves.
+
+Texts are read again instead of carrying sets of words from step to step: only postings (one for each prefix
+token, packed by hash of the token) and the words of candidates are shuffled.  Every list of postings is searched within one task in numpy, where
+each line hands out its ``NEAREST`` best earlier lines.  Lists that this doesn't settle (a line without a match has more
+candidates there, or the list is long) go in rounds of hubs: the earliest line of each of ever more hashed parts of a list is
+paired with the lines after it that aren't matched yet, until each member has been a hub or no unmatched line is left after it.
+So no line's earlier match is missed, and no group's pairs are all made.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
-from collections import Counter
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_scratch, scratch, small_batches
+from .common import drop_scratch, scratch
+from .line_words import chunks, mix
 
 TOKEN = re.compile(r"\w+")
-#: Commonest tokens whose counts order the rest; all others count as rarer.  It bounds what is sent to tasks
-#: and changes only how long lists are, never a result.
-ORDERED = 20_000
-LINE_BITS = 20
-#: Size of the table of shared tokens (4 MB of bits), and the seed that its hash has in SQL.
-BITS, SEED = 25, 42
+#: Bits of the table of token counts (a byte for each hash value, 8 MB).  It gives the order of the tokens and tells which can't be
+#: shared; a full table makes lists longer but changes no result.
+SLOTS = 23
+SEGMENT = 15
+#: Candidates that a line hands out from one list at first.
+NEAREST = 4
+#: Longest list that is searched in numpy; longer ones go in rounds.
+LONG = 2048
+#: Order (8 log2 of the count) from which on a token's postings are dealt by line instead of being gathered: 2**16 lines.
+SPREAD = 8 * 16
+#: Bits of the table that says which lines are wanted.
+WANTED = 25
+_U = np.uint64
+POSTING = "key long, c long, size long, map long, map2 long, map3 long, map4 long, doc long, line int"
+NAMES = [x.split()[0] for x in POSTING.split(", ")]
+#: Sets of more words have parities of 128 bits, or 256.
+TWO, FOUR = 72, 180
+#: Postings that are searched together in a task, about.
+BUCKET = 500_000
 
 
 def line_tokens(line: str) -> list[str]:
@@ -41,246 +56,463 @@ def line_tokens(line: str) -> list[str]:
     return sorted(set(TOKEN.findall(line.lower())))
 
 
-def prefix_length(n: int, percent: int) -> int:
+def prefix_length(n, percent: int):
     """Tokens of which a set of ``n`` has to share one with any set at ``percent`` % similarity."""
     return n - -(-percent * n // 100) + 1
 
 
-def _lines(documents: DataFrame) -> DataFrame:
-    """First line of each class in each document: doc_id, version (hash of the text), line, more (its later lines), cls, n, toks."""
+def least_size(percent: int) -> int:
+    """A set of fewer words can be similar only to an equal one."""
+    least = 1
+    while (least + 1) * percent > least * 100:
+        least += 1
+    return least
 
-    def run(batches):
-        for pdf in batches:
-            for a in range(0, len(pdf), 500):
-                out, part = [], pdf.iloc[a : a + 500]
-                for doc, version, text in zip(part["doc_id"], part["version"], part["text"]):
-                    first: dict[str, list] = {}
-                    for i, line in enumerate(text.split("\n")):
-                        toks = line_tokens(line)
-                        if toks:
-                            joined = " ".join(toks)
-                            if (held := first.get(joined)) is None:
-                                first[joined] = [i, [], len(toks)]
-                            else:
-                                held[1].append(i)
-                    for joined, (i, more, n) in first.items():
-                        out.append((doc, version, i, more, xxhash.xxh3_128_digest(joined.encode("utf-8", "surrogatepass")), n, joined))
-                yield pd.DataFrame(out, columns=["doc_id", "version", "line", "more", "cls", "n", "toks"])
 
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null and text <> ''")
-    docs = docs.withColumn("version", F.xxhash64("text"))
-    return docs.mapInPandas(run, "doc_id long, version long, line int, more array<int>, cls binary, n int, toks string")
+def _read(batches):
+    """Chunks of lines of batches of doc_id, version, text: ((doc_id, version) of each line, its number, Lines)."""
+    for pdf in batches:
+        rows = (((d, v), t) for d, v, t in zip(pdf["doc_id"].tolist(), pdf["version"].tolist(), pdf["text"]))
+        for keys, first, found in chunks(rows):
+            own = np.array(keys, np.int64).reshape(-1, 2)[found.owner]
+            yield own, first[found.owner] + found.line, found
 
 
-def token_counts(classes: DataFrame) -> DataFrame:
-    """Tokens that several classes hold: token, c (their number)."""
+def _first_of_class(found) -> np.ndarray:
+    """Index of the first line of each class in a chunk, in order."""
+    order = np.lexsort((found.c2, found.c))
+    c, c2 = found.c[order], found.c2[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (c[1:] != c[:-1]) | (c2[1:] != c2[:-1])
+    return np.sort(order[new])
 
-    def run(batches):
-        seen = Counter()
-        for pdf in batches:
-            for toks in pdf["toks"]:
-                seen.update(toks.split(" "))
-            if len(seen) > 500_000:
-                yield pd.DataFrame({"token": [*seen], "c": [*seen.values()]})
-                seen.clear()
-        if seen:
-            yield pd.DataFrame({"token": [*seen], "c": [*seen.values()]})
 
-    return classes.select("toks").mapInPandas(run, "token string, c long").groupBy("token").agg(F.sum("c").alias("c")).where("c > 1")
+def _select(found, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of the lines ``keep``, the place of each one's line in ``keep``, and where each line's words start."""
+    n = found.n[keep]
+    start = np.cumsum(n) - n
+    own = np.repeat(np.arange(len(keep)), n)
+    return found.words[np.repeat(found.first[keep] - start, n) + np.arange(len(own))], own, start
+
 
+def _gathered(parts, rows: int = 50_000):
+    """Dictionaries of columns as frames of about ``rows`` rows."""
+    held, size = [], 0
+    for part in parts:
+        held.append(part)
+        size += len(part["c"])
+        if size >= rows:
+            yield pd.DataFrame({k: np.concatenate([x[k] for x in held]) for k in held[0]})
+            held, size = [], 0
+    if size:
+        yield pd.DataFrame({k: np.concatenate([x[k] for x in held]) for k in held[0]})
 
-def token_key(token: str) -> int:
-    return xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass"), SEED)
+
+def _documents(documents: DataFrame, versions: bool = False) -> DataFrame:
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null and text <> ''")
+    return docs.select("doc_id", (F.xxhash64("text") if versions else F.lit(0).cast("long")).alias("version"), "text")
 
 
-def shared_bits(counts: DataFrame) -> bytes:
-    """A bit for each hash value that a shared token has: 2**BITS bits, whatever the number of tokens.
+def lines_and_counts(documents: DataFrame, percent: int) -> DataFrame:
+    """Every line with words (doc_id, version, line, c, c2), and counts of words by hash slot (segment, counts), in one read.
 
-    A token whose bit is off is in one class only and needs no posting; on a full table the bits only stop saving work.
+    Segment -1 counts the postings to come.
     """
-    place = F.xxhash64("token").bitwiseAND(F.lit((1 << BITS) - 1).cast("long"))
-    words = counts.select(F.shiftright(place, 6).cast("int").alias("w"), F.expr(f"shiftleft(1L, cast({(1 << 6) - 1} & xxhash64(token) as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
-    out = np.zeros(1 << (BITS - 6), np.int64)
-    found = words.toArrow()
-    out[found["w"].to_numpy()] = found["b"].to_numpy()
-    return out.astype("<i8").tobytes()
+    names = ["doc_id", "version", "line", "c", "c2", "segment", "counts"]
+
+    def run(batches):
+        table, total = np.zeros(1 << SLOTS, np.int32), 0
+
+        def rows():
+            nonlocal total
+            for own, line, found in _read(batches):
+                keep = _first_of_class(found)
+                total += int(prefix_length(found.n[keep], percent).sum())
+                words, _, _ = _select(found, keep)
+                slot, times = np.unique(words & _U((1 << SLOTS) - 1), return_counts=True)
+                table[slot.astype(np.int64)] += times.astype(np.int32)
+                yield {"doc_id": own[:, 0], "version": own[:, 1], "line": line, "c": found.c, "c2": found.c2}
+
+        for frame in _gathered(rows()):
+            yield frame.assign(segment=pd.Series([None] * len(frame), dtype="Int64"), counts=None)
+        slots = np.flatnonzero(table)
+        cut = np.searchsorted(slots, np.arange(0, (1 << SLOTS) + 1, 1 << SEGMENT))
+        held = (slots << 32) | table[slots]
+        out = pd.DataFrame([(k, held[a:b].astype("<i8").tobytes()) for k, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if b > a] + [(-1, total.to_bytes(8, "little"))], columns=names[5:])
+        yield out.reindex(columns=names).astype({k: "Int64" for k in names[:6]})
+
+    return _documents(documents, True).mapInPandas(run, "doc_id long, version long, line int, c long, c2 long, segment int, counts binary")
 
 
-def postings(classes: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
-    """Prefix postings of shared tokens: key (token hash), id, n, pos (place in the global order), map (64 bits of all tokens' hashes)."""
-    context = classes.sparkSession.sparkContext
-    common = {r["token"]: r["c"] for r in counts.orderBy(F.desc("c"), "token").limit(ORDERED).collect()}
-    sent = context.broadcast((common, shared_bits(counts)))
+def token_order(read: DataFrame) -> tuple[np.ndarray, int]:
+    """8 log2 of the number of lines that hold a word of each hash slot (0: one line or none), a byte each; the number of postings."""
 
     def run(batches):
-        common, bits = sent.value
-        get, mask = common.get, (1 << BITS) - 1
+        tables: dict[int, np.ndarray] = {}
+        total = 0
         for pdf in batches:
-            key, ids, size, pos, maps = [], [], [], [], []
-            for i, toks in zip(pdf["id"], pdf["toks"]):
-                t = toks.split(" ")
-                n, own = len(t), 0
-                for x in toks.encode("utf-8", "surrogatepass").split(b" "):
-                    own |= 1 << (zlib.crc32(x) & 63)
-                for at, x in enumerate(sorted(t, key=lambda x: (get(x, 0), x))[: prefix_length(n, percent)]):
-                    k = token_key(x)
-                    if bits[(k & mask) >> 3] >> (k & 7) & 1:
-                        key.append(k)
-                        ids.append(i)
-                        size.append(n)
-                        pos.append(at)
-                        maps.append(own)
-            whole = lambda x: np.array(x, np.uint64).view(np.int64)
-            yield pd.DataFrame({"key": whole(key), "id": np.array(ids, np.int64), "n": np.array(size, np.int32), "pos": np.array(pos, np.int32), "map": whole(maps)})
-
-    # a set of fewer than `least` tokens can be similar only to an equal one
-    least = 1
-    while (least + 1) * percent > least * 100:
-        least += 1
-    return classes.where(F.col("n") >= least).select("id", "toks").mapInPandas(run, "key long, id long, n int, pos int, map long")
+            for segment, counts in zip(pdf["segment"].tolist(), pdf["counts"]):
+                if segment < 0:
+                    total += int.from_bytes(counts, "little")
+                    continue
+                own = tables.setdefault(segment, np.zeros(1 << SEGMENT, np.int64))
+                held = np.frombuffer(counts, "<i8")
+                own[(held >> 32) & ((1 << SEGMENT) - 1)] += held & 0xFFFFFFFF
+        if total:
+            yield pd.DataFrame({"segment": [-1], "part": [total.to_bytes(8, "little")]})
+        for segment, own in tables.items():
+            yield pd.DataFrame({"segment": [segment], "part": [np.minimum(255, np.round(8 * np.log2(np.maximum(own, 1)))).astype(np.uint8).tobytes()]})
+
+    parts = read.where("segment is not null").select("segment", "counts").repartition("segment").mapInPandas(run, "segment int, part binary")
+    out, total = np.zeros(1 << SLOTS, np.uint8), 0
+    for r in parts.toArrow().to_pylist():
+        if r["segment"] < 0:
+            total += int.from_bytes(r["part"], "little")
+        else:
+            out[r["segment"] << SEGMENT : (r["segment"] + 1) << SEGMENT] = np.frombuffer(r["part"], np.uint8)
+    return out, total
+
+
+def parities(words: np.ndarray, start: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
+    """Parities of each set's words by bits of their hashes: 64 bits, and for larger sets what splits them into 128 or 256."""
+    bit, quarter = _U(1) << ((words >> _U(17)) & _U(63)), (words >> _U(15)) & _U(3)
+    fold = lambda of: np.bitwise_xor.reduceat(np.where(of, bit, _U(0)), start)
+    two = np.where(n > TWO, fold(quarter & _U(1) == 1), _U(0))
+    out = {"map": np.bitwise_xor.reduceat(bit, start), "map2": two, "map3": np.where(n > FOUR, fold(quarter == 2), _U(0)), "map4": np.where(n > FOUR, fold(quarter == 3), _U(0))}
+    return {k: v.view(np.int64) for k, v in out.items()}
+
+
+def postings(documents: DataFrame, order: np.ndarray, percent: int, buckets: int, spread: int = SPREAD) -> DataFrame:
+    """Prefix postings of the words that several lines may share, packed: ``bucket`` and the columns of ``POSTING`` as binaries.
+
+    key: place of the word in the global order (8 bits of count, 39 of hash; words of one key count as one); c: class; size: the set's
+    number of words and below it the number of those before this one (31 bits); map...: see ``parities``; doc, line: first line of the
+    class that was seen.  A key's postings share a bucket; those of frequent words, which are only passed on, are dealt by class.
+    """
+    sent = documents.sparkSession.sparkContext.broadcast(order.tobytes())
+    least = least_size(percent)
+
+    def rows(batches):
+        order = np.frombuffer(sent.value, np.uint8)
+        for own, line, found in _read(batches):
+            keep = _first_of_class(found)
+            keep = keep[found.n[keep] >= least]
+            words, of, start = _select(found, keep)
+            if not len(words):
+                continue
+            # a chunk has under 2**17 lines
+            key = (order[(words & _U((1 << SLOTS) - 1)).astype(np.int64)].astype(_U) << _U(39)) | (words >> _U(25))
+            key = np.sort((of.astype(_U) << _U(47)) | key) & _U((1 << 47) - 1)
+            n = found.n[keep]
+            pos = np.arange(len(of)) - start[of]
+            at = np.flatnonzero((pos < prefix_length(n, percent)[of]) & (key >= _U(1 << 39)))
+            maps = parities(words, start, n)
+            of = of[at]
+            row = keep[of]
+            yield {"key": key[at].view(np.int64), "c": found.c[row], "size": (n[of] << 31) | pos[at], "doc": own[row, 0], "line": line[row]} | {k: v[of] for k, v in maps.items()}
+
+    def run(batches):
+        for pdf in _gathered(rows(batches), 200_000):
+            key, c = pdf["key"].to_numpy(), pdf["c"].to_numpy()
+            bucket = (mix(np.where(key >> 39 >= spread, c, key).view(_U)) % _U(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            found, first = np.unique(bucket[order], return_index=True)
+            edges = np.append(first, len(order))
+            held = {k: pdf[k].to_numpy().astype("<i8")[order] for k in NAMES}
+            yield pd.DataFrame({"bucket": found} | {k: [v[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])] for k, v in held.items()})
+
+    return _documents(documents).mapInPandas(run, "bucket int, " + ", ".join(f"{k} binary" for k in NAMES))
 
 
 def fits(x: str, y: str, percent: int) -> str:
-    """Length, positional and bitmap filters of two postings of one token, ``x`` the earlier.
+    """``x`` is earlier, and the length, positional and bitmap filters let two postings of one token pass.
 
-    Two sets differ in at least as many tokens as their bitmaps differ in bits.
+    Two sets differ in at least as many words as their parities differ in bits.
     """
     return (
-        f"{x}.id < {y}.id and least({x}.n, {y}.n) * 100 >= {percent} * greatest({x}.n, {y}.n)"
-        f" and least({x}.n - {x}.pos, {y}.n - {y}.pos) * {100 + percent} >= {percent} * ({x}.n + {y}.n)"
-        f" and bit_count({x}.map ^ {y}.map) * {100 + percent} <= {100 - percent} * ({x}.n + {y}.n)"
+        f"struct({x}.doc, {x}.line, {x}.c) < struct({y}.doc, {y}.line, {y}.c) and least({x}.n, {y}.n) * 100L >= {percent} * greatest({x}.n, {y}.n)"
+        f" and least({x}.n - {x}.pos, {y}.n - {y}.pos) * {100 + percent}L >= {percent} * ({x}.n + {y}.n)"
+        f" and bit_count({x}.map ^ {y}.map) * {100 + percent}L <= {100 - percent}L * ({x}.n + {y}.n)"
+        f" and (least({x}.n, {y}.n) <= {TWO} or (bit_count({x}.map2 ^ {y}.map2) + bit_count({x}.map ^ {x}.map2 ^ {y}.map ^ {y}.map2)) * {100 + percent}L <= {100 - percent}L * ({x}.n + {y}.n))"
     )
 
 
-def array_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that pass the filters of ``fits``, from whole lists held as arrays: ids, ns, places, maps."""
+class ListSearch:
+    """Candidates among the postings of whole lists, given in columns."""
+
+    def __init__(self, percent: int, nearest: int = NEAREST, long: int = LONG, spread: int = SPREAD):
+        self.percent, self.nearest, self.long, self.spread = percent, nearest, long, spread
+
+    def distinct(self, p: dict) -> dict:
+        """One posting for each key and class, with its earliest line, in order of key and size."""
+        order = np.argsort(p["key"])
+        key = p["key"][order]
+        run = np.cumsum(np.diff(key, prepend=key[0]) != 0)
+        n, c = np.minimum(p["size"][order] >> 31, (1 << 20) - 1), p["c"][order]
+        again = np.argsort((run << 43) | (n << 23) | (c & 0x7FFFFF)) if run[-1] < 1 << 20 else np.lexsort((c, n, run))
+        order = order[again]
+        p = {k: v[order] for k, v in p.items()}
+        new = np.ones(len(order), bool)
+        new[1:] = (p["key"][1:] != p["key"][:-1]) | (p["c"][1:] != p["c"][:-1]) | (p["size"][1:] != p["size"][:-1]) | (p["map"][1:] != p["map"][:-1])
+        if new.all():
+            return p
+        first = np.flatnonzero(new)
+        doc = np.minimum.reduceat(p["doc"], first)
+        own = np.repeat(doc, np.diff(np.append(first, len(new)))) == p["doc"]
+        line = np.minimum.reduceat(np.where(own, p["line"], np.iinfo(np.int32).max), first)
+        return {k: v[first] for k, v in p.items()} | {"doc": doc, "line": line}
+
+    def search(self, p: dict) -> tuple[np.ndarray, dict]:
+        """Candidates handed out, and postings of lists that need rounds, with ``over``.
+
+        Candidates: earlier class, later class, difference of their parities, document and line of either.
+        ``over`` marks postings whose line has more candidates in the list than it hands out.
+        """
+        p = self.distinct(p)
+        key, size = p["key"], len(p["key"])
+        p |= {"n": p["size"] >> 31, "left": (p["size"] >> 31) - (p["size"] & ((1 << 31) - 1))}
+        first = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
+        length = np.diff(np.append(first, size))
+        end = np.repeat(first + length, length)
+        long = (length > self.long) | (key[first] >> 39 >= self.spread)
+        over = np.repeat(long, length)
+        long = over.copy()
+        pairs = []
+        for lo, hi in self.blocks(first, length, np.cumsum(length * (length - 1) // 2)):
+            x, y, far = self.pairs(p, np.arange(lo, hi)[~long[lo:hi]], end)
+            if len(x):
+                order = np.lexsort((p["line"][x], p["doc"][x], far, y))
+                x, y, far = x[order], y[order], far[order]
+                at = np.flatnonzero(np.diff(y, prepend=-1))
+                place = np.arange(len(y)) - np.repeat(at, np.diff(np.append(at, len(y))))
+                over[y[place >= self.nearest]] = True
+                x, y, far = (v[place < self.nearest] for v in (x, y, far))
+                pairs.append(np.stack([p["c"][x], p["c"][y], far, p["doc"][x], p["line"][x], p["doc"][y], p["line"][y]]))
+        opened = np.repeat(np.maximum.reduceat(over, first), length)
+        rest = {k: p[k][opened] for k in NAMES} | {"over": over[opened]}
+        return np.concatenate([np.zeros((7, 0), np.int64), *pairs], axis=1), rest
+
+    @staticmethod
+    def blocks(first, length, work, most: int = 4_000_000):
+        """Whole lists of a bounded number of comparisons."""
+        lo = 0
+        while lo < len(first):
+            done = work[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(work, done + most, "right")))
+            yield first[lo], first[hi - 1] + length[hi - 1]
+            lo = hi
+
+    def pairs(self, p, a, end):
+        """(earlier, later, difference of their parities) of the pairs that pass the filters."""
+        n, left, t = p["n"], p["left"], self.percent
+        one, two, three, four = (p[k].view(_U) for k in ("map", "map2", "map3", "map4"))
+        count = lambda v: np.bitwise_count(v).astype(np.int64)
+        out, step = [], 1
+        while True:
+            a = a[a + step < end[a]]
+            a = a[n[a] * 100 >= t * n[a + step]]  # sizes rise within a list
+            if not len(a):
+                break
+            b, total = a + step, n[a] + n[a + step]
+            ok = np.minimum(left[a], left[b]) * (100 + t) >= t * total
+            x, y, total = a[ok], b[ok], total[ok]
+            far = count(one[x] ^ one[y])
+            ok = (far * (100 + t) <= (100 - t) * total) & (p["c"][x] != p["c"][y])
+            x, y, far, total = x[ok], y[ok], far[ok], total[ok]
+            # the parities of larger sets come in halves, or quarters
+            i = np.flatnonzero(np.minimum(n[x], n[y]) > TWO)
+            if len(i):
+                a2, b2 = two[x[i]] ^ two[y[i]], one[x[i]] ^ one[y[i]]
+                far[i] = count(a2) + count(a2 ^ b2)
+                j = np.flatnonzero(np.minimum(n[x[i]], n[y[i]]) > FOUR)
+                if len(j):
+                    k = i[j]
+                    c3, d4 = three[x[k]] ^ three[y[k]], four[x[k]] ^ four[y[k]]
+                    far[k] = count(c3) + count(d4) + count(a2[j] ^ d4) + count(b2[j] ^ a2[j] ^ c3)
+                ok = far * (100 + t) <= (100 - t) * total
+                x, y, far = x[ok], y[ok], far[ok]
+            swap = p["doc"][x] > p["doc"][y]
+            tie = np.flatnonzero(p["doc"][x] == p["doc"][y])
+            i, j = x[tie], y[tie]
+            swap[tie] = (p["line"][i] > p["line"][j]) | ((p["line"][i] == p["line"][j]) & (p["c"][i] > p["c"][j]))
+            out.append((np.where(swap, y, x), np.where(swap, x, y), far))
+            step += 1
+        return [np.concatenate(v) for v in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
+
+
+def search_lists(lists: DataFrame, percent: int, nearest: int = NEAREST, long: int = LONG, spread: int = SPREAD) -> DataFrame:
+    """Candidates (a, b, far and places), and the postings of lists that need rounds (``POSTING``, over), as one table."""
+    ends = ["a", "b", "far", "adoc", "aline", "bdoc", "bline"]
+    columns = [*ends, *NAMES, "over"]
+
+    def frames(search, held):
+        found, rest = search.search({k: np.frombuffer(b"".join(v for part in held for v in part[k]), "<i8") for k in NAMES})
+        if found.shape[1]:
+            found = found[:, np.lexsort((found[2], found[0], found[1]))]
+            new = np.ones(found.shape[1], bool)
+            new[1:] = (found[0, 1:] != found[0, :-1]) | (found[1, 1:] != found[1, :-1])
+            yield pd.DataFrame(dict(zip(ends, found[:, new]))).reindex(columns=columns).astype({k: "Int64" for k in NAMES} | {"over": "boolean"})
+        if len(rest["key"]):
+            yield pd.DataFrame(rest).reindex(columns=columns).astype({k: "Int64" for k in ends})
 
     def run(batches):
+        search, held, last = ListSearch(percent, nearest, long, spread), [], None
         for pdf in batches:
-            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for ids, n, place, bits in zip(pdf["ids"], pdf["ns"], pdf["places"], pdf["maps"]):
-                order = np.argsort(ids, kind="stable")
-                ids, n, left, bits = ids[order], n[order].astype(np.int64), (n - place)[order], bits[order].view(np.uint64)
-                total = n[:, None] + n
-                ok = np.minimum(left[:, None], left) * (100 + percent) >= percent * total
-                ok &= np.minimum(n[:, None], n) * 100 >= percent * np.maximum(n[:, None], n)
-                x, y = np.nonzero(np.triu(ok, 1))
-                near = np.bitwise_count(bits[x] ^ bits[y]).astype(np.int64) * (100 + percent) <= (100 - percent) * total[x, y]
-                near &= ids[x] != ids[y]
-                a.append(ids[x[near]])
-                b.append(ids[y[near]])
-            yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
-
-    return lists.mapInPandas(run, "a long, b long")
-
-
-def verified(pairs: DataFrame, sets: DataFrame, percent: int, few: int = 500_000) -> DataFrame:
-    """``pairs(a, b)`` with ``ok``, by whole sets (id, toks).
-
-    Only sets that stand in a pair are joined; their ids are broadcast if they are counted and are at most ``few``.
-    """
-    pairs = scratch(pairs, "pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    if pairs.count() * 2 <= few:
-        ids = F.broadcast(ids)
-    held = scratch(sets.join(ids, "id", "left_semi"), "held")
-    both = pairs.join(held.toDF("a", "x"), "a").join(held.toDF("b", "y"), "b").select("a", "b", F.split("x", " ").alias("x"), F.split("y", " ").alias("y"))
-    overlap = F.size(F.array_intersect("x", "y"))
-    out = scratch(both.select("a", "b", (overlap * (100 + percent) >= percent * (F.size("x") + F.size("y"))).alias("ok")), "judged")
-    drop_scratch(held)
-    drop_scratch(pairs)
-    return out
+            for bucket, part in pdf.groupby("bucket"):  # in order; a bucket may go on in the next batch
+                if held and bucket != last:
+                    yield from frames(search, held)
+                    held = []
+                last = bucket
+                held.append(part)
+        if held:
+            yield from frames(search, held)
 
+    return lists.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(run, f"a long, b long, far int, adoc long, aline int, bdoc long, bline int, {POSTING}, over boolean")
 
-def later_matches(classes: DataFrame, percent: int, growth: int = 16, short: int = 16, long: int = 512) -> DataFrame:
-    """Ids of the classes(id, n, toks) to which an earlier class (of a lower id) is similar.
 
-    Lists of at most ``short`` postings are searched as one array, in SQL, and those of at most ``long`` in numpy; only pairs that pass
-    the filters leave them.  Longer lists, whatever their length, go in rounds of hubs.
-    """
-    spark = classes.sparkSession
-    counts = scratch(token_counts(classes), "counts")
-    lists = scratch(postings(classes, counts, percent), "postings")
-    drop_scratch(counts)
-    several = lists.groupBy("key").agg(F.count("*").cast("int").alias("c")).where("c > 1")
-    sets = classes.select("id", "toks")
-    arrays = lists.join(several.where(F.col("c") <= short).select("key"), "key").groupBy("key").agg(F.collect_list(F.struct("id", "n", "pos", "map")).alias("p"))
-    found = arrays.select(F.explode(F.expr(f"flatten(transform(p, y -> transform(filter(p, x -> {fits('x', 'y', percent)}), x -> struct(x.id as a, y.id as b))))")).alias("e"))
-    middle = lists.join(several.where((F.col("c") > short) & (F.col("c") <= long)).select("key"), "key").groupBy("key").agg(
-        *(F.collect_list(c).alias(n) for c, n in (("id", "ids"), ("n", "ns"), ("pos", "places"), ("map", "maps")))
-    )
-    candidates = found.select("e.a", "e.b").union(array_pairs(middle.drop("key"), percent))
-    judged = verified(candidates.distinct(), sets, percent)
-    tested = judged.where("not ok").select("a", "b")
-    matched = judged.where("ok").select(F.col("b").alias("id")).distinct()
-    rest = scratch(lists.join(several.where(F.col("c") > long).select("key"), "key").withColumn("done", F.lit(False)), "lists")
+def _slot(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    return (mix(doc.astype(np.int64).view(_U) * _U(0x9E3779B97F4A7C15) + line.astype(_U)) & _U((1 << WANTED) - 1)).astype(np.int64)
+
+
+def _wanted(places: DataFrame) -> bytes:
+    """A bit for each hash value that one of the lines ``places(doc, line)`` has: 2**WANTED bits, however many they are."""
+
+    def run(batches):
+        bits = np.zeros(1 << WANTED, bool)
+        for pdf in batches:
+            bits[_slot(pdf["doc"].to_numpy(), pdf["line"].to_numpy())] = True
+        words = np.packbits(bits, bitorder="little").view("<i8")
+        at = np.flatnonzero(words)
+        yield pd.DataFrame({"w": at, "b": words[at]})
+
+    out = np.zeros(1 << (WANTED - 6), np.int64)
+    found = places.mapInPandas(run, "w int, b long").groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    out[found["w"].to_numpy()] = found["b"].to_numpy()
+    return out.astype("<i8").tobytes()
+
+
+def sets_of(documents: DataFrame, places: DataFrame) -> DataFrame:
+    """Words of the lines ``places(doc, line)`` (and of a few others): c, c2, toks (sorted, blank between)."""
+    sent = documents.sparkSession.sparkContext.broadcast(_wanted(places))
+
+    def run(batches):
+        bits = np.frombuffer(sent.value, np.uint8)
+        for pdf in batches:
+            docs, texts = pdf["doc_id"].to_numpy(), pdf["text"].tolist()
+            lines = np.array([t.count("\n") + 1 for t in texts], np.int64)
+            number = np.arange(lines.sum()) - np.repeat(np.cumsum(lines) - lines, lines)
+            slot = _slot(np.repeat(docs, lines), number)
+            of = np.repeat(np.arange(len(texts)), lines)
+            at = np.flatnonzero((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
+            pieces, last, own = [], -1, []
+            for i, k in zip(of[at].tolist(), number[at].tolist()):
+                if i != last:
+                    last, own = i, texts[i].split("\n")
+                pieces.append(own[k])
+            for _, _, found in chunks((None, x) for x in pieces):
+                keep = _first_of_class(found)
+                yield pd.DataFrame({"c": found.c[keep], "c2": found.c2[keep], "toks": [" ".join(line_tokens(found.string(i))) for i in keep.tolist()]})
+
+    return _documents(documents).select("doc_id", "text").mapInPandas(run, "c long, c2 long, toks string")
+
+
+def verified(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """``pairs(a, b)`` with b2 (the rest of b's identity) and ``ok``, by the words of both (``held``: c, c2, toks)."""
+    held = held.groupBy("c").agg(F.max(F.struct("toks", "c2")).alias("h"))
+    both = pairs.join(held.select(F.col("c").alias("a"), F.col("h.toks").alias("x")), "a")
+    both = both.join(held.select(F.col("c").alias("b"), F.col("h").alias("y")), "b")
+    x, y = F.split("x", " "), F.split("y.toks", " ")
+    overlap = F.size(F.array_intersect(x, y))
+    return scratch(both.select("a", "b", F.col("y.c2").alias("b2"), (overlap * (100 + percent) >= percent * (F.size(x) + F.size(y))).alias("ok")), "judged")
+
+
+def later_matches(documents: DataFrame, order: np.ndarray, total: int, percent: int, hubs: int = 8, growth: int = 64, nearest: int = NEAREST, long: int = LONG, spread: int = SPREAD) -> DataFrame:
+    """Classes (c, c2) to which an earlier class is similar; the last five decide only which way a match is found."""
+    buckets = max(4 * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET))
+    lists = scratch(search_lists(postings(documents, order, percent, min(buckets, 1 << 30), spread), percent, nearest, long, spread), "lists")
+    pairs = scratch(lists.where("a is not null").groupBy("a", "b").agg(*(F.min(n).alias(n) for n in ("far", "adoc", "aline", "bdoc", "bline"))), "pairs")
+    places = pairs.select(F.explode(F.array(F.struct(F.col("adoc").alias("doc"), F.col("aline").alias("line")), F.struct(F.col("bdoc").alias("doc"), F.col("bline").alias("line")))).alias("p"))
+    held = scratch(sets_of(documents, places.select("p.*")), "held")
+    # each line's likeliest candidate first; the others only where that fails
+    judged = verified(pairs.groupBy("b").agg(F.min_by("a", F.struct("far", "a")).alias("a")), held, percent)
+    found = judged.where("ok").select(F.col("b").alias("c"), F.col("b2").alias("c2")).distinct()
+    others = pairs.select("a", "b").join(judged.where("ok").select("b").distinct(), "b", "left_anti").join(judged.select("a", "b"), ["a", "b"], "left_anti")
+    more = verified(others, held, percent)
+    tested = judged.union(more).where("not ok").select("a", "b")
+    matched = scratch(found.union(more.where("ok").select("b", "b2")).distinct(), "matched")
+    drop_scratch(pairs)
+    drop_scratch(held)
+    columns = ["key", "c", "n", "pos", "map", "map2", "doc", "line"]
+    # a frequent word's list comes in parts, and a class in several of them no more than once
+    rest = lists.where("key is not null").groupBy("key", "c", "size", "map", "map2").agg(F.min(F.struct("doc", "line")).alias("at"), F.max("over").alias("over"))
+    size = F.shiftright("size", 31).cast("int").alias("n"), F.col("size").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("pos")
+    rest = rest.select("key", "c", *size, "map", "map2", "at.doc", "at.line", "over")
+
+    def pruned(rest: DataFrame, matched: DataFrame) -> DataFrame:
+        """Lists in which an unmatched line still has earlier ones to try, up to the last such line."""
+        after = rest.join(matched.select("c", F.lit(True).alias("matched")).distinct(), "c", "left").withColumn("matched", F.coalesce("matched", F.lit(False)))
+        place = F.struct("doc", "line", "c")
+        bound = after.groupBy("key").agg(F.max(F.when(~F.col("matched") & F.col("over"), place)).alias("last"), F.min(F.when(~F.col("done"), place)).alias("next")).where("next < last")
+        return after.join(bound.select("key", "last"), "key").where(place <= F.col("last")).where("not (done and matched)").select(*columns, "over", "done")
+
+    rest = scratch(pruned(rest.withColumn("done", F.lit(False)), matched), "rest")
     drop_scratch(lists)
-    many = 1
-    while not rest.isEmpty():
+    many = hubs
+    held = None if rest.isEmpty() else scratch(sets_of(documents, rest.select("doc", "line")), "held")
+    while held is not None and not rest.isEmpty():
         # the hubs of a list travel as one array of at most `many`
-        part = F.pmod(F.xxhash64("id"), F.lit(many))
-        hubs = rest.where("not done").groupBy("key", part.alias("part")).agg(F.min("id").alias("id"), *(F.min_by(c, "id").alias(c) for c in ("n", "pos", "map")))
-        hubs = hubs.groupBy("key").agg(F.collect_list(F.struct("id", "n", "pos", "map")).alias("hubs"))
-        dealt = rest.join(hubs, "key")
+        posting = F.struct(*columns[1:])
+        part = F.pmod(F.xxhash64("c"), F.lit(many))
+        least = rest.where("not done").groupBy("key", part.alias("part")).agg(F.min_by(posting, F.struct("doc", "line", "c")).alias("hub"))
+        dealt = rest.join(least.groupBy("key").agg(F.collect_list("hub").alias("hubs")), "key")
         near = F.expr(f"filter(hubs, h -> {fits('h', 'me', percent)})")
-        pairs = dealt.join(matched, "id", "left_anti").withColumn("me", F.struct("id", "n", "pos", "map")).select(F.explode(near).alias("h"), F.col("id").alias("b"))
-        pairs = pairs.select(F.col("h.id").alias("a"), "b").distinct().join(tested, ["a", "b"], "left_anti")
-        judged = verified(pairs, sets, percent)
+        pairs = dealt.where("over").join(matched, "c", "left_anti").withColumn("me", posting).select(F.explode(near).alias("h"), F.col("c").alias("b"))
+        pairs = pairs.select(F.col("h.c").alias("a"), "b").distinct().join(tested, ["a", "b"], "left_anti")
+        judged = verified(pairs, held, percent)
         tested = tested.union(judged.where("not ok").select("a", "b"))
-        matched = scratch(matched.union(judged.where("ok").select(F.col("b").alias("id"))).distinct(), "matched")
-        done = F.col("done") | F.exists("hubs", lambda h: h["id"] == F.col("id"))
-        after = dealt.select("key", "id", "n", "pos", "map", done.alias("done"))
-        after = after.join(matched.withColumn("matched", F.lit(True)), "id", "left").withColumn("matched", F.coalesce("matched", F.lit(False)))
-        bound = after.groupBy("key").agg(F.max(F.when(~F.col("matched"), F.col("id"))).alias("last"), F.min(F.when(~F.col("done"), F.col("id"))).alias("next")).where("next < last")
-        left = scratch(after.join(bound.select("key", "last"), "key").where("id <= last and not (done and matched)").select("key", "id", "n", "pos", "map", "done"), "lists")
+        matched = scratch(matched.union(judged.where("ok").select("b", "b2")).distinct(), "matched")
+        done = F.col("done") | F.exists("hubs", lambda h: h["c"] == F.col("c"))
+        left = scratch(pruned(dealt.withColumn("done", done), matched), "rest")
         drop_scratch(rest)
         rest, many = left, many * growth
     return matched
 
 
-def find_duplicates(documents: DataFrame, percent: int = 80) -> DataFrame:
+def find_duplicates(documents: DataFrame, percent: int = 80, **ways) -> DataFrame:
     """doc_id, version, removed (sorted line numbers from 0): documents that lose lines."""
-    small_batches(documents.sparkSession)
-    read = scratch(_lines(documents), "lines")
-    top = documents.agg(F.min("doc_id"), F.max("doc_id")).first()
-    low, high = (0, 0) if top[0] is None else top
-    if high - low >= 1 << (62 - LINE_BITS):
-        raise ValueError("doc_id spans more than 2**42; number the documents first")
-    place = (F.col("doc_id") - low) * (1 << LINE_BITS) + F.col("line")
-    rows = scratch(read.drop("toks", "n"), "rows")
-    classes = read.groupBy("cls").agg(F.min(place).alias("id"), F.first("n").alias("n"), F.first("toks").alias("toks"))
-    classes = scratch(classes, "classes")
-    drop_scratch(read)
-    matched = later_matches(classes, percent).withColumn("gone", F.lit(True))
-    verdict = classes.select("cls", "id").join(matched, "id", "left").select("cls", "id", F.coalesce("gone", F.lit(False)).alias("gone"))
-    own = rows.select("doc_id", "version", "line", "more", "cls", place.alias("_place"))
-    lost = (
-        own.join(verdict, "cls").withColumn("self", F.col("gone") | (F.col("_place") != F.col("id")))
-        .where("self or size(more) > 0")
-        .select("doc_id", "version", F.when(F.col("self"), F.concat(F.array("line"), "more")).otherwise(F.col("more")).alias("l"))
-    )
-    return lost.groupBy("doc_id", "version").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("l")))).alias("removed"))
-
-
-def dedup_lines(documents: DataFrame, percent: int = 80) -> DataFrame:
+    read = scratch(lines_and_counts(documents, percent), "lines")
+    matched = later_matches(documents, *token_order(read), percent, **ways)
+    rows = read.where("c is not null").select("doc_id", "version", "line", "c", "c2")
+    classes = rows.groupBy("c", "c2").agg(F.min(F.struct("doc_id", "line", "version")).alias("first"), F.count("*").alias("times"))
+    gone = classes.join(matched.withColumn("gone", F.lit(True)), ["c", "c2"], "left").where("gone or times > 1")
+    gone = scratch(gone.select("c", "c2", "first", "times", F.coalesce("gone", F.lit(False)).alias("gone")), "gone")
+    # a class with over a thousandth of the lines: there are 1000 at most
+    hot = F.col("times") * 1000 > rows.count()
+    hottest = F.broadcast(gone.where(hot))
+    lost = rows.join(hottest, ["c", "c2"]).unionByName(rows.join(hottest, ["c", "c2"], "left_anti").join(gone.where(~hot), ["c", "c2"]))
+    lost = lost.where(F.col("gone") | (F.struct("doc_id", "line", "version") != F.col("first")))
+    return lost.groupBy("doc_id", "version").agg(F.array_sort(F.collect_set("line")).alias("removed"))
+
+
+def dedup_lines(documents: DataFrame, percent: int = 80, **ways) -> DataFrame:
     """``documents`` without its later matching lines: its columns with ``text`` cleaned, and ``removed``.
 
     Lines without words (blank or marks only) match nothing and stay.  Every row stays, with an empty text if all its
     lines go.  Null texts and rows with a null doc_id stay as they are and take no part.  Rows that share a
-    doc_id and a text are one document; rows that share a doc_id only are told apart by their texts.  A
-    line may have 2**20 - 1 lines before it.  An empty table gives an empty result.
+    doc_id and a text are one document; of rows that share a doc_id only, equal lines at one place are in order of their texts' hashes.
+    Any 64-bit doc_ids and any number of lines will do; a line is held whole in a task, at some 60 bytes a character.
+    A column ``removed`` is replaced; other columns may have any names.  An empty table gives an empty result.
     """
-    removed = find_duplicates(documents, percent).select(F.col("doc_id").alias("_doc"), F.col("version").alias("_version"), "removed")
-    if "removed" in documents.columns:
-        documents = documents.drop("removed")
-    hit = documents.withColumn("_v", F.xxhash64("text"))
-    joined = hit.join(removed, (hit["doc_id"].cast("long") == removed["_doc"]) & (hit["_v"] == removed["_version"]), "left")
+    removed = find_duplicates(documents, percent, **ways)
+    names = [n for n in documents.columns if n != "removed"]
+    own = documents.select(F.struct(*names).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"))
+    joined = own.join(removed, ["doc_id", "version"], "left")
     kept = F.transform(
-        F.array(F.split("text", "\n", -1)),
+        F.array(F.split("row.text", "\n", -1)),
         lambda lines: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed")), lambda i: F.get(lines, i)), "\n"),
     )
-    text = F.when(F.size("removed") > 0, F.element_at(kept, 1)).otherwise(F.col("text"))
-    return joined.withColumn("text", text).select(*documents.columns, F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
+    text = F.when(F.size("removed") > 0, F.element_at(kept, 1)).otherwise(F.col("row.text"))
+    return joined.select(*((text if n == "text" else F.col("row").getField(n)).alias(n) for n in names), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
 def report(documents: DataFrame, percent: int = 80) -> DataFrame:

@@ -5,7 +5,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from spanlake.llm import common, fingerprints, line_dedup, near_dedup
+from spanlake.llm import common, fingerprints, line_dedup, line_words, near_dedup
 
 
 def texts(spark, items, extra=True):
@@ -122,6 +122,47 @@ def test_line_dedup_matches_brute_force(spark):
     assert got == brute_lines(items)
 
 
+def test_line_dedup_ways_of_search(spark):
+    """Crowds of alike lines, found by lists, by rounds of hubs and by spread lists, match brute force."""
+    r = random.Random(8)
+    items = []
+    for doc in range(50):
+        base = [f"w{i}" for i in range(14 if doc % 4 else 240 if doc % 8 else 100)] if doc % 3 else [f"v{r.randint(0, 9)}" for _ in range(8)]
+        for i in r.sample(range(len(base)), r.randint(0, 3 + len(base) // 8)):
+            base[i] = f"x{r.randint(0, 30)}"
+        items.append((doc - 25 << 57, " ".join(base) + "\n" + " ".join(base[::-1] + ["more"])))
+    want = brute_lines(items)
+    for ways in ({}, {"nearest": 1}, {"long": 3}, {"long": 3, "spread": 1, "growth": 2, "hubs": 1}):
+        assert {x["doc_id"]: x["text"] for x in line_dedup.dedup_lines(texts(spark, items), **ways).collect()} == want, ways
+
+
+def test_line_dedup_of_many_lines(spark):
+    """Lines beyond 2**20 of a document, hashed ids, and rows of one doc_id."""
+    head = "\n" * (1 << 20)
+    items = [(-(1 << 63), head + "one two three\none two three"), ((1 << 63) - 1, "one two three\nwholly different words here"), (7, "p q r s"), (7, "p q r s\nnew words stand here")]
+    got = [(x["doc_id"], x["text"], x["removed"]) for x in line_dedup.dedup_lines(spark.createDataFrame(items, "doc_id long, text string")).collect()]
+    by = {(d, t.strip("\n")): r for d, t, r in got}
+    assert by[-(1 << 63), "one two three"] == [(1 << 20) + 1] and by[(1 << 63) - 1, "wholly different words here"] == [0]
+    assert sorted(r for d, _, r in got if d == 7) == [[], [0]]
+
+
+def test_words_of_lines():
+    r = random.Random(5)
+    parts = ["a", "B", "é", "İ", "ß", "Σ", "_", "9", "²", "\ud800", "\U0001d7d9", "-", " ", "\n", "\r", "中", "x" * 300]
+    pieces = ["".join(r.choice(parts) for _ in range(r.randint(0, 200))) for _ in range(60)]
+    found = line_words.Lines(pieces)
+    want = [(i, k, line_dedup.line_tokens(line)) for i, t in enumerate(pieces) for k, line in enumerate(t.split("\n"))]
+    want = [(i, k, w) for i, k, w in want if w]
+    assert list(zip(found.owner.tolist(), found.line.tolist(), found.n.tolist())) == [(i, k, len(w)) for i, k, w in want]
+    assert [line_dedup.line_tokens(found.string(i)) for i in range(len(want))] == [w for _, _, w in want]
+    ids = {}
+    assert all(ids.setdefault(tuple(w), c) == c for (_, _, w), c in zip(want, zip(found.c, found.c2))) and len(set(ids.values())) == len(ids)
+    texts_ = [(i, t) for i, t in enumerate(pieces)]
+    for size in (1, 50, 1 << 20):
+        rows = [(keys[o], f, tuple(line_dedup.line_tokens(x.string(j)))) for keys, first, x in line_words.chunks(iter(texts_), size) for j, (o, f) in enumerate(zip(x.owner.tolist(), (first[x.owner] + x.line).tolist()))]
+        assert rows == [(i, k, tuple(w)) for i, k, w in want], size
+
+
 def test_line_dedup_edge_cases(spark):
     items = [(1, "a b c\n\n***\na b c"), (2, None), (3, ""), (4, "c b a"), (None, "a b c"), (5, "long " * 3000)]
     df = texts(spark, items).withColumn("removed", F.lit("clash"))
@@ -148,27 +189,78 @@ def test_fingerprints(spark):
     assert fingerprints.fingerprints(texts(spark, items).where("false")).count() == 0
 
 
-def brute_signature(words, spark):
-    """Order MinHash by definition, over the engine's own hash of k-mers."""
-    rows = [(i, *(words[i + j] if i + j < len(words) else None for j in range(fingerprints.K))) for i in range(len(words))]
-    names = [f"w{j}" for j in range(fingerprints.K)]
-    df = spark.createDataFrame(rows, "i int, " + ", ".join(f"{n} string" for n in names))
-    h = [(r["h"] & (1 << 64) - 1) >> 25 for r in df.select("i", F.xxhash64(*names).alias("h")).orderBy("i").collect()]
-    seen, items = {}, []
-    pairs = [(x, seen.setdefault(x, []).append(0) or len(seen[x]) - 1) for x in h]
-    again = {(r["x"], r["o"]): (r["v"] & (1 << 64) - 1) >> 25 for r in spark.createDataFrame(sorted(set(pairs)), "x long, o int").select("x", "o", F.xxhash64("x", "o").alias("v")).collect()}
-    items = sorted((x if o == 0 else again[x, o], i) for i, (x, o) in enumerate(pairs))
-    out = []
-    for b in range(fingerprints.SKETCHES):
-        point = b << (39 - 7)
-        k = next((k for k, (x, _) in enumerate(items) if x >= point), 0)
-        two = sorted((items[k], items[(k + 1) % len(items)]), key=lambda t: t[1])
-        out.append((two[0][0], two[1][0]))
-    return [r["v"] & 65535 for r in spark.createDataFrame([(i, *t) for i, t in enumerate(out)], "i int, a long, b long").select("i", F.xxhash64("a", "b").alias("v")).orderBy("i").collect()]
-
-
-def test_fingerprint_matches_definition(spark):
+def brute_signatures(spark, texts_):
+    """Order MinHash by definition, over the engine's own hash."""
+    import re
+
+    words = {t: re.findall(fingerprints.WORD, t) for t in texts_}
+    rows = {tuple(w[i : i + 2]) for w in words.values() for i in range(len(w))}
+    bits = (1 << 64) - 1
+    df = spark.createDataFrame([(a, b[0] if b else None) for a, *b in rows], "a string, b string")
+    h = {(r["a"],) + ((r["b"],) if r["b"] is not None else ()): (r["h"] & bits) >> 32 for r in df.select("a", "b", F.xxhash64("a", "b").alias("h")).collect()}
+    items = {}
+    for t, w in words.items():
+        seen = {}
+        items[t] = []
+        for i in range(len(w)):
+            x = h[tuple(w[i : i + 2])]
+            items[t].append((x, seen.setdefault(x, []).append(0) or len(seen[x]) - 1))
+    pairs = sorted({x for v in items.values() for x in v})
+    again = {(r["x"], r["o"]): (r["v"] & bits) >> 32 for r in spark.createDataFrame(pairs, "x long, o int").select("x", "o", F.xxhash64("x", "o").alias("v")).collect()}
+    ids = {t: [x if o == 0 else again[x, o] for x, o in v] for t, v in items.items()}
+    every = spark.createDataFrame([(x,) for x in sorted({x for v in ids.values() for x in v})], "x long")
+    last = fingerprints.ROUNDS + fingerprints.SKETCHES
+    draw = {(r["x"], k): v & bits for r in every.select("x", *(F.xxhash64("x", F.lit(k)).alias(f"k{k}") for k in range(last + 1))).collect() for k, v in enumerate(r[1:])}
+    chosen = {}
+    for t, v in ids.items():
+        order = sorted(range(len(v)), key=lambda i: (v[i], i))
+        queue = {f: [] for f in range(fingerprints.SKETCHES)}
+        for k in range(fingerprints.ROUNDS):
+            for j, i in enumerate(order):
+                d = draw[v[i], k]
+                queue[d >> 57].append((k, d >> 39 & 262143, j, i))
+        for f in queue:
+            queue[f] += [(fingerprints.ROUNDS, draw[v[i], fingerprints.ROUNDS + 1 + f] >> 46, j, i) for j, i in enumerate(order)]
+            two = list(dict.fromkeys(i for *_, i in sorted(queue[f])))[:2]
+            chosen[t, f] = [v[i] for i in sorted(two)] * (1 if len(two) == 2 else 2)
+    table = sorted({tuple(x) for x in chosen.values()  if x})
+    coordinate = {(r["a"], r["b"]): r["v"] & 65535 for r in spark.createDataFrame(table, "a long, b long").select("a", "b", F.xxhash64("a", "b").alias("v")).collect()}
+    return {t: [coordinate[tuple(chosen[t, f])] for f in range(fingerprints.SKETCHES)] if v else [] for t, v in ids.items()}
+
+
+def test_fingerprints_match_definition(spark):
     r = random.Random(4)
-    words = [f"w{r.randint(0, 9)}" for _ in range(70)]
-    df = fingerprints.with_signature(spark.createDataFrame([(" ".join(words),)], "t string"), "t", "s")
-    assert df.first()["s"] == brute_signature(words, spark)
+    items = [(i * 7, " ".join(f"w{r.randint(0, 9 + 40 * (i % 3))}" for _ in range([1, 2, 3, 12, 40, 130][i % 6]))) for i in range(14)]
+    items += [(200, ""), (201, None), (202, "漢字かな mixed " * 4), (203, "x" * 30)]
+    docs = dict(sorted((d, t or "") for d, t in items))
+    following = dict(zip(docs, [*list(docs.values())[1:], next(iter(docs.values()))]))
+    edited = {d: t[: len(t) - len(t) // 2] + following[d][: len(t) // 2] for d, t in docs.items()}
+    want = brute_signatures(spark, {*docs.values(), *edited.values()})
+    like = lambda a, b: 1.0 if not a and not b else 0.0 if not a or not b else sum(x == y for x, y in zip(a, b)) / fingerprints.SKETCHES
+    for cell in (1, 5, 100):
+        got = {x["doc_id"]: x for x in fingerprints.fingerprints(texts(spark, items), rows_per_cell=cell).collect()}
+        for d, t in docs.items():
+            own, changed, after = want[t], want[edited[d]], want[following[d]]
+            assert got[d]["fingerprint"] == "".join(f"{v:04x}" for v in own) and got[d]["edited_fingerprint"] == "".join(f"{v:04x}" for v in changed), (d, t)
+            assert (got[d]["near_edited"], got[d]["near_next"]) == (like(own, changed), like(own, after))
+
+
+def test_fingerprint_of_a_long_text(spark):
+    """Texts around the length from which one round is drawn, and a long one: the same as by all rounds."""
+    r = random.Random(6)
+    cases = [" ".join(f"w{r.randint(0, 4000)}" for _ in range(n)) for n in (fingerprints.DRAWS - 1, fingerprints.DRAWS, 60_000)]
+    got = [x["s"] for x in fingerprints.with_signature(spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "i int, t string"), "t", "s").orderBy("i").collect()]
+    assert [got[0], got[1]] == [brute_signatures(spark, [t])[t] for t in cases[:2]] and len(got[2]) == fingerprints.SKETCHES
+    words = cases[2].split()
+    edits = [words[: 60_000 - k] + [f"x{i}" for i in range(k)] for k in (600, 30_000)]
+    near = [x["s"] for x in fingerprints.with_signature(spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(edits)], "i int, t string"), "t", "s").orderBy("i").collect()]
+    share = [sum(a == b for a, b in zip(got[2], v)) / fingerprints.SKETCHES for v in near]
+    assert share[0] > 0.9 and 0.05 < share[1] < 0.4
+
+
+def test_cells_of_outlying_and_repeated_ids(spark):
+    ids = [-(1 << 63), (1 << 63) - 1, *range(0, 400, 3), *[150] * 20, None]
+    items = [(d, f"text {k}") for k, d in enumerate(ids)]
+    got = [(x["doc_id"], x["text"], x["next_text"]) for x in fingerprints.with_next(texts(spark, items), rows_per_cell=5).where("_guest = 0").collect()]
+    order = sorted(items, key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+    assert sorted(got, key=repr) == sorted(((d, t, n) for (d, t), (_, n) in zip(order, order[1:] + order[:1])), key=repr)

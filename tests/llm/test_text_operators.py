@@ -85,7 +85,40 @@ def test_edited_passage_in_many_documents(spark, monkeypatch):
     assert {(x["doc_id"], x["item_id"], round(x["score"], 6), x["first_word"], x["end_word"]) for x in decontaminate.contaminated(df, bench).collect()} == want
     monkeypatch.setattr(decontaminate, "PAIRS", 5)  # the same hits where seeds are joined in many parts
     index = decontaminate.Index(items)
-    assert {(d, *h) for d, t in docs for h in index.hits(t, 0.5)} == want
+    assert {(d, *h) for d, t in docs for h in index.hits(t)} == want
+
+
+def test_decontamination_finds_what_exhaustive_alignment_finds(spark):
+    """Regular and random edits of items, and documents of common words: every document against every item."""
+    r = random.Random(23)
+    word = lambda: f"w{r.randint(0, 60)}" if r.random() < 0.5 else f"r{r.randint(0, 4000)}"
+    items = [(i, " ".join(word() for _ in range([1, 2, 3, 7, 12, 30, 50][i % 7]))) for i in range(35)]
+    docs = []
+    for d in range(220):
+        t = items[d % 35][1].split()
+        way = d % 10
+        if way < 4:  # every second to fifth word replaced
+            t = [word() if i % (way + 2) == 1 else w for i, w in enumerate(t)]
+        elif way == 4:  # a word put after each
+            t = [x for w in t for x in (w, word())]
+        elif way == 5:
+            t = [w for w in t if r.random() < 0.75]
+        elif way == 6:  # one half
+            t = t[: (len(t) + 1) // 2]
+        else:
+            t = [word() if r.random() < 0.1 * (way - 6) else w for w in t]
+        docs.append((d, " ".join([word() for _ in range(r.randint(0, 40))] + t + [word() for _ in range(r.randint(0, 40))])))
+    got = {(x["doc_id"], x["item_id"]): x["score"] for x in decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    for d, text in docs:
+        b = text.split()
+        for i, t in items:
+            a = t.split()
+            ids = {w: k + 1 for k, w in enumerate(dict.fromkeys(a))}
+            x, y = np.array([ids[w] for w in a]), np.array([ids.get(w, 0) for w in b])
+            score = decontaminate.align(x, y)[0] / (2 * len(a))
+            shared = any((y[j], y[j + k]) in {(x[q], x[q + m]) for m in (1, 2) for q in range(len(x) - m)} for k in (1, 2) for j in range(len(y) - k) if y[j] and y[j + k]) if len(a) > 1 else True
+            assert ((d, i) in got) == (score >= 0.5 and shared), (d, i, score)
+            assert (d, i) not in got or abs(got[d, i] - score) < 1e-9
 
 
 def test_licences(spark):
@@ -125,15 +158,15 @@ def test_packing_matches_the_tokenizer(spark):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     r = random.Random(3)
     docs = [(i, " ".join(r.choice(["é", "ab", "Don't", "12 3", "\n\n", "<|endoftext|>", "long" * 9]) for _ in range(r.randint(0, 900)))) for i in range(80)] + [(1000, None), (1001, "")]
     docs.append((1002, "word " * 20_000))
     ids = {d: [*(tok.encode(t, add_special_tokens=False).ids if t else []), 1] for d, t in docs}
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("length", F.lit("clash"))
-    path = P.path("byte_bpe_50k.tiktoken")
-    assert check_packing(packing.pack(df, path, P.PATTERN).collect(), ids) == 0
-    assert packing.pack(df.where("false"), path, P.PATTERN).count() == 0
+    path, added = P.path("byte_bpe_50k.tiktoken"), packing.added_tokens(P.path("byte_bpe_50k.json"))
+    assert added == {"<|endoftext|>": 50256} and any(50256 in x for x in ids.values())
+    assert check_packing(packing.pack(df, path, P.PATTERN, added).collect(), ids) == 0
+    assert packing.pack(df.where("false"), path, P.PATTERN, added).count() == 0
 
 
 def test_sum_of_squares_rule():
@@ -157,6 +190,34 @@ def test_sum_of_squares_rule():
         assert levels.n_open == levels.count.sum() == sum(len(w) for w in levels.open.values())
 
 
+def test_most_documents_stay_as_the_rule_placed_them():
+    r = random.Random(8)
+    for n, least in ((300, 0.9), (5000, 0.97)):
+        docs = [(i, np.full(1 + int(r.expovariate(1 / 500)), i, "<u4").tobytes()) for i in range(n)]
+        rows = [dict(zip([c.split()[0] for c in packing.SCHEMA.split(", ")], x)) for x in packing.pack_stream(iter(docs), 2048)]
+        assert check_packing(rows, {i: [i] * (len(b) // 4) for i, b in docs}) == 0
+        short = [i for i, b in docs if len(b) <= 4 * 2048]
+        whole = {x["doc_id"] for x in rows if x["length"] == x["doc_tokens"]}
+        assert len(whole & set(short)) >= least * len(short)
+
+
+def test_open_windows_stay_few():
+    """Documents that never fit together: cuts that the rule counts keep the level array low."""
+    levels, most = packing.SumOfSquares(64), 0
+    for rows in packing.pack_stream(((i, np.full(33, i, "<u4").tobytes()) for i in range(3000)), 64):
+        pass
+    for _ in range(3000):
+        change, level = levels.best(33)
+        cut_change, cut_level = levels.best_cut(33)
+        if cut_change < change - packing.CUT_COST:
+            levels.put("a", 64 - cut_level, cut_level)
+            levels.put("b", 33 - 64 + cut_level, 0)
+        else:
+            levels.put("x", 33, level)
+        most = max(most, levels.n_open)
+    assert most <= 64 * packing.CUT_COST
+
+
 def test_flush_of_many_open_windows():
     docs = [(i, np.full(1025 + i % 900, i, "<u4").tobytes()) for i in range(300)]
     rows = [dict(zip([c.split()[0] for c in packing.SCHEMA.split(", ")], r)) for r in packing.pack_stream(iter(docs), 2048, 10)]
