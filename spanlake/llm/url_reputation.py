@@ -4,7 +4,12 @@ Labelled page outcomes (bad or not) are counted for each host, registered domain
 level is a beta-binomial whose prior mean is the shrunken rate of the level above and whose strength is
 estimated from the spread of the level's own rates (method of moments over all its members).  A host's
 posterior is a beta distribution; the host is blocked if the lower bound of its bad rate
-(mean - z standard deviations) reaches ``block_at``.  Explicit rules go before the reputation.
+(mean - z standard deviations) is above ``excess`` times its suffix's rate, i.e. if it is all but certainly worse than
+hosts of its suffix are.  Explicit rules go before the reputation.
+
+Where pages come without outcomes, ``page_outcomes`` makes them from the visible text by three published rules
+for web text: words of 3 to 10 characters on average, a letter in 80 % of the words at least, and at most
+one ``#`` or ellipsis for ten words.  A page that breaks one of them is bad.
 """
 
 from __future__ import annotations
@@ -12,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import scratch
+
 #: Fixed values: (action, host, path prefix).
 RULES = [
     ("block", "com", "/en/"),
@@ -24,10 +31,10 @@ RULES = [
 TWO_LABEL_SUFFIXES = ["co.uk", "org.uk", "ac.uk", "com.au", "net.au", "co.jp", "ne.jp", "co.nz", "com.br", "co.za", "co.in", "com.mx"]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Evidence for a bad page, from the visible text: words that end in a run of symbols, shouted words, cell bars.
-TAGS = r"<[^>]*>"
-WORD = r"[^ \n\t]+"
-BAD_WORD = r"([a-z][*%#$&]{3}|[A-Z]!!|[a-z]&amp;&amp;&amp;|[ ][|][ ])"
+TAGS = r"(?is)<script.*?</script>|<style.*?</style>|<[^>]*>"
+WORD, LETTERS, BLANKS, SYMBOLS = r"[^ \n\t]+", r"\p{L}[^ \n\t]*", " \n\t", "#…"
+LEAST_WORDS, SHORT, LONG, LETTER_SHARE, SYMBOL_SHARE = 5, 3, 10, 80, 10
+ADDRESS = r"^([0-9.]+|\[.*\]?)$"
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -48,22 +55,28 @@ def matching_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colu
 
 
 def domains(host: Column) -> tuple[Column, Column]:
-    """(registered domain, suffix); a bare suffix or an address without dots is its own domain."""
-    suffix = F.when(F.substring_index(host, ".", -2).isin(TWO_LABEL_SUFFIXES), F.substring_index(host, ".", -2)).otherwise(F.substring_index(host, ".", -1))
-    n = F.size(F.split(suffix, r"\."))
-    return F.when(n == 2, F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2)), suffix
+    """(registered domain, suffix), without a port; a bare suffix or a name without dots is its own domain.
+
+    A numeric address is its own domain, with the suffix ``address``.
+    """
+    name = F.regexp_replace(host, r"(.):[0-9]*$", "$1")
+    numeric = name.rlike(ADDRESS)
+    two = F.substring_index(name, ".", -2).isin(TWO_LABEL_SUFFIXES)
+    suffix = F.when(numeric, "address").when(two, F.substring_index(name, ".", -2)).otherwise(F.substring_index(name, ".", -1))
+    return F.when(numeric, name).when(two, F.substring_index(name, ".", -3)).otherwise(F.substring_index(name, ".", -2)), suffix
 
 
-def page_outcomes(pages: DataFrame, share: int = 20, least_words: int = 5) -> DataFrame:
-    """A bad/good outcome of each page from its visible text: bad if ``share`` % of its words are junk.
+def page_outcomes(pages: DataFrame) -> DataFrame:
+    """``pages`` with ``outcome``: 1 if the visible text of ``html`` breaks a rule (see above), else 0.
 
-    ``outcome`` is null (no label) for a null page or under ``least_words`` words.
+    Null (no label) for a null page or one of under ``LEAST_WORDS`` words.
     """
-    text = F.regexp_replace(F.col("html"), TAGS, " ")
-    return pages.withColumn("_text", text).withColumn(
-        "outcome",
-        F.when(F.regexp_count("_text", F.lit(WORD)) >= least_words, (F.regexp_count("_text", F.lit(BAD_WORD)) * 100 >= F.regexp_count("_text", F.lit(WORD)) * share).cast("int")),
-    ).drop("_text")
+    outcome = F.expr(
+        f"""transform(array(regexp_replace(html, r'{TAGS}', ' ')), t -> named_struct('w', regexp_count(t, r'{WORD}'), 'l', regexp_count(t, r'{LETTERS}'),
+          'c', char_length(translate(t, '{BLANKS}', '')), 's', char_length(t) - char_length(translate(t, '{SYMBOLS}', ''))))[0]"""
+    )
+    bad = "_x.c < {0} * _x.w or _x.c > {1} * _x.w or _x.l * 100 < {2} * _x.w or _x.s * 100 > {3} * _x.w".format(SHORT, LONG, LETTER_SHARE, SYMBOL_SHARE)
+    return pages.select("*", outcome.alias("_x")).withColumn("outcome", F.expr(f"if(_x.w >= {LEAST_WORDS}, cast({bad} as int), null)")).drop("_x")
 
 
 def _strength(nodes: DataFrame, by: str) -> DataFrame:
@@ -86,51 +99,51 @@ def _strength(nodes: DataFrame, by: str) -> DataFrame:
 
 
 def host_reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
-    """``outcomes(host, outcome)`` -> host, host_pages, host_bad, bad_rate (posterior mean), lower.
+    """``outcomes(host, outcome)`` -> host, host_pages, host_bad, suffix_rate, host_strength, bad_rate (posterior mean), lower.
 
-    Null outcomes don't count; hosts without a labelled page get no row.
+    Null outcomes don't count; hosts without a labelled page get no row.  Counts of hosts are written once
+    and read by every level, so the outcomes are made once.
     """
-    hosts = (
-        outcomes.where("outcome is not null and host <> ''").groupBy("host")
-        .agg(F.count("*").alias("n"), F.sum("outcome").alias("k"))
-    )
+    hosts = scratch(outcomes.where("outcome is not null and host <> ''").groupBy("host").agg(F.count("*").alias("n"), F.sum("outcome").alias("k")), "hosts")
     domain, suffix = domains(F.col("host"))
     hosts = hosts.withColumn("domain", domain).withColumn("suffix", suffix)
     level_domain = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     level_suffix = level_domain.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).withColumn("root", F.lit(1))
     root = level_suffix.groupBy("root").agg((F.sum("k") / F.sum("n")).alias("top"))
     suffixes = level_suffix.join(root, "root").join(_strength(level_suffix, "root"), "root").select(
-        "suffix", ((F.col("k") + F.col("strength") * F.col("top")) / (F.col("n") + F.col("strength"))).alias("above")
+        "suffix", ((F.col("k") + F.col("strength") * F.col("top")) / (F.col("n") + F.col("strength"))).alias("suffix_rate")
     )
     ds = level_domain.join(suffixes, "suffix").join(_strength(level_domain, "suffix"), "suffix").select(
-        "domain", ((F.col("k") + F.col("strength") * F.col("above")) / (F.col("n") + F.col("strength"))).alias("above")
+        "domain", "suffix", "suffix_rate", ((F.col("k") + F.col("strength") * F.col("suffix_rate")) / (F.col("n") + F.col("strength"))).alias("above")
     )
     rate = F.col("a") / (F.col("a") + F.col("b"))
     return (
-        hosts.join(ds, "domain").join(_strength(hosts, "domain"), "domain")
+        hosts.join(ds, ["domain", "suffix"]).join(_strength(hosts, "domain"), "domain")
         .withColumn("a", F.col("k") + F.col("strength") * F.col("above"))
         .withColumn("b", F.col("n") - F.col("k") + F.col("strength") * (1 - F.col("above")))
         .select(
-            "host", F.col("n").alias("host_pages"), F.col("k").alias("host_bad"), rate.alias("bad_rate"),
+            "host", F.col("n").alias("host_pages"), F.col("k").alias("host_bad"), "suffix_rate", F.col("strength").alias("host_strength"), rate.alias("bad_rate"),
             (rate - z * F.sqrt(rate * (1 - rate) / (F.col("a") + F.col("b") + 1))).alias("lower"),
         )
     )
 
 
-def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, block_at: float = 0.2, z: float = 1.645) -> DataFrame:
+def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, excess: float = 1.0, z: float = 1.645) -> DataFrame:
     """Verdict for each row of ``pages(page_id, url)``: the longest fitting rule's action, else the host's.
 
     A null url or one without ``://`` has an empty host and path, fits no rule and is allowed; a host
-    without labelled pages is allowed.  Repeated rows stay; other columns are ignored.
+    without labelled pages is allowed.  Of rules of one length that fit (one host and path given twice) the last in the order of
+    action counts, so ``block`` wins.  Repeated rows stay; other columns are ignored.  Rates are rounded to 6 digits, and null for a host without labelled pages.
     """
     host, path = split_url(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
     rule, action = matching_rule(F.col("host"), F.col("path"), rules)
     seen = host_reputation(outcomes, z)
-    verdict = F.coalesce(F.col("_action"), F.when(F.col("lower") >= block_at, "block").otherwise("allow"))
+    verdict = F.coalesce(F.col("_action"), F.when(F.col("lower") > excess * F.col("suffix_rate"), "block").otherwise("allow"))
+    rates = [F.round(c, 6).alias(c) for c in ("suffix_rate", "host_strength", "bad_rate", "lower")]
     return (
         rows.withColumn("rule", rule).withColumn("_action", action).join(seen, "host", "left")
-        .select("page_id", "host", "path", "rule", verdict.alias("verdict"), F.coalesce("host_pages", F.lit(0)).alias("host_pages"), F.coalesce("host_bad", F.lit(0)).alias("host_bad"))
+        .select("page_id", "host", "path", "rule", verdict.alias("verdict"), F.coalesce("host_pages", F.lit(0)).alias("host_pages"), F.coalesce("host_bad", F.lit(0)).alias("host_bad"), *rates)
     )
 
 
@@ -145,20 +158,22 @@ def _strength_sql(nodes: str, by: str) -> str:
 ORACLE = rf"""
 with u as (select page_id, html, coalesce(case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) end, '') rest from pages),
 p as (select page_id, html, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) path from u),
-t as (select host, regexp_replace(html, '<[^>]*>', ' ', 'g') x from p),
-o as (select host, len(regexp_extract_all(x, '[^ \n\t]+')) w, len(regexp_extract_all(x, '([a-z][*%#$&]{{3}}|[A-Z]!!|[a-z]&amp;&amp;&amp;|[ ][|][ ])')) b from t where x is not null),
-h0 as (select host, count(*)::double n, sum(case when b * 100 >= w * 20 then 1 else 0 end)::double k from o where w >= 5 and host <> '' group by host),
-h1 as (select *, array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') in ({', '.join(f"'{s}'" for s in TWO_LABEL_SUFFIXES)}) two from h0),
-hosts as (select host, n, k, array_to_string(list_slice(string_split(host, '.'), case when two then -3 else -2 end, -1), '.') as domain,
-  array_to_string(list_slice(string_split(host, '.'), case when two then -2 else -1 end, -1), '.') suffix from h1),
+t as (select host, regexp_replace(html, '{TAGS}', ' ', 'g') x from p),
+o as (select host, len(regexp_extract_all(x, '{WORD}')) w, len(regexp_extract_all(x, '{LETTERS}')) l, length(translate(x, ' \n\t', '')) c, length(x) - length(translate(x, '{SYMBOLS}', '')) s from t where x is not null),
+h0 as (select host, count(*)::double n, sum(case when c < {SHORT} * w or c > {LONG} * w or l * 100 < {LETTER_SHARE} * w or s * 100 > {SYMBOL_SHARE} * w then 1 else 0 end)::double k from o where w >= {LEAST_WORDS} and host <> '' group by host),
+h1 as (select host, n, k, regexp_replace(host, '(.):[0-9]*$', '\1') as name from h0),
+h2 as (select *, regexp_matches(name, '{ADDRESS}') num, array_to_string(list_slice(string_split(name, '.'), -2, -1), '.') in ({', '.join(f"'{s}'" for s in TWO_LABEL_SUFFIXES)}) two from h1),
+hosts as (select host, n, k, case when num then name else array_to_string(list_slice(string_split(name, '.'), case when two then -3 else -2 end, -1), '.') end as domain,
+  case when num then 'address' else array_to_string(list_slice(string_split(name, '.'), case when two then -2 else -1 end, -1), '.') end suffix from h2),
 ld as (select domain, suffix, sum(n) n, sum(k) k from hosts group by all),
 ls as (select suffix, sum(n) n, sum(k) k, 1 root from ld group by suffix),
 sr as ({_strength_sql('ls', 'root')}), ss as ({_strength_sql('ld', 'suffix')}), sd as ({_strength_sql('hosts', 'domain')}),
-a1 as (select suffix, (k + strength * (select sum(k) / sum(n) from ls)) / (n + strength) above from ls join sr using (root)),
-a2 as (select domain, (k + strength * above) / (n + strength) above from ld join a1 using (suffix) join ss using (suffix)),
-r as (select host, n, k, k + strength * above a, n - k + strength * (1 - above) b from hosts join a2 using (domain) join sd using (domain)),
-v as (select host, n, k, a / (a + b) - 1.645 * sqrt((a / (a + b)) * (1 - a / (a + b)) / (a + b + 1)) low from r),
+a1 as (select suffix, (k + strength * (select sum(k) / sum(n) from ls)) / (n + strength) suffix_rate from ls join sr using (root)),
+a2 as (select domain, suffix, suffix_rate, (k + strength * suffix_rate) / (n + strength) above from ld join a1 using (suffix) join ss using (suffix)),
+r as (select host, n, k, suffix_rate, strength, k + strength * above a, n - k + strength * (1 - above) b from hosts join a2 using (domain, suffix) join sd using (domain)),
+v as (select host, n, k, suffix_rate, strength, a / (a + b) rate, a / (a + b) - 1.645 * sqrt((a / (a + b)) * (1 - a / (a + b)) / (a + b + 1)) low from r),
 f as (select page_id, host, path, case {' '.join(f"when (host = '{n}' or host like '%.{n}') and starts_with(path, '{q}') then '{a}|{n}{q}'" for a, n, q in sorted(RULES, key=lambda r: (-len(r[1] + r[2]), r)))} end hit from p)
-select page_id, host, path, split_part(hit, '|', 2) as rule, coalesce(split_part(hit, '|', 1), case when low >= 0.2 then 'block' else 'allow' end) verdict,
-  coalesce(n, 0)::bigint host_pages, coalesce(k, 0)::bigint host_bad from f left join v using (host)
+select page_id, host, path, split_part(hit, '|', 2) as rule, coalesce(split_part(hit, '|', 1), case when low > suffix_rate then 'block' else 'allow' end) verdict,
+  coalesce(n, 0)::bigint host_pages, coalesce(k, 0)::bigint host_bad, round(suffix_rate, 6) suffix_rate, round(strength, 6) host_strength, round(rate, 6) bad_rate, round(low, 6) lower
+from f left join v using (host)
 """
