@@ -1,58 +1,82 @@
 """Document fingerprints by order MinHash, in built-in functions only.
 
-A text is its words (white space apart; longer runs count as pieces of 12 code points).  Items are its
-``K``-word k-mers, each numbered by its occurrence, so that repeats are items of their own.  Every item has a
-39-bit hash.  ``SKETCHES`` hash functions are rotations of it: function b ranks an item by its hash's distance,
-upwards and around, from the b-th of ``SKETCHES`` evenly spaced points.  For each function the two least items
-are kept in the order in which they stand in the text, and the pair is hashed to one coordinate.  The share of
+A text is its words: letters of scripts that are written without blanks stand alone, other runs between white space
+count as pieces of at most 12 code points.  Items are its ``K``-word k-mers, each numbered by its occurrence, so that
+repeats are items of their own.  For each of ``SKETCHES`` functions the two least items are kept in the order in which
+they stand in the text, and the pair is hashed to one coordinate (of a lone item, the item with itself).  The share of
 equal coordinates of two fingerprints is their likeness; it falls when k-mers go, come or change order.
 
-All functions share one sort: packed (hash, position) longs are sorted as primitives, and each point's least
-items start at its first item in that order.  Cost is O(n log n) for n words, whatever ``SKETCHES``.
+The functions come from rounds of hashing.  In a round every item has a fresh hash, which gives the function that it
+goes to and its rank there; a function ranks items by (round, rank).  So one hash of an item serves all functions, and
+each function goes on to fresh, independent draws until it has two items: one round for texts of some thousand words,
+more for shorter ones.  After ``ROUNDS`` rounds a function ranks all items by hashes of its own.  More rounds than
+needed change nothing, so texts of any sizes compare.  A text's draws are sorted once, as packed (function, round, rank, item) longs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import json
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SKETCHES = 128
 K = 2
-POSITION = (1 << 24) - 1
+ROUNDS = 127
+#: Draws that a text gets at first, if ``ROUNDS`` allow.
+DRAWS = 16 * SKETCHES
+#: Letters that are words by themselves (kana, Han, Thai and Lao).
+LONE = "぀-ヿ㐀-䶿一-鿿฀-໿"
+WORD = f"[{LONE}]|[^ \t\n\r\f{LONE}]{{1,12}}"
+#: Places and items' numbers take 31 bits, as arrays do.
+LOW = (1 << 31) - 1
 
 
 def with_signature(df: DataFrame, text: str, out: str) -> DataFrame:
     """Add ``out``: array<int> of ``SKETCHES`` coordinates of 16 bits; empty for a text without words.
 
     Every step is a column of its own and is read more than once by the next, so that the optimizer keeps
-    it evaluated once for each row.  Positions wrap beyond 16.7 million words.
+    it evaluated once for each row.
     """
-    n, bits = f"size(_w_{out})", SKETCHES.bit_length() - 1
-    packed = "shiftleft(shiftrightunsigned({h}, 25), 24) | ({at})"
-    ahead = ", ".join(f"get(_w_{out}, i + {j})" for j in range(1, K))
+    w, p, r, o, q, s, b, e = (f"_{name}_{out}" for name in "wproqsbe")
+    n, ahead = f"size({w})", ", ".join(f"get({w}, i + {j})" for j in range(1, K))
+
+    def draws(rounds: str) -> str:
+        """(function, round, rank, item) of every item in the rounds."""
+        one = f"shiftleft(shiftrightunsigned(v, 57), 56) | shiftleft(bigint(k), 49) | shiftleft(shiftrightunsigned(v, 39) & 262143L, 31) | bigint(j)"
+        return f"flatten(transform(sequence(0, {rounds} - 1), k -> transform(transform({q}, x -> xxhash64(shiftright(x, 31), k)), (v, j) -> {one})))"
+
+    own = f"flatten(transform(sequence(0, {SKETCHES - 1}), f -> transform(transform({q}, x -> xxhash64(shiftright(x, 31), {ROUNDS} + 1 + f)), (v, j) -> shiftleft(bigint(f), 56) | shiftleft({ROUNDS}L, 49) | shiftleft(shiftrightunsigned(v, 46), 31) | bigint(j))))"
+    begins = "if(size({s}) = 0, array(), filter(sequence(0, size({s}) - 1), j -> j = 0 or shiftright({s}[j], 56) <> shiftright({s}[j - 1], 56)))"
+    # the first draw of another item than the first one
+    seconds = (
+        f"transform({{b}}, (f, k) -> if({n} >= {DRAWS}, if(f + 1 < coalesce(get({{b}}, k + 1), size({{s}})), {{s}}[f + 1], null),"
+        f" get(filter(slice({{s}}, f + 2, coalesce(get({{b}}, k + 1), size({{s}})) - f - 1), v -> (v & {LOW}L) <> ({{s}}[f] & {LOW}L)), 0)))"
+    )
+    whole = f"size({b}1) = {SKETCHES} and not exists({e}1, v -> v is null)"
     steps = {
-        "w": f"regexp_extract_all(`{text}`, '[^ \\\\t\\\\n\\\\r\\\\f]{{1,12}}', 0)",
+        w: f"regexp_extract_all(`{text}`, r'{WORD}', 0)",
         # k-mers in order of hash; equal k-mers in order of place
-        "p": f"sort_array(transform(_w_{out}, (x, i) -> {packed.format(h=f'xxhash64(x, {ahead})', at=f'bigint(i) & {POSITION}L')}))",
+        p: f"sort_array(transform({w}, (x, i) -> shiftleft(shiftrightunsigned(xxhash64(x, {ahead}), 32), 31) | bigint(i)))",
         # where each run of equal k-mers starts
-        "r": f"if({n} = 0, array(), filter(sequence(0, {n} - 1), j -> j = 0 or shiftright(_p_{out}[j], 24) <> shiftright(_p_{out}[j - 1], 24)))",
+        r: f"if({n} = 0, array(), filter(sequence(0, {n} - 1), j -> j = 0 or shiftright({p}[j], 31) <> shiftright({p}[j - 1], 31)))",
         # occurrence number of each
-        "o": f"if(size(_r_{out}) = {n}, array(), flatten(transform(_r_{out}, (s, k) -> sequence(0, coalesce(get(_r_{out}, k + 1), {n}) - s - 1))))",
+        o: f"if(size({r}) = {n}, array(), flatten(transform({r}, (s, k) -> sequence(0, coalesce(get({r}, k + 1), {n}) - s - 1))))",
         # items: later occurrences are hashed anew with their number
-        "q": f"if(size(_r_{out}) = {n}, _p_{out}, sort_array(transform(_p_{out}, (x, j) -> if(_o_{out}[j] = 0, x, "
-        + packed.format(h=f"xxhash64(shiftright(x, 24), _o_{out}[j])", at=f"x & {POSITION}L") + "))))",
-        # where each point that has items before the next one starts
-        "s": f"if({n} = 0, array(), filter(sequence(0, {n} - 1), j -> j = 0 or shiftright(_q_{out}[j], {63 - bits}) <> shiftright(_q_{out}[j - 1], {63 - bits})))",
-        # the first item at or after each point
-        "f": f"if({n} = 0, array(), concat(flatten(transform(_s_{out}, (s, k) -> array_repeat(s, int(shiftright(_q_{out}[s], {63 - bits}) - if(k = 0, -1L, shiftright(_q_{out}[_s_{out}[k - 1]], {63 - bits})))))),"
-        f" array_repeat(0, int({SKETCHES - 1} - shiftright(_q_{out}[{n} - 1], {63 - bits})))))",
+        q: f"if(size({r}) = {n}, {p}, transform({p}, (x, j) -> if({o}[j] = 0, x, shiftleft(shiftrightunsigned(xxhash64(shiftright(x, 31), {o}[j]), 32), 31) | (x & {LOW}L))))",
+        f"{s}1": f"if({n} = 0, array(), sort_array({draws(f'int(least({ROUNDS}, 1 + {DRAWS} div {n}))')}))",
+        f"{b}1": begins.format(s=f"{s}1"),
+        f"{e}1": seconds.format(s=f"{s}1", b=f"{b}1"),
+        s: f"if({n} = 0 or {whole}, {s}1, sort_array(concat({draws(str(ROUNDS))}, {own})))",
+        b: f"if({n} = 0 or {whole}, {b}1, {begins.format(s=s)})",
+        e: f"if({n} = 0 or {whole}, {e}1, {seconds.format(s=s, b=b).replace(f'{n} >= {DRAWS}', 'false')})",
     }
-    for name, e in steps.items():
-        df = df.withColumn(f"_{name}_{out}", F.expr(e))
-    a, b = f"_q_{out}[s]", f"_q_{out}[pmod(s + 1, {n})]"
-    pair = lambda x, y: f"xxhash64(shiftright({x}, 24), shiftright({y}, 24))"
-    sig = f"transform(_f_{out}, s -> int(if(({a} & {POSITION}L) <= ({b} & {POSITION}L), {pair(a, b)}, {pair(b, a)}) & 65535L))"
-    return df.withColumn(out, F.expr(sig)).drop(*(f"_{name}_{out}" for name in steps))
+    for name, step in steps.items():
+        df = df.withColumn(name, F.expr(step))
+    pair = lambda x, y: f"xxhash64(shiftright({x}, 31), shiftright({y}, 31))"
+    both = f"transform({b}, (f, k) -> named_struct('a', {q}[int({s}[f] & {LOW}L)], 'b', {q}[int(coalesce({e}[k], {s}[f]) & {LOW}L)]))"
+    sig = f"transform({both}, t -> int(if((t.a & {LOW}L) <= (t.b & {LOW}L), {pair('t.a', 't.b')}, {pair('t.b', 't.a')}) & 65535L))"
+    return df.withColumn(out, F.expr(sig)).drop(*steps)
 
 
 def fingerprint(signature: str):
@@ -66,28 +90,40 @@ def likeness(a: str, b: str):
     return F.expr(f"case when size(`{a}`) = 0 and size(`{b}`) = 0 then 1.0D when size(`{a}`) = 0 or size(`{b}`) = 0 then 0.0D else {same} end")
 
 
-def with_next(documents: DataFrame, rows_per_cell: int = 500, most_cells: int = 20_000) -> DataFrame:
+def _array(values: list, kind: str) -> Column:
+    """A constant array of any length, as one literal of the plan."""
+    return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
+
+
+def with_next(documents: DataFrame, rows_per_cell: int = 100, most_cells: int = 1 << 16) -> DataFrame:
     """``doc_id``, ``text`` and ``next_text``, the text of the next document in ascending order (after the last: the first).
 
-    Documents go to cells of equal width in doc_id, each cell to one window; the first document of a cell
-    also goes, marked ``_guest``, to the last cell before it that has any.  One shuffle of the texts.  The cells'
-    first ids are ordered in one task, which is why there are at most ``most_cells``.
+    Documents go to cells between quantiles of doc_id, each cell to one window; the first document of a cell also
+    goes, marked ``_guest``, to the last cell before it that has any.  The texts are shuffled once.  At most ``most_cells``
+    cells, whose first ids go through the driver, hold equal shares of the documents, whatever the ids are like; a cell's rows are
+    sorted and streamed, so that a share needn't fit in memory.
     Rows of equal doc_id are in order of text; null ids come first; a null text is empty.
     Guests stay in the result: they let a later ``lead`` over ``cell_order()`` see beyond a cell's end.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    low, high = (0, 0) if low is None else (low, high)
-    width = max(1, -(-(high - low + 1) // max(1, min(most_cells, -(-n // rows_per_cell)))))
-    cell = F.expr(f"bigint(floor((cast(coalesce(doc_id, {low}L) as decimal(20,0)) - {low}) / {width}))") if high - low >= 1 << 62 else F.expr(f"(coalesce(doc_id, {low}L) - {low}L) div {width}L")
-    docs = docs.withColumn("_cell", cell)
-    firsts = docs.groupBy("_cell").agg(F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("_first"), F.max(F.col("doc_id").isNull()).alias("_null"))
-    order = Window.orderBy("_cell")
-    firsts = firsts.withColumn("_to", F.coalesce(F.lag("_cell").over(order), F.max("_cell").over(Window.partitionBy()))).select(
-        F.when(~F.col("_null"), F.col("_first")).alias("_first"), "_to"
+    n = docs.where("doc_id is not null").count()
+    m = max(1, min(most_cells, -(-n // rows_per_cell)))
+    # one expression for an array of any length
+    cuts = sorted(set(docs.agg(F.percentile_approx("doc_id", _array([k / m for k in range(m)], "double"), F.lit(10 * m))).first()[0] or []))
+    steps = [1 << k for k in range(len(cuts).bit_length(), -1, -1)]
+    at = F.aggregate(
+        F.array(*map(F.lit, steps)), F.lit(0),
+        lambda place, step: F.when((place + step <= len(cuts)) & (F.get(F.col("_cuts"), place + step - 1) <= F.col("doc_id")), place + step).otherwise(place),
     )
-    guests = docs.join(firsts, docs["doc_id"].eqNullSafe(firsts["_first"])).select("doc_id", "text", F.col("_to").alias("_cell"), F.lit(1).alias("_guest"))
-    rows = docs.select("doc_id", "text", "_cell", F.lit(0).alias("_guest")).unionByName(guests)
+    docs = docs.withColumn("_cuts", _array(cuts, "bigint")).withColumn("_cell", F.when(F.col("doc_id").isNull(), 0).otherwise(at + 1)).drop("_cuts")
+    firsts = sorted((r["_cell"], r["first"]) for r in docs.groupBy("_cell").agg(F.min("doc_id").alias("first")).collect())
+    first, before = [None] * (len(cuts) + 2), [0] * (len(cuts) + 2)
+    for k, (cell, value) in enumerate(firsts):
+        first[cell], before[cell] = value, firsts[k - 1][0]
+    is_first = F.col("doc_id").eqNullSafe(F.get(_array(first, "bigint"), F.col("_cell")))
+    own = F.struct(F.col("_cell"), F.lit(0).alias("_guest"))
+    guest = F.struct(F.get(_array(before, "int"), F.col("_cell")).alias("_cell"), F.lit(1).alias("_guest"))
+    rows = docs.select("doc_id", "text", F.explode(F.when(is_first, F.array(own, guest)).otherwise(F.array(own))).alias("_to")).select("doc_id", "text", "_to.*")
     return rows.withColumn("next_text", F.lead("text").over(cell_order()))
 
 
@@ -95,7 +131,7 @@ def cell_order():
     return Window.partitionBy("_cell").orderBy("_guest", F.col("doc_id").asc_nulls_first(), "text")
 
 
-def fingerprints(documents: DataFrame, rows_per_cell: int = 500) -> DataFrame:
+def fingerprints(documents: DataFrame, rows_per_cell: int = 100) -> DataFrame:
     """Fingerprint of each text and of its edited text, with their likenesses.
 
     The edited text: the last floor(n_chars / 2) code points replaced by the first as many (or all) of the
