@@ -1,9 +1,14 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare word-pair seeds, then Smith-Waterman alignment.
 
-Items are indexed by their n-word seeds.  Every seed serves, however many documents or items hold it.  A document
-joins an item where at least two seeds (one, for an item of few words) fall near one diagonal; where enough of
-the item's words stand there, they are aligned with the item's, and a score of at least ``least`` of a perfect
-copy's is a hit.  Items go to the tasks in blocks of a fixed size, each block against all documents.
+A seed is a pair of words that stand next to each other or one word apart, in the item as in the document, so that a
+substituted, inserted or deleted word between them doesn't hide it.  An alignment that reaches ``least`` of a perfect
+copy's score (2 for a match, -1 for any edit) has n matches and e edits with 2 n - e >= 2 least N for an item of N words, and
+at most e / 2 of the steps between its matches span more than one edit.  So it has seeds at ``least`` N - 1 places of the item
+or more, and any choice of all but that many places holds one of them: an item is entered in the index at its
+rarest such places only, and nothing that aligns is lost, however many documents or items hold a seed.
+
+Around each seed that a document shares, the words and seeds of the item are counted where the alignment could
+lie; what can still reach the score is aligned.  Items go to the tasks in blocks of a fixed size, each block against all documents.
 """
 
 from __future__ import annotations
@@ -18,7 +23,6 @@ from pyspark.sql import functions as F
 from .common import small_batches
 
 WORD = re.compile(r"\w+")
-SEED = 3
 #: Characters of items in a block, which bounds what a task holds.
 BLOCK_CHARS = 16_000_000
 #: Pairs of a document's seeds with items' that are looked at together.
@@ -61,51 +65,67 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
+def pair_codes(ids: np.ndarray, apart: int) -> np.ndarray:
+    """Hash of each pair of ids ``apart`` places from each other; 0 where one of them is no word of the items."""
+    a, b = ids[: max(0, len(ids) - apart)].astype(np.uint64), ids[apart:].astype(np.uint64)
+    h = (a * np.uint64(0x9E3779B97F4A7C15)) ^ b
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(31)
+    return np.where((a > 0) & (b > 0), h, 0).astype(np.uint64)
+
+
 class Index:
-    """Seeds of a block of items."""
+    """Seeds of a block of items at their rarest places."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], least: float = 0.5):
         texts = [(i, words_of(t)) for i, t in items]
         self.item = [(i, w) for i, w in texts if w]
+        self.least = least
         self.id: dict[str, int] = {}
         for _, w in self.item:
             for x in w:
                 self.id.setdefault(x, len(self.id) + 1)
         self.words = [np.array([self.id[x] for x in w], np.int64) for _, w in self.item]
         self.length = np.array([len(w) for w in self.words], np.int64)
-        self.slack = np.maximum(2, self.length // 2)
-        self.sizes = sorted({min(SEED, len(w)) for w in self.words})
-        codes = [self.codes(w, min(SEED, len(w))) for w in self.words]
-        self.known, seed = np.unique(np.concatenate([np.zeros(0, np.uint64), *codes]), return_inverse=True)
-        of = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
-        place = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(c)) for c in codes)])
+        #: Places with seeds that a copy has at least, and words that its place in the document can drift by.
+        self.need = np.maximum(1, np.ceil(least * self.length - 1e-9).astype(np.int64) - 1)
+        self.drift = np.floor(2 * self.length * (1 - least) + 1e-9).astype(np.int64)
+        none = np.zeros(0, np.int64)
+        self.codes, of, place = [], [none], [none]
+        for j, w in enumerate(self.words):
+            one, two = (pair_codes(w, 1), pair_codes(w, 2)) if len(w) > 1 else (w.astype(np.uint64), none.astype(np.uint64))
+            self.codes.append(np.concatenate([one, two]))
+            of.append(np.full(len(one) + len(two), j))
+            place += [np.arange(len(one)), np.arange(len(two))]
+        of, place = np.concatenate(of), np.concatenate(place)
+        _, seed, times = np.unique(np.concatenate([none.astype(np.uint64), *self.codes]), return_inverse=True, return_counts=True)
+        keep = np.zeros(len(of), bool)
+        ends = np.cumsum([len(c) for c in self.codes])
+        for j, (a, b) in enumerate(zip(ends - [len(c) for c in self.codes], ends)):
+            often = np.zeros(place[a:b].max() + 1, np.int64)
+            np.maximum.at(often, place[a:b], times[seed[a:b]])
+            rare = np.argsort(often, kind="stable")[: max(1, len(often) - self.need[j] + 1)]
+            keep[a:b] = np.isin(place[a:b], rare)
+        of, place = of[keep], place[keep]
+        self.known, seed = np.unique(np.concatenate([none.astype(np.uint64), *self.codes])[keep], return_inverse=True)
         #: Places of the seeds, in order of (seed, item): keys are seed * number of items + item.
         order = np.lexsort((place, of, seed))
-        self.keys, self.of, self.place = (seed * len(codes) + of)[order], of[order], place[order]
-
-    @staticmethod
-    def codes(ids: np.ndarray, n: int) -> np.ndarray:
-        """Hash of each run of ``n`` ids; 0 where one of them is no word of the items."""
-        m = len(ids) - n + 1
-        h, ok = np.full(max(m, 0), n, np.uint64), np.ones(max(m, 0), bool)
-        for k in range(n if m > 0 else 0):
-            part = ids[k : k + m]
-            h = (h ^ part.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
-            ok &= part > 0
-        return np.where(ok, h, 0).astype(np.uint64)
+        self.keys, self.of, self.place = (seed * len(self.words) + of)[order], of[order], place[order]
+        self.single = bool((self.length == 1).any())
+        # most words of a text start no seed; a table of hash bits says so at once
+        self.bits = np.zeros(1 << 22, bool)
+        self.bits[(self.known & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
 
     def find(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Word ids of the text; place and number of each seed that stands in it."""
+        """Word ids of the text; place and number of each indexed seed that stands in it."""
         get = self.id.get
         ids = np.array([get(w, 0) for w in words_of(text)], np.int64)
         places, seeds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for n in self.sizes:
-            c = self.codes(ids, n)
-            at = np.flatnonzero(c)
+        for codes in [pair_codes(ids, 1), pair_codes(ids, 2), *([ids.astype(np.uint64)] if self.single else [])]:
+            at = np.flatnonzero((codes > 0) & self.bits[(codes & np.uint64((1 << 22) - 1)).astype(np.int64)])
             if len(at):
-                k = np.minimum(np.searchsorted(self.known, c[at]), len(self.known) - 1)
-                hit = self.known[k] == c[at]
+                k = np.minimum(np.searchsorted(self.known, codes[at]), len(self.known) - 1)
+                hit = self.known[k] == codes[at]
                 places.append(at[hit])
                 seeds.append(k[hit])
         return ids, np.concatenate(places), np.concatenate(seeds)
@@ -123,66 +143,73 @@ class Index:
             k = np.repeat(first - np.cumsum(count) + count, count) + np.arange(total)
             yield self.of[k], self.place[k], np.repeat(at, count)
 
-    def windows(self, item: np.ndarray, place: np.ndarray, at: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(item, first word, end word) around each seed that has another one of its item near its diagonal, in order."""
-        shift = at - place
-        order = np.lexsort((place, shift, item))
-        item, place, shift = item[order], place[order], shift[order]
-        keep = self.length[item] < 2 * SEED + 2
-        last = np.flatnonzero((item[1:] != item[:-1]) | (place[1:] != place[:-1]))
-        i = np.arange(last[-1] + 1 if len(last) else 0)
-        other = last[np.searchsorted(last, i)] + 1
-        keep[i] |= (item[other] == item[i]) & (shift[other] - shift[i] <= self.slack[item[i]])
-        item, shift = item[keep], shift[keep]
-        slack = self.slack[item]
-        return item, np.maximum(0, shift - slack), np.minimum(n_words, shift + 2 * slack + self.length[item])
-
-    def hits(self, text: str | None, least: float) -> list[tuple[int, float, int, int]]:
+    def hits(self, text: str | None) -> list[tuple[int, float, int, int]]:
         """(item number, score, first word, end word) of the best alignment of each item that reaches ``least``."""
         ids, at, seed = self.find(text)
         out = []
-        for part in self.joined(at, seed, 0, len(self.words)):
-            items, lows, highs = self.windows(*part, len(ids))
-            edges = np.flatnonzero(np.diff(items, prepend=-1, append=-1)) if len(items) else []
+        for item, place, at_ in self.joined(at, seed, 0, len(self.words)):
+            order = np.lexsort((at_ - place, item))
+            item, shift = item[order], (at_ - place)[order]
+            low = np.maximum(0, shift - self.drift[item])
+            high = np.minimum(len(ids), shift + self.drift[item] + self.length[item])
+            edges = np.flatnonzero(np.diff(item, prepend=-1, append=-1))
             for a, b in zip(edges[:-1], edges[1:]):
-                j, low, high = int(items[a]), lows[a:b], highs[a:b]
-                best = self.best(j, ids, low, high, least)
+                best = self.best(int(item[a]), ids, low[a:b], high[a:b])
                 if best:
-                    out.append((j, best[0] / (MATCH * len(self.words[j])), best[1], best[2]))
+                    out.append((int(item[a]), best[0] / (MATCH * len(self.words[item[a]])), best[1], best[2]))
         return out
 
-    def best(self, j: int, ids: np.ndarray, low: np.ndarray, high: np.ndarray, least: float) -> tuple[int, int, int] | None:
+    def best(self, j: int, ids: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[int, int, int] | None:
         """(score, first word, end word) of the best alignment of an item in windows of a text, if it reaches ``least``.
 
-        Windows with too few of the item's words for that are left out; those that overlap are aligned as one.
+        Windows with too few of the item's words or seeds for that are left out; those that overlap are aligned as one.
         """
-        item = self.words[j]
-        n, best, base = len(item), None, int(low[0])
-        known, times = np.unique(item, return_counts=True)
-        have = np.concatenate([[0], np.cumsum(np.isin(ids[base : high[-1]], known))])
-        good = have[high - base] - have[low - base] >= least * n
+        item, base = self.words[j], int(low[0])
+        n, best = len(item), None
+        part = ids[base : high[-1]]
+
+        def enough(found: np.ndarray, least: float) -> np.ndarray:
+            have = np.concatenate([[0], np.cumsum(found)])
+            return have[np.minimum(high - base, len(found))] - have[np.minimum(low - base, len(found))] >= least
+
+        good = enough(np.isin(part, item), self.least * n)
+        if n > 1 and good.any():
+            seeds = np.zeros(len(part), bool)
+            for apart in (1, 2):
+                seeds[: max(0, len(part) - apart)] |= np.isin(pair_codes(part, apart), self.codes[j])
+            good &= enough(seeds, self.need[j])
         low, high = low[good], high[good]
         if not len(low):
             return None
+        known, times = np.unique(item, return_counts=True)
         cut = np.flatnonzero(low[1:] > high[:-1])
         for x, y in zip(low[np.r_[0, cut + 1]].tolist(), high[np.r_[cut, len(high) - 1]].tolist()):
             part = ids[x:y]
             inside = part[np.isin(part, known)]
-            if np.minimum(np.bincount(np.searchsorted(known, inside), minlength=len(known)), times).sum() < least * n:
+            if np.minimum(np.bincount(np.searchsorted(known, inside), minlength=len(known)), times).sum() < self.least * n:
                 continue
             score, first, end = align(item, part)
-            if score >= least * MATCH * n and (best is None or score > best[0]):
+            if score >= self.least * MATCH * n and (best is None or score > best[0]):
                 best = (score, x + first, x + end)
         return best
 
 
-def _blocks(benchmark: DataFrame, chars: int):
+def _blocks(benchmark: DataFrame, chars: int, least: float):
     """The items in blocks of about ``chars`` characters, collected one at a time."""
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    total = items.agg(F.sum(F.char_length("text"))).first()[0] or 0
-    n = -(-total // chars)
-    for k in range(n):
-        yield Index([(r[0], r[1]) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).orderBy("item_id", "text").collect()])
+    sized = items.select("*", F.char_length("text").cast("long").alias("_size"))
+    total = sized.agg(F.sum("_size")).first()[0] or 0
+    shares = -(-total // chars)
+    todo = [(shares, k) for k in range(shares)]
+    while todo:
+        n, k = todo.pop()
+        part = sized.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
+        size, count = part.agg(F.coalesce(F.sum("_size"), F.lit(0)), F.count("*")).first()
+        if size > 2 * chars and count > 1 and n < 1 << 40:  # an uneven share is dealt again
+            todo += [(2 * n, k), (2 * n, k + n)]
+        elif count:
+            rows = part.select("item_id", "text").orderBy("item_id", "text").toArrow().to_pylist()
+            yield Index([(r["item_id"], r["text"]) for r in rows], least)
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, least: float = 0.5, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -190,19 +217,19 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, least: float = 0.5,
 
     ``least``: share of a perfect copy's alignment score; words count from 0, ``end_word`` exclusive.  Null or empty
     texts and items without words match nothing; rows with a null item_id are skipped; items with several texts
-    give a row for each that hits; repeated rows repeat their hits; an empty table gives an empty result.
+    give a row for each that hits; a copy shares a pair of words (an item of one word: that word) at least; repeated rows repeat their hits; an empty table gives an empty result.
     Whole texts are read once for each block and never shuffled.
     """
     small_batches(documents.sparkSession)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
-    for index in _blocks(benchmark, block_chars):
+    for index in _blocks(benchmark, block_chars, least):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def search(batches, shared=shared):
             index = shared.value
             for pdf in batches:
-                rows = [(doc, index.item[j][0], score, a, b) for doc, text in zip(pdf["doc_id"], pdf["text"]) for j, score, a, b in index.hits(text, least)]
+                rows = [(doc, index.item[j][0], score, a, b) for doc, text in zip(pdf["doc_id"], pdf["text"]) for j, score, a, b in index.hits(text)]
                 yield pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")]).astype({"doc_id": "Int64"})
 
         hits = docs.mapInPandas(search, SCHEMA)
