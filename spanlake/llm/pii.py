@@ -15,6 +15,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import scratch
+
 #: Kinds in the order of the digest; the first four have base spans.
 KINDS = ["email", "ip", "card", "phone", "secret", "ssn"]
 #: Gazetteers and context words of the labelers.
@@ -34,7 +36,7 @@ PHONE = "\\+[0-9][ ().0-9-]+[0-9]"
 #: Looser candidates.
 LONE_CARD = "(?<![0-9A-Za-z_])(?:[0-9]{12,19}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4})(?![0-9A-Za-z_])"
 LOCAL_PHONE = "(?<![0-9+] ?)\\([0-9]{3}\\) ?[0-9]{3}-[0-9]{4}(?![0-9])"
-SECRET = "(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{24,256}(?![A-Za-z0-9_+/-])"
+SECRET = "(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{16,}+"
 SSN = "(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 
 SPAN = "struct<kind:int,start:int,end:int,m:string,pre:string,post:string,base:boolean>"
@@ -46,6 +48,30 @@ def _let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def _running(values: Column, start: Column) -> Column:
+    """Sums of an array up to each element, from ``start``."""
+    def step(acc, x):
+        return F.concat(acc, F.array(F.element_at(acc, -1) + x))
+
+    return F.slice(F.aggregate(values, F.array(start), step), 2, F.size(values))
+
+
+def prefix_sums(values: Column) -> Column:
+    """Sums of an int array up to each element; blocks of about the square root of its size keep copying at n ** 1.5."""
+    def blocked(v: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(v))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(v) / width).cast("int") - 1), lambda k: F.slice(v, k * width + 1, width))
+        zero = F.lit(0)
+
+        def joined(own: Column) -> Column:
+            before = F.concat(F.array(zero), _running(F.transform(own, lambda x: F.element_at(x, -1)), zero))
+            return F.flatten(F.transform(own, lambda x, k: F.transform(x, lambda y: y + F.get(before, k))))
+
+        return _let(F.transform(blocks, lambda x: _running(x, zero)), joined)
+
+    return F.when(F.size(values) == 0, values).otherwise(_let(values, lambda v: F.when(F.size(v) <= 64, _running(v, F.lit(0))).otherwise(blocked(v))))
+
+
 def find(text: Column, pattern: str, kind: str, good=None, base: bool = True) -> Column:
     """Leftmost non-overlapping matches as an array of spans; places count code points.
 
@@ -55,11 +81,7 @@ def find(text: Column, pattern: str, kind: str, good=None, base: bool = True) ->
     parts = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"), F.split(text, pattern, -1).alias("p"))
 
     def build(b: Column) -> Column:
-        def step(acc, i):
-            before = F.when(i > 0, F.element_at(acc, -1) + F.char_length(F.get(b["m"], i - 1))).otherwise(F.lit(0))
-            return F.concat(acc, F.array(before + F.char_length(F.get(b["p"], i))))
-
-        starts = F.aggregate(F.sequence(F.lit(0), F.size(b["m"]) - 1), F.expr("cast(array() as array<int>)"), step)
+        starts = prefix_sums(F.transform(b["m"], lambda m, i: F.char_length(F.get(b["p"], i)) + F.when(i > 0, F.char_length(F.get(b["m"], i - 1))).otherwise(0)))
 
         def spans(s: Column) -> Column:
             return F.transform(
@@ -240,13 +262,13 @@ def fit(spans: DataFrame) -> dict[str, float]:
 def detect(documents: DataFrame, threshold: float = 0.5) -> DataFrame:
     """doc_id, base counts, ``base_sha256``, ``spans`` and ``found`` (the spans as structs).
 
-    Two passes over the texts: one counts vote patterns of all documents, one gives the result; nothing
-    is shuffled but pattern counts.  A null text is empty: no spans, and the digest of the empty
+    One pass over the texts writes each document's candidates to the shared folder; vote patterns are counted and spans
+    chosen from there.  Nothing is shuffled but pattern counts.  A null text is empty: no spans, and the digest of the empty
     string.  Repeated rows give repeated rows; an empty table an empty result; columns other than doc_id and
     text are ignored.
     """
     docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    held = docs.select("doc_id", candidates(F.col("text")).alias("c"))
+    held = scratch(docs.select("doc_id", candidates(F.col("text")).alias("c")), "candidates")
     w = fit(held.select(F.explode("c").alias("x")))
 
     def accept(x: Column) -> Column:
