@@ -161,14 +161,26 @@ def verifier(texts: DataFrame, k: int, percent: int) -> Callable[[DataFrame], Da
     return verify
 
 
+#: Members of a key that are dealt to one task.
+DEALT = 512
+
+
+def with_key(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``rows(key, node, parts)`` joined with what ``keys`` has for each key; a key's rows are dealt to ``parts`` tasks by node."""
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    every = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    return salted.join(every, ["key", "_salt"]).drop("_salt")
+
+
 def shared_keys(members: DataFrame) -> DataFrame:
-    """The ``members(key, node)`` whose key has several, written to shared storage."""
-    shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    return scratch(members.join(shared, "key").select("key", "node"), "shared")
+    """The ``members(key, node)`` whose key has several, with the key's ``parts``, written to shared storage."""
+    parts = F.ceil(F.col("n") / DEALT).cast("int")
+    shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", parts.alias("parts"))
+    return scratch(members.join(shared, "key").select("key", "node", "parts"), "shared")
 
 
 def link_by_hubs(members: DataFrame, verify: Callable[[DataFrame], DataFrame], by_blocks: Callable[[DataFrame], DataFrame], growth: int = 8, crowd: int = 64) -> DataFrame:
-    """Components (node, component) of the verified pairs among ``members(key, node)`` of common keys.
+    """Components (node, component) of the verified pairs among ``members(key, node, parts)`` of common keys.
 
     ``members`` holds keys of several nodes only, see ``shared_keys``; it is deleted when it is used up.
 
@@ -179,7 +191,7 @@ def link_by_hubs(members: DataFrame, verify: Callable[[DataFrame], DataFrame], b
     returns links without emitting pairs.
     """
     spark = members.sparkSession
-    rest = members.select("key", "node", F.lit(False).alias("done"), F.col("node").alias("label"))
+    rest = members.select("key", "node", "parts", F.lit(False).alias("done"), F.col("node").alias("label"))
     edges = spark.createDataFrame([], "a long, b long")
     tested = spark.createDataFrame([], "a long, b long")
     components = spark.createDataFrame([], "node long, component long")
@@ -188,9 +200,9 @@ def link_by_hubs(members: DataFrame, verify: Callable[[DataFrame], DataFrame], b
         part = F.pmod(F.xxhash64("node"), F.lit(many))
         hubs = rest.where("not done").groupBy("key", part.alias("part")).agg(F.min("node").alias("node"))
         hubs = hubs.select("key", "node")
-        with_label = hubs.join(rest.select("key", "node", "label"), ["key", "node"]).select("key", F.col("node").alias("hub"), F.col("label").alias("hub_label"))
+        with_label = hubs.join(rest.select("key", "node", "label", "parts"), ["key", "node"]).select("key", "parts", F.col("node").alias("hub"), F.col("label").alias("hub_label"))
         pairs = (
-            rest.where("not done").join(with_label, "key").where("node <> hub and label <> hub_label")
+            with_key(rest.where("not done"), with_label).where("node <> hub and label <> hub_label")
             .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
             .join(tested, ["a", "b"], "left_anti")
         )
@@ -200,12 +212,12 @@ def link_by_hubs(members: DataFrame, verify: Callable[[DataFrame], DataFrame], b
         if not new.isEmpty():
             edges = edges.union(new)
             components = scratch(connected_components(edges), "components")
-        done = rest.drop("label").join(hubs.withColumn("_hub", F.lit(True)), ["key", "node"], "left").select("key", "node", (F.col("done") | F.coalesce("_hub", F.lit(False))).alias("done"))
+        done = rest.drop("label").join(hubs.withColumn("_hub", F.lit(True)), ["key", "node"], "left").select("key", "node", "parts", (F.col("done") | F.coalesce("_hub", F.lit(False))).alias("done"))
 
         def still_open(after: DataFrame, components: DataFrame) -> DataFrame:
-            after = after.join(components, "node", "left").select("key", "node", "done", F.coalesce("component", "node").alias("label"))
-            keys = after.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("done").alias("all_done"), F.count_if(~F.col("done")).alias("todo"))
-            return after.join(keys.where("lo < hi and not all_done").select("key", "todo"), "key")
+            after = after.join(components, "node", "left").select("key", "node", "parts", "done", F.coalesce("component", "node").alias("label"))
+            keys = after.groupBy("key").agg(F.max("parts").alias("parts"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("done").alias("all_done"), F.count_if(~F.col("done")).alias("todo"))
+            return with_key(after, keys.where("lo < hi and not all_done").select("key", "parts", "todo"))
 
         left = scratch(still_open(done, components), "members")
         drop_scratch(members if many == 1 else rest)
@@ -214,7 +226,7 @@ def link_by_hubs(members: DataFrame, verify: Callable[[DataFrame], DataFrame], b
             if not crowded.isEmpty():
                 edges = edges.union(scratch(by_blocks(crowded.select("key", "node", "label")), "blocks"))
                 components = scratch(connected_components(edges), "components")
-                small = scratch(still_open(left.where(F.col("todo") <= crowd).select("key", "node", "done"), components), "members")
+                small = scratch(still_open(left.where(F.col("todo") <= crowd).select("key", "node", "parts", "done"), components), "members")
                 drop_scratch(left)
                 left = small
         rest, many = left.drop("todo"), many * growth
@@ -296,6 +308,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, crowd:
     held = members.select("node").distinct()
     texts = scratch(documents.select(F.col("doc_id").cast("long").alias("node"), "text").where("text is not null").join(held, "node"), "texts")
     components = link_by_hubs(members, verifier(texts, k, percent), block_search(texts, k, percent), crowd=crowd)
+    drop_scratch(texts)
     if not own.isEmpty():
         linked = components.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
         components = connected_components(linked.union(own))
