@@ -14,9 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); a private one only where it is unset."""
+    """The cluster's shared folder (``spark.checkpoint.dir``); a private one only where it is unset and all runs in one process."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="spanlake-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -62,25 +64,24 @@ def training_sample(documents: DataFrame, labels: DataFrame, label: str, bound:
     """At most ``bound`` labelled (text, label) rows outside the held-out fold, by a hash order.
 
     The bound is the only sampling in a model's life: it limits what reaches the driver, whatever the
-    size of the corpus.  A document with several label rows counts once with its largest label.
-    Rows with a null id, text or label teach nothing.
+    size of the corpus.  A document with several label rows counts once with its largest label, one with several
+    rows with one of its texts.  Rows with a null id, text or label, and labels without a document, teach nothing.
     """
     y = (
         labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_y"))
         .where(F.col("_id").isNotNull() & F.col("_y").isNotNull() & ~held_out(F.col("_id")))
         .groupBy("_id").agg(F.max("_y").alias("_y"))
     )
-    wanted = y.select("_id", "_y", F.xxhash64("_id").alias("_o")).orderBy("_o", "_id").limit(bound)
-    rows = (
-        documents.select(F.col("doc_id").alias("_id"), F.col("text").alias("_t"))
-        .join(F.broadcast(wanted), "_id").where(F.col("_t").isNotNull())
-        .select("_o", "_id", "_t", "_y").collect()
-    )
-    rows.sort(key=lambda r: (r["_o"], r["_id"], r["_t"]))
-    return [(r["_t"], r["_y"]) for r in rows][:bound]
+    docs = documents.select(F.col("doc_id").alias("_id"), F.col("text").alias("_t")).where("_id is not null and _t is not null")
+    # one text of each labelled document, by its hash; texts themselves move only for the rows that are taken
+    held = docs.select("_id", F.xxhash64("_t").alias("_v")).join(y, "_id").groupBy("_id").agg(F.min("_v").alias("_v"), F.max("_y").alias("_y"))
+    wanted = held.withColumn("_o", F.xxhash64("_id")).orderBy("_o", "_id").limit(bound)
+    rows = docs.withColumn("_v", F.xxhash64("_t")).join(F.broadcast(wanted), ["_id", "_v"]).groupBy("_o", "_id").agg(F.min("_t").alias("_t"), F.max("_y").alias("_y")).collect()
+    rows.sort(key=lambda r: (r["_o"], r["_id"]))
+    return [(r["_t"], r["_y"]) for r in rows]
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Smallest reachable id for every node of ``edges(a, b)``: columns ``node``, ``component``.
 
     Alternates large-star and small-star steps.  Each step is one grouped minimum (partial sums on the
@@ -92,7 +93,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         "cc",
     )
     seen = None
-    for _ in range(max_rounds):
+    while True:  # it settles after some log n rounds
         both = state.union(state.select("b", "a")).toDF("u", "v")
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
@@ -109,8 +110,6 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if mark == seen:
             break
         seen = mark
-    else:
-        raise RuntimeError("components did not settle")
     low = state.groupBy("a").agg(F.min("b").alias("component"))
     roots = state.select(F.col("b").alias("node"), F.col("b").alias("component"))
     return low.select(F.col("a").alias("node"), "component").union(roots).groupBy("node").agg(F.min("component").alias("component"))

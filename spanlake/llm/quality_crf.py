@@ -163,8 +163,8 @@ def quality_model(documents: DataFrame, labels: DataFrame, bound: int = TRAIN_BO
     return train(training_sample(documents, labels, "quality", bound))
 
 
-def score(documents: DataFrame, model: dict[str, np.ndarray], keep: list[str] | None = None) -> DataFrame:
-    """Columns ``keep`` (default doc_id) and ``score``, for whole texts, with no shuffle.
+def score(documents: DataFrame, model: dict[str, np.ndarray], keep: list[str] | None = None, text: str = "text") -> DataFrame:
+    """Columns ``keep`` (default doc_id; none of them ``score`` or ``_t``) and ``score`` of the column ``text``, whole, with no shuffle.
 
     A null or empty text is one empty line; every row gives a row; an empty table an empty result.
     """
@@ -179,7 +179,7 @@ def score(documents: DataFrame, model: dict[str, np.ndarray], keep: list[str] |
                 out[a:b] = score_texts(texts[a:b], model)
             yield pdf[keep].assign(**{"score": out})
 
-    return documents.select(*keep, F.col("text").alias("_t")).mapInPandas(run, f"{schema}, score double")
+    return documents.select(*keep, F.col(text).alias("_t")).mapInPandas(run, f"{schema}, score double")
 
 
 def classify(documents: DataFrame, labels: DataFrame, bound: int = TRAIN_BOUND) -> DataFrame:
