@@ -40,6 +40,8 @@ NEAREST = 4
 LONG = 2048
 #: Order (8 log2 of the count) from which on a token's postings are dealt by line instead of being gathered: 2**16 lines.
 SPREAD = 8 * 16
+#: Most hubs of a list in one array.
+HUBS = 1024
 #: Bits of the table that says which lines are wanted.
 WANTED = 25
 _U = np.uint64
@@ -80,7 +82,7 @@ def _read(batches):
 
 def _first_of_class(found) -> np.ndarray:
     """Index of the first line of each class in a chunk, in order."""
-    order = np.lexsort((found.c2, found.c))
+    order = np.argsort(found.c, kind="stable")
     c, c2 = found.c[order], found.c2[order]
     new = np.ones(len(order), bool)
     new[1:] = (c[1:] != c[:-1]) | (c2[1:] != c2[:-1])
@@ -129,8 +131,9 @@ def lines_and_counts(documents: DataFrame, percent: int) -> DataFrame:
                 keep = _first_of_class(found)
                 total += int(prefix_length(found.n[keep], percent).sum())
                 words, _, _ = _select(found, keep)
-                slot, times = np.unique(words & _U((1 << SLOTS) - 1), return_counts=True)
-                table[slot.astype(np.int64)] += times.astype(np.int32)
+                slots = np.sort((words & _U((1 << SLOTS) - 1)).astype(np.uint32))
+                first = np.flatnonzero(np.append(True, slots[1:] != slots[:-1])) if len(slots) else slots
+                table[slots[first]] += np.diff(np.append(first, len(slots))).astype(np.int32)
                 yield {"doc_id": own[:, 0], "version": own[:, 1], "line": line, "c": found.c, "c2": found.c2}
 
         for frame in _gathered(rows()):
@@ -460,18 +463,20 @@ def later_matches(documents: DataFrame, order: np.ndarray, total: int, percent:
     many = hubs
     held = None if rest.isEmpty() else scratch(sets_of(documents, rest.select("doc", "line")), "held")
     while held is not None and not rest.isEmpty():
-        # the hubs of a list travel as one array of at most `many`
+        # a list's hubs travel as arrays of HUBS at most
         posting = F.struct(*columns[1:])
         part = F.pmod(F.xxhash64("c"), F.lit(many))
         least = rest.where("not done").groupBy("key", part.alias("part")).agg(F.min_by(posting, F.struct("doc", "line", "c")).alias("hub"))
-        dealt = rest.join(least.groupBy("key").agg(F.collect_list("hub").alias("hubs")), "key")
+        arrays = least.groupBy("key", F.floor(F.col("part") / HUBS).alias("g")).agg(F.collect_list("hub").alias("hubs")).drop("g")
         near = F.expr(f"filter(hubs, h -> {fits('h', 'me', percent)})")
-        pairs = dealt.where("over").join(matched, "c", "left_anti").withColumn("me", posting).select(F.explode(near).alias("h"), F.col("c").alias("b"))
+        mine = rest.where("over").join(matched.select("c"), "c", "left_anti").withColumn("me", posting)
+        pairs = mine.join(arrays, "key").select(F.explode(near).alias("h"), F.col("c").alias("b"))
         pairs = pairs.select(F.col("h.c").alias("a"), "b").distinct().join(tested, ["a", "b"], "left_anti")
         judged = verified(pairs, held, percent)
         tested = tested.union(judged.where("not ok").select("a", "b"))
         matched = scratch(matched.union(judged.where("ok").select("b", "b2")).distinct(), "matched")
-        done = F.col("done") | F.exists("hubs", lambda h: h["c"] == F.col("c"))
+        dealt = rest.join(least.select("key", "hub.c", F.lit(True).alias("was")), ["key", "c"], "left")
+        done = F.col("done") | F.coalesce("was", F.lit(False))
         left = scratch(pruned(dealt.withColumn("done", done), matched), "rest")
         drop_scratch(rest)
         rest, many = left, many * growth

@@ -29,10 +29,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 @cache
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """For each code point: is it part of a word, and its value."""
+def _tables() -> tuple[bytes, bytes, np.ndarray]:
+    """Lower case of each Latin-1 character, whether it is part of a word, and the latter for every code point."""
     word = np.fromiter((c == 95 or chr(c).isalnum() for c in range(0x110000)), bool, 0x110000)
-    return word, mix(np.arange(1, 0x110001, dtype=_U) * _U(0xD6E8FEB86659FD93))
+    return bytes(range(256)).decode("latin-1").lower().encode("latin-1"), word[:256].tobytes(), word
 
 
 @cache
@@ -54,19 +54,26 @@ class Lines:
     """
 
     def __init__(self, pieces: list[str]):
-        self.text = "\n".join(pieces).lower()
-        cp = np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), "<u4")
-        word, value = _tables()
-        inside = word[cp]
-        edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-        start, end = edge[::2], edge[1::2]
-        size = 1 << max(18, int(len(cp) + 1).bit_length())
-        power, inverse = _powers(size)
-        total = np.zeros(len(cp) + 1, _U)
-        np.cumsum(value[cp] * power[: len(cp)], out=total[1:])
-        h = mix((total[end] - total[start]) * inverse[start] + (end - start).astype(_U))
+        text = "\n".join(pieces)
+        lower, latin, word = _tables()
+        try:  # a byte for a character, nearly always
+            held = text.encode("latin-1").translate(lower)
+            cp, inside = np.frombuffer(held, np.uint8), np.frombuffer(held.translate(latin), bool)
+            self.text = text
+        except UnicodeEncodeError:
+            self.text = text.lower()
+            cp = np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), "<u4")
+            inside = word[cp]
+        edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        if len(cp) and inside[0]:
+            edge = np.append(0, edge)
+        start, end = edge[::2], np.append(edge, len(cp))[1::2] if len(edge) & 1 else edge[1::2]
+        power, inverse = _powers(1 << max(18, int(len(cp) + 1).bit_length()))
+        value = np.multiply(cp, power[: len(cp)], dtype=_U)
+        total = np.add.reduceat(value, edge)[::2] if len(edge) and edge[-1] < len(cp) else np.add.reduceat(value, edge[:-1])[::2] if len(edge) else value[:0]
+        h = mix(total * inverse[start] + (end - start).astype(_U))
         for i in np.flatnonzero(end - start > PLAIN).tolist():
-            h[i] = xxhash.xxh3_64_intdigest(cp[start[i] : end[i]].tobytes())
+            h[i] = xxhash.xxh3_64_intdigest(cp[start[i] : end[i]].astype("<u4").tobytes())
         breaks = np.flatnonzero(cp == 10)
         inside = np.diff(np.concatenate([[0], np.searchsorted(start, breaks), [len(start)]]))  # words of each line
         at = np.repeat(np.arange(len(inside)), inside)
@@ -94,7 +101,7 @@ class Lines:
     def string(self, i: int) -> str:
         """The i-th line, in lower case."""
         k = self.at[i]
-        return self.text[self.breaks[k - 1] + 1 if k else 0 : self.breaks[k] if k < len(self.breaks) else len(self.text)]
+        return self.text[self.breaks[k - 1] + 1 if k else 0 : self.breaks[k] if k < len(self.breaks) else len(self.text)].lower()
 
 
 def chunks(texts: Iterator[tuple], size: int = CHUNK) -> Iterator[tuple[list, np.ndarray, Lines]]:

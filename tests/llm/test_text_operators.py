@@ -271,3 +271,24 @@ def test_pipeline_stages(spark):
     assert rows.select("doc_id").distinct().count() == kept.count()
     leaks = decontaminate.contaminated(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).select("doc_id")
     assert kept.join(leaks, "doc_id", "left_semi").where("length(text) > 2000").count() == 0
+
+
+def test_stages_handle_odd_rows_and_columns(spark):
+    """Nulls, empty texts, repeated rows, an empty table, and columns named like the stages' own."""
+    import corpus_pipeline as p
+
+    text = "The first line of a plain text that is long enough.\nAnother line follows it here with more words.\nAnd a third one closes the document for good."
+    rows = [(1, text, "a", "s", 5), (1, text, "a", "s", 5), (2, None, None, None, None), (3, "", "b", "t", 0), (None, text + " x", "c", "u", 1), (4, text.upper(), "d", "v", 2), (5, "word " * 30_000, "e", "w", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    odd = docs.withColumns({n: F.lit(n) for n in ("score", "removed", "_t", "_v", "_doc", "_version", "row", "version", "c1", "component_id", "kept", "key", "node", "length", "item_id", "_row")})
+    for name, stage in p.STAGES:
+        for frame in (docs, odd):
+            out = stage(spark, frame, SF)
+            ids = [r["doc_id"] for r in out.collect()]
+            if name != "packing":
+                assert out.columns == frame.columns, name
+            if name == "MinHash near-dedup":
+                assert sorted(ids, key=lambda i: (i is None, i)) == [1, 2, 3, 5, None], name
+            elif name in ("line dedup", "benchmark decontamination"):
+                assert len(ids) == len(rows), name
+            assert stage(spark, frame.where("false"), SF).count() == 0, name
