@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codec import reverse_complement
-from .align import GAP_EXTEND, GAP_OPEN, pair_score
+from .wavefront import global_paths
 
 
 def pair_strands(strands: DataFrame) -> DataFrame:
@@ -23,48 +23,27 @@ def pair_strands(strands: DataFrame) -> DataFrame:
     return out.withColumn("outcome", outcome)
 
 
-def global_path(a: str, b: str, band: int = 50) -> list[tuple[int | None, int | None]]:
-    """Banded global alignment as pairs of positions; None stands for a gap."""
-    n, m = len(a), len(b)
-    band = max(band, abs(n - m) + 1)
-    pairs = {(x, y): pair_score(x, y) for x in set(a) for y in set(b)}
-    lows, rows, before = [], [], []
-    for i in range(n + 1):
-        low, high = max(0, i - band), min(m, i + band)
-        above, shift, width = rows[-1] if i else b"", low - lows[-1] if i else 0, len(before)
-        score, came = [0.0] * (high - low + 1), bytearray(high - low + 1)
-        for k in range(high - low + 1):
-            up, s, step = k + shift, None, 3
-            if i and k + low and 0 < up <= width:
-                s, step = before[up - 1] + pairs[a[i - 1], b[k + low - 1]], 0
-            if i and up < width:
-                t = before[up] + (GAP_EXTEND if above[up] == 1 else GAP_OPEN)
-                if s is None or t > s:
-                    s, step = t, 1
-            if k:
-                t = score[k - 1] + (GAP_EXTEND if came[k - 1] == 2 else GAP_OPEN)
-                if s is None or t > s:
-                    s, step = t, 2
-            score[k], came[k] = s or 0.0, step
-        lows.append(low)
-        rows.append(came)
-        before = score
-    path, i, j = [], n, m
-    while i or j:
-        step = rows[i][j - lows[i]]
-        path.append((i - 1 if step != 2 else None, j - 1 if step != 1 else None))
-        i, j = i - (step != 2), j - (step != 1)
-    return path[::-1]
+def merge_strands(a: str, qa: list[int], b: str, qb: list[int], ref: str | None = None) -> tuple[str, list[int], str]:
+    """``merge_many`` of one pair."""
+    return merge_many([a], [qa], [b], [qb], [ref])[0]
 
 
-def merge_strands(a: str, qa: list[int], b: str, qb: list[int], ref: str | None = None) -> tuple[str, list[int], str]:
-    """(sequence, qualities, dd tag) of two strands in one orientation.
+def merge_many(a: list[str], qa: list, b: list[str], qb: list, refs: list[str | None]) -> list[tuple[str, list[int], str]]:
+    """(sequence, qualities, dd tag) of pairs of strands in one orientation, aligned together."""
+    paths = global_paths(a, b)
+    known = [k for k, r in enumerate(refs) if r]
+    on_ref = dict(zip(known, global_paths([refs[k] for k in known], [a[k] for k in known])))
+    return [merged(a[k], qa[k], b[k], qb[k], refs[k], path, on_ref.get(k)) for k, path in enumerate(paths)]
+
+
+def merged(a: str, qa: list[int], b: str, qb: list[int], ref: str | None, path: tuple, ref_path: tuple | None) -> tuple[str, list[int], str]:
+    """Two aligned strands as one.
 
     Equal bases are kept with the higher quality.  A difference that the reference settles takes its
     base (``>`` if strand a has it, ``<`` if b); else strand a stays, masked as ``?`` (no reference), ``&`` (neither matches),
     or ``!`` (an indel).
     """
-    at_ref = {j: i for i, j in global_path(ref, a)if j is not None} if ref else {}
+    at_ref = {j: i for i, j in zip(*(x.tolist() for x in ref_path)) if i >= 0 and j >= 0} if ref_path else {}
     seq, qual, ops = [], [], []
 
     def add(op: str, value: str | int):
@@ -73,11 +52,11 @@ def merge_strands(a: str, qa: list[int], b: str, qb: list[int], ref: str | None
         else:
             ops.append((op, value))
 
-    for i, j in global_path(a, b):
-        if i is None:
+    for i, j in zip(*(x.tolist() for x in path)):
+        if i < 0:
             add("+", b[j])
             continue
-        if j is None:
+        if j < 0:
             seq.append(a[i]), qual.append(qa[i])
             add("!", a[i])
         elif a[i] == b[j]:
@@ -101,7 +80,7 @@ def merge_pairs(pairs: DataFrame) -> DataFrame:
 
     def run(batches):
         for pdf in batches:
-            out = [merge_strands(r.a, list(r.qa), r.b, list(r.qb), r.ref if isinstance(r.ref, str) else None) for r in pdf.itertuples(index=False)]
+            out = merge_many(pdf["a"].tolist(), [list(q) for q in pdf["qa"]], pdf["b"].tolist(), [list(q) for q in pdf["qb"]], [r if isinstance(r, str) else None for r in pdf["ref"]])
             yield pd.DataFrame({"movie": pdf["movie"], "zmw": pdf["zmw"], "seq": [o[0] for o in out], "qual": [o[1] for o in out], "dd": [o[2] for o in out]})
 
     return rows.mapInPandas(run, "movie string, zmw bigint, seq string, qual array<int>, dd string")

@@ -2,22 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codec import node_chrom, variant_chrom_length
+from .blocks import number_groups
 
 LOOK_BACK = (Window.unboundedPreceding, Window.currentRow)
 
 
-def gap_groups(df: DataFrame, by: list, value: Column, gap: int, order: list, out: str) -> DataFrame:
-    """Single linkage in one dimension: a value more than ``gap`` above the one before starts a group.
+def apart_on_one_strand(a: Column, b: Column) -> Column:
+    """Distance of two signed nodes' places."""
+    return F.abs(F.abs(a) - F.abs(b))
+
+
+def gap_groups(df: DataFrame, by: list[str], value: Column, gap: int, out: str, apart: Callable[[Column, Column], Column] = lambda a, b: a - b) -> DataFrame:
+    """Single linkage in one dimension: ``out`` numbers the groups of values of which none is more than ``gap`` from the one before.
 
-    ``order`` has to be total, so that group numbers don't depend on row order.
+    Numbers are found on the distinct values, in blocks of them, and joined back, so that neither a
+    crowded value nor a long chromosome makes a large task.  Null values are one group of their own, 0.
     """
-    w = Window.partitionBy(*by).orderBy(*order)
-    new = F.when(F.abs(value - F.lag(value).over(w)) <= gap, 0).otherwise(1)
-    return df.withColumn("_new", new).withColumn(out, F.sum("_new").over(w.rowsBetween(*LOOK_BACK))).drop("_new")
+    rows = df.withColumn("_value", value)
+    values = rows.select(*by, "_value").where("_value is not null").distinct()
+    numbered = number_groups(values, by, "_value", out, lambda v, before: apart(v, before) > gap)
+    return rows.join(numbered, [*by, "_value"], "left").withColumn(out, F.coalesce(out, F.lit(0))).select(*(c for c in df.columns if c != out), out)
+
+
+def local_groups(df: DataFrame, by: list[str], value: Column, gap: int, out: str, apart: Callable[[Column, Column], Column] = lambda a, b: a - b) -> DataFrame:
+    """``gap_groups`` within groups that are small places already, in one window."""
+    w = Window.partitionBy(*by).orderBy("_value")
+    new = F.when(apart(F.col("_value"), F.lag("_value").over(w)) <= gap, 0).otherwise(1)
+    return df.withColumn("_value", value).withColumn("_new", new).withColumn(out, F.sum("_new").over(w.rowsBetween(*LOOK_BACK))).drop("_new", "_value")
 
 
 def run_ids(df: DataFrame, by: list, order: list, value: str, out: str = "run") -> DataFrame:
@@ -26,23 +43,23 @@ def run_ids(df: DataFrame, by: list, order: list, value: str, out: str = "run")
     return df.withColumn("_new", F.when(F.col(value).eqNullSafe(F.lag(value).over(w)), 0).otherwise(1)).withColumn(out, F.sum("_new").over(w.rowsBetween(*LOOK_BACK))).drop("_new")
 
 
-def fuzzy_junctions(junctions: DataFrame, chroms: DataFrame, distance: int = 20, length: int = 5, tie: tuple[str, ...] = ("qname", "aln_i")) -> DataFrame:
+def fuzzy_junctions(junctions: DataFrame, chroms: DataFrame, distance: int = 20, length: int = 5) -> DataFrame:
     """Group ``junctions(node1, node2, jxn_offset, ...)`` in three nested passes: ``sc``, ``i1``, ``i2``, ``i3``.
 
     Pass 1: node 1 within a strand and chromosome, gaps up to ``distance``.  Pass 2: node 2 within those groups.
     Pass 3: length of the rearranged chromosome within those, gaps up to ``length``.  Opposite strands are
-    never chained.  All three windows are partitioned by (strand, chromosome), one shuffle.
+    never chained.
     """
     sc = F.signum("node1").cast("bigint") * node_chrom(F.col("node1"))
     out = junctions.withColumn("sc", sc)
-    out = gap_groups(out, ["sc"], F.abs("node1"), distance, ["node1", "node2", *tie], "i1")
-    out = gap_groups(out, ["sc", "i1"], F.abs("node2"), distance, ["node2", "node1", *tie], "i2")
+    out = gap_groups(out, ["sc"], F.col("node1"), distance, "i1", apart_on_one_strand)
+    out = local_groups(out, ["sc", "i1"], F.col("node2"), distance, "i2", apart_on_one_strand)
     sizes = F.broadcast(chroms)  # one row for each chromosome of a genome
     one = sizes.select(F.col("chrom_index1").alias("_c1"), F.col("chrom_size").alias("_s1"))
     two = sizes.select(F.col("chrom_index1").alias("_c2"), F.col("chrom_size").alias("_s2"))
     out = out.join(one, node_chrom(F.col("node1")) == F.col("_c1")).join(two, node_chrom(F.col("node2")) == F.col("_c2"))
     out = out.withColumn("vcl", variant_chrom_length(F.col("node1"), F.col("_s1"), F.col("node2"), F.col("_s2"), F.col("jxn_offset"))).drop("_c1", "_s1", "_c2", "_s2")
-    return gap_groups(out, ["sc", "i1", "i2"], F.col("vcl"), length, ["vcl", "node1", "node2", *tie], "i3")
+    return local_groups(out, ["sc", "i1", "i2"], F.col("vcl"), length, "i3")
 
 
 GROUP = ["sc", "i1", "i2", "i3"]
@@ -53,7 +70,7 @@ def merge_final(junctions: DataFrame, chroms: DataFrame, distance: int = 20, len
 
     ``junctions(node1, node2, jxn_offset, n_instances, n_dedup, sample_bits, source)``.
     """
-    g = fuzzy_junctions(junctions, chroms, distance, length, ("source", "jxn_offset", "n_instances"))
+    g = fuzzy_junctions(junctions, chroms, distance, length)
     best = F.max_by(F.struct("node1", "node2", "jxn_offset"), F.struct("n_dedup", -F.col("node1"), -F.col("node2"), -F.col("jxn_offset")))
     return g.groupBy(*GROUP).agg(
         best.alias("b"), F.sum("n_instances").alias("n_instances"), F.sum("n_dedup").alias("n_dedup"), F.bit_or("sample_bits").alias("sample_bits"),

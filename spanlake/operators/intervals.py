@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import scan
+
 C, S, E = "chrom_index1", "start0", "end1"
-LOOK_BACK = (Window.unboundedPreceding, Window.currentRow)
+#: Each level's bins are so many times wider than the last one's; a span is in as many bins of its level and one at most.
+STEP, LEVELS = 64, 4
 
 
 def binned(spans: DataFrame, width: int) -> DataFrame:
@@ -14,13 +17,31 @@ def binned(spans: DataFrame, width: int) -> DataFrame:
     return spans.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(S) / width), F.floor((F.greatest(F.col(E), F.col(S) + 1) - 1) / width))))
 
 
+def levelled(spans: DataFrame, width: int) -> DataFrame:
+    """Each span once for each bin it touches, as ``_bin`` (level, bin), of a level whose bins fit its length."""
+    last = F.greatest(F.col(E), F.col(S) + 1) - 1
+    level = F.lit(LEVELS - 1)
+    for k in range(LEVELS - 2, -1, -1):
+        level = F.when(last - F.col(S) < width * STEP ** (k + 1), k).otherwise(level)
+    size = F.element_at(F.array(*(F.lit(width * STEP**k).cast("bigint") for k in range(LEVELS))), F.col("_level") + 1)
+    rows = spans.withColumn("_level", level).withColumn("_size", size)
+    bins = F.sequence(F.floor(F.col(S) / F.col("_size")), F.floor(last / F.col("_size")))
+    return rows.withColumn("_bin", F.explode(bins)).withColumn("_bin", F.struct(F.col("_level").alias("level"), F.col("_bin").alias("bin"))).drop("_level", "_size")
+
+
+def level_bins(place: Column, width: int) -> Column:
+    """The (level, bin) pairs of a 0-based place, as an array."""
+    return F.array(*(F.struct(F.lit(k).alias("level"), F.floor(place / (width * STEP**k)).alias("bin")) for k in range(LEVELS)))
+
+
 def point_in_interval(points: DataFrame, regions: DataFrame, width: int = 512, pos: str = "pos1") -> DataFrame:
     """Inner join of 1-based points with the regions that hold them, with ``center_distance``.
 
-    An equi-join on (chromosome, bin); a region is copied to the bins it touches, a point has one.
+    An equi-join on (chromosome, level, bin): a region is copied to the few bins of its level that it touches, a point has
+    one bin in each level, so regions of any lengths cost alike.
     """
-    p = points.withColumn("_bin", F.floor((F.col(pos) - 1) / width))
-    hit = p.join(binned(regions, width), [C, "_bin"]).where((F.col(pos) - 1 >= F.col(S)) & (F.col(pos) - 1 < F.col(E)))
+    p = points.withColumn("_bin", F.explode(level_bins(F.col(pos) - 1, width)))
+    hit = p.join(levelled(regions, width), [C, "_bin"]).where((F.col(pos) - 1 >= F.col(S)) & (F.col(pos) - 1 < F.col(E)))
     middle = F.col(S) + ((F.col(E) - F.col(S)) / 2).cast("bigint")
     return hit.withColumn("center_distance", F.col(pos) - middle).drop("_bin")
 
@@ -35,9 +56,11 @@ def regions_of_points(points: DataFrame, regions: DataFrame, keys: list[str], wi
 
 def islands(spans: DataFrame, by: list[str], gap: int = 0) -> DataFrame:
     """Rows with ``island``: spans that overlap, touch, or are up to ``gap`` apart share one."""
-    w = Window.partitionBy(*by).orderBy(S, E)
-    before = F.max(E).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    return spans.withColumn("_new", F.when(F.col(S) <= before + gap, 0).otherwise(1)).withColumn("island", F.sum("_new").over(w.rowsBetween(*LOOK_BACK))).drop("_new")
+    ends = spans.groupBy(*by, S).agg(F.max(E).alias(E))  # however many spans start at one place, it is one row
+    reach = scan(ends, by, S, [S], _before=("max_before", F.col(E)))
+    new = F.when(F.col(S) <= F.col("_before") + gap, 0).otherwise(1)
+    numbered = scan(reach.withColumn("_new", new), by, S, [S], island=("sum", F.col("_new"))).select(*by, S, "island")
+    return spans.join(numbered, [*by, S])
 
 
 def collapse(spans: DataFrame, by: list[str] = [C], padding: int = 0) -> DataFrame:  # noqa: B006
@@ -74,25 +97,25 @@ def coverage_runs(spans: DataFrame, weight: str | None = None) -> DataFrame:
     w = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
     events = spans.select(C, F.explode(F.array(F.struct(F.col(S).alias("p"), w.alias("d")), F.struct(F.col(E).alias("p"), (-w).alias("d")))).alias("e"))
     net = events.groupBy(C, F.col("e.p").alias("p")).agg(F.sum("e.d").alias("d")).where("d <> 0")
-    order = Window.partitionBy(C).orderBy("p")
-    runs = net.select(C, F.col("p").alias(S), F.lead("p").over(order).alias(E), F.sum("d").over(order.rowsBetween(*LOOK_BACK)).alias("coverage"))
-    return runs.where("coverage > 0")
+    runs = scan(net, [C], "p", ["p"], **{E: ("lead", F.col("p")), "coverage": ("sum", F.col("d"))})
+    return runs.select(C, F.col("p").alias(S), E, "coverage").where("coverage > 0")
 
 
 def depth_at(points: DataFrame, runs: DataFrame, width: int = 512, pos: str = "pos1") -> DataFrame:
     """Points with the ``coverage`` of the run that holds them (0 outside any run)."""
-    p = points.withColumn("_bin", F.floor((F.col(pos) - 1) / width)).withColumn("_at", F.col(pos) - 1)
-    r = binned(runs, width).select(F.col(C).alias("_c"), F.col("_bin").alias("_b"), F.col(S).alias("_s"), F.col(E).alias("_e"), F.col("coverage").alias("_v"))
-    joined = p.join(r, (F.col(C) == F.col("_c")) & (F.col("_bin") == F.col("_b")) & (F.col("_at") >= F.col("_s")) & (F.col("_at") < F.col("_e")), "left")
-    return joined.withColumn("coverage", F.coalesce("_v", F.lit(0).cast("bigint"))).drop("_bin", "_at", "_c", "_b", "_s", "_e", "_v")
+    at = points.select(C, F.col(pos).alias("_pos")).distinct().withColumn("_bin", F.explode(level_bins(F.col("_pos") - 1, width)))
+    r = levelled(runs, width).select(C, "_bin", F.col(S).alias("_s"), F.col(E).alias("_e"), F.col("coverage").alias("_v"))
+    found = at.join(r, [C, "_bin"]).where((F.col("_pos") > F.col("_s")) & (F.col("_pos") <= F.col("_e"))).select(F.col(C).alias("_c"), "_pos", "_v")
+    joined = points.join(found, (F.col(C) == F.col("_c")) & (F.col(pos) == F.col("_pos")), "left")
+    return joined.withColumn("coverage", F.coalesce("_v", F.lit(0).cast("bigint"))).drop("_c", "_pos", "_v")
 
 
 def elementary_segments(spans: DataFrame, by: list[str] = [C], gaps: bool = False) -> DataFrame:  # noqa: B006
     """Split at every boundary; ``n`` spans hold each segment (without ``gaps``, one at least)."""
     ends = spans.select(*by, F.explode(F.array(F.struct(F.col(S).alias("p"), F.lit(1).alias("d")), F.struct(F.col(E).alias("p"), F.lit(-1).alias("d")))).alias("e"))
     net = ends.groupBy(*by, F.col("e.p").alias("p")).agg(F.sum("e.d").alias("d"))
-    order = Window.partitionBy(*by).orderBy("p")
-    out = net.select(*by, F.col("p").alias(S), F.lead("p").over(order).alias(E), F.sum("d").over(order.rowsBetween(*LOOK_BACK)).alias("n")).where(F.col(E).isNotNull())
+    swept = scan(net, by, "p", ["p"], **{E: ("lead", F.col("p")), "n": ("sum", F.col("d"))})
+    out = swept.select(*by, F.col("p").alias(S), E, "n").where(F.col(E).isNotNull())
     return out if gaps else out.where("n > 0")
 
 
@@ -100,9 +123,9 @@ def group_score(segments: DataFrame, spans: DataFrame, score: str, how: str, wid
     """Score each segment from the spans that hold it: COUNT, SUM, AVERAGE, MEDIAN, MIN, MAX or BOOLEAN."""
     v = F.col("_v")
     agg = {"COUNT": F.count(v), "SUM": F.sum(v), "AVERAGE": F.avg(v), "MEDIAN": F.percentile(v, 0.5), "MIN": F.min(v), "MAX": F.max(v), "BOOLEAN": F.max(F.lit(1))}[how]
-    inner = binned(spans, width).select(F.col(C).alias("_c"), F.col("_bin").alias("_b"), F.col(S).alias("_s"), F.col(E).alias("_e"), F.col(score).alias("_v"), F.col("name").alias("_name"))
-    seg = segments.select(C, S, E).withColumn("_k", F.floor(F.col(S) / width))
-    hit = seg.join(inner, (F.col(C) == F.col("_c")) & (F.col("_k") == F.col("_b")) & (F.col(S) >= F.col("_s")) & (F.col(E) <= F.col("_e")))
+    inner = levelled(spans, width).select(C, "_bin", F.col(S).alias("_s"), F.col(E).alias("_e"), F.col(score).alias("_v"), F.col("name").alias("_name"))
+    seg = segments.select(C, S, E).withColumn("_bin", F.explode(level_bins(F.col(S), width)))
+    hit = seg.join(inner, [C, "_bin"]).where((F.col(S) >= F.col("_s")) & (F.col(E) <= F.col("_e")))
     return hit.groupBy(C, S, E).agg(agg.alias("score"), F.array_join(F.sort_array(F.collect_set("_name")), ",").alias("names"))
 
 
@@ -110,8 +133,8 @@ def complement(spans: DataFrame, chroms: DataFrame) -> DataFrame:
     """Parts of the chromosomes that no span holds."""
     joined = collapse(spans.withColumn("name", F.lit(""))).select(C, S, E)
     ends = joined.unionByName(chroms.select(C, F.col("chrom_size").alias(S), F.col("chrom_size").alias(E)))
-    before = F.coalesce(F.lag(E).over(Window.partitionBy(C).orderBy(S, E)), F.lit(0))
-    return ends.select(C, before.alias(S), F.col(S).alias(E)).where(F.col(S) < F.col(E))
+    gaps = scan(ends, [C], S, [S, E], _before=("lag", F.col(E)))
+    return gaps.select(C, F.coalesce("_before", F.lit(0)).alias(S), F.col(S).alias(E)).where(F.col(S) < F.col(E))
 
 
 def clip_window(runs: DataFrame, low: int, high: int) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .fuzzy import gap_groups
@@ -56,9 +56,9 @@ def match_endpoints(observed: DataFrame, in_silico: DataFrame, distance: int) ->
     rows = in_silico.select("chrom_index1", F.col("site_pos1").alias("pos"), F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("n")).distinct().unionByName(
         observed.select("chrom_index1", F.col("site_pos1").alias("pos"), F.lit(1).alias("kind"), F.col("n_observed").alias("n"))
     )
-    rows = gap_groups(rows, ["chrom_index1"], F.col("pos"), distance, ["pos", "kind", "n"], "cluster")
-    w = Window.partitionBy("chrom_index1", "cluster")
-    rows = rows.withColumn("width", F.max("pos").over(w) - F.min("pos").over(w))
+    rows = gap_groups(rows, ["chrom_index1"], F.col("pos"), distance, "cluster")
+    wide_by = rows.groupBy("chrom_index1", "cluster").agg((F.max("pos") - F.min("pos")).alias("width"))
+    rows = rows.join(wide_by, ["chrom_index1", "cluster"])
     narrow = rows.where(F.col("width") <= distance)
     known = narrow.where("kind = 0").select("chrom_index1", "cluster", F.col("pos").alias("site"))
     seen = narrow.where("kind = 1").withColumn("_id", F.struct("pos", "n"))

@@ -102,18 +102,18 @@ def f4_reverse_complement(spark, sf):
     return fx.sequences(spark, sf).select("doc_id", codec.reverse_complement(col("seq")).alias("rc"))
 
 
-QUAL = "q as (select doc_id, list_transform(string_split(substr(seq, 1, 200), ''), lambda c: ascii(c) - 33) q from fx_seq where seq <> '')"
+QUAL = "q as (select doc_id, list_transform(string_split(seq, ''), lambda c: ascii(c) - 33) q from fx_seq where seq <> '')"
 
 
 @query("select doc_id, floor(list_sum(q) * 1000 / len(q)) / 1000 mean, list_sort(q)[len(q) // 2 + 1]::bigint median from q", QUAL)
 def f5_f6_quality(spark, sf):
-    q = fx.sequences(spark, sf).where("seq <> ''").select("doc_id", codec.phred(F.substring("seq", 1, 200)).alias("q"))
+    q = fx.sequences(spark, sf).where("seq <> ''").select("doc_id", codec.phred(col("seq")).alias("q"))
     return q.select("doc_id", (F.floor(codec.mean_quality(col("q")) * 1000) / 1000).alias("mean"), big(codec.median_quality(col("q"))).alias("median"))
 
 
 @query("select doc_id, list_transform(q, lambda x: case when x >= 40 then 40 when x >= 34 then 34 else 20 end)::varchar[] levels from q", QUAL)
 def f7_quantized_quality(spark, sf):
-    q = fx.sequences(spark, sf).where("seq <> ''").select("doc_id", codec.phred(F.substring("seq", 1, 200)).alias("q"))
+    q = fx.sequences(spark, sf).where("seq <> ''").select("doc_id", codec.phred(col("seq")).alias("q"))
     return q.select("doc_id", codec.quantize_quality(col("q"), [20, 34, 40]).cast("array<string>").alias("levels"))
 
 
@@ -266,10 +266,10 @@ def p5_foldbacks(spark, sf):
 
 
 @query("""select doc_id, coalesce(len(list_filter(range(1, len(q) - 3), lambda i: list_sum(q[i:i + 4]) < 40 * 5)) > 0, false) as low_window, list_sort(q)[len(q) // 2 + 1] < 38 low_median
-  from (select doc_id, q[1:40] q from q where len(q) >= 40)""", QUAL)
+  from (select doc_id, q from q where len(q) >= 40)""", QUAL)
 def p6_p7_insertion_quality(spark, sf):
-    q = fx.sequences(spark, sf).where("length(seq) >= 40").select("doc_id", codec.phred(F.substring("seq", 1, 40)).alias("q"))
-    return q.select("doc_id", flags.low_window(col("q"), 5, 40, F.lit(40), 20).alias("low_window"), flags.low_median(col("q"), 5, 38, F.lit(40)).alias("low_median"))
+    q = fx.sequences(spark, sf).where("length(seq) >= 40").select("doc_id", codec.phred(col("seq")).alias("q"))
+    return q.select("doc_id", flags.low_window(col("q"), 5, 40, F.size("q"), 20).alias("low_window"), flags.low_median(col("q"), 5, 38, F.size("q")).alias("low_median"))
 
 
 @query("select qname, aln_i, case when mapq >= 50 then seq else null end s from (select *, 'ACGT' seq from fx_aln)")
@@ -334,7 +334,7 @@ def p20_strand_usability(spark, sf):
 
 @query("select doc_id from q where len(q) >= 100 and list_sum(q) / len(q) >= 38 and len(list_filter(q, lambda x: x < 35)) / len(q) <= 0.4", QUAL)
 def p21_read_quality(spark, sf):
-    q = fx.sequences(spark, sf).where("seq <> ''").select("doc_id", codec.phred(F.substring("seq", 1, 200)).alias("q"))
+    q = fx.sequences(spark, sf).where("seq <> ''").select("doc_id", codec.phred(col("seq")).alias("q"))
     return q.where(flags.passes_read_quality(col("q"), 38, 35, 0.4, 100)).select("doc_id")
 
 

@@ -21,7 +21,7 @@ select cast(c_custkey % 5 + 1 as bigint) as chrom_index1, cast((c_custkey * 7919
   cast((c_custkey * 7919) % 19000 + 50 + (c_custkey % 7) * 30 as bigint) as end1, c_name as name, cast(c_nationkey % 3 as bigint) as kind
 from {customer}"""
 SEQUENCES = """
-select doc_id, translate(lower(regexp_replace(substr(text, 1, 2000), '[^a-zA-Z]', ''{G})),
+select doc_id, translate(lower(regexp_replace(text, '[^a-zA-Z]', ''{G})),
   'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') as seq
 from {documents}"""
 
@@ -47,11 +47,6 @@ def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, SEQUENCES.replace("{G}", ""))
 
 
-def whole_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sequences of whole texts, for queries whose results no SQL fixes."""
-    return view(spark, sf_dir, SEQUENCES.replace("{G}", "").replace("substr(text, 1, 2000)", "text"))
-
-
 def chroms(spark: SparkSession) -> DataFrame:
     """Five synthetic chromosomes."""
     return spark.range(1, 6).selectExpr("id as chrom_index1", "30000 + id * 1000 as chrom_size")

@@ -297,7 +297,7 @@ def w2_adjacent_junctions(spark, sf):
 
 @query("select cast(chrom_index1 as bigint) c, min(pos1) lo, max(pos1) hi, count(*) n from (select *, sum(nw) over (partition by chrom_index1 order by pos1, qname, aln_i rows unbounded preceding) g from (select *, case when pos1 - lag(pos1) over (partition by chrom_index1 order by pos1, qname, aln_i) <= 20 then 0 else 1 end nw from fx_aln)) group by chrom_index1, g")
 def w3_gap_groups(spark, sf):
-    g = fuzzy.gap_groups(fx.alignments(spark, sf), ["chrom_index1"], col("pos1"), 20, ["pos1", "qname", "aln_i"], "g")
+    g = fuzzy.gap_groups(fx.alignments(spark, sf), ["chrom_index1"], col("pos1"), 20, "g")
     return g.groupBy(col("chrom_index1").alias("c"), "g").agg(F.min("pos1").alias("lo"), F.max("pos1").alias("hi"), F.count("*").alias("n")).drop("g")
 
 
@@ -483,19 +483,20 @@ def p18_p19_snv_filters(spark, sf):
 
 @query()
 def u1_p8_adapter_insertions(spark, sf):
-    s = fx.sequences(spark, sf).select("doc_id", F.substring("seq", 11, 24).alias("ins"))
-    return align.has_adapter(s, "ins", "ACGTACGTTGCA", 10, 40, 7.0).select("doc_id", "has_adapter")
+    pieces = F.posexplode(F.regexp_extract_all("seq", F.lit("[ACGT]{24}"), F.lit(0))).alias("piece", "ins")
+    s = fx.sequences(spark, sf).select("doc_id", pieces)
+    return align.has_adapter(s, "ins", "ACGTACGTTGCA", 10, 40, 7.0).select("doc_id", "piece", "has_adapter")
 
 
 @query()
 def u5_adapter_trim(spark, sf):
-    s = fx.whole_sequences(spark, sf).where("length(seq) >= 100").select(col("doc_id").cast("string").alias("qname"), F.concat(F.lit("TTAACCTGTACTTCGTTCAGTTACGTATTGCT"), "seq").alias("seq"))
+    s = fx.sequences(spark, sf).where("length(seq) >= 100").select(col("doc_id").cast("string").alias("qname"), F.concat(F.lit("TTAACCTGTACTTCGTTCAGTTACGTATTGCT"), "seq").alias("seq"))
     return align.trim_adapters(s.withColumn("qual", F.expr("repeat('I', length(seq))")), "CCTGTACTTCGTTCAGTTACGTATTGCT").select("qname", "trim5", "trim3", "how5")
 
 
 @query()
 def u4_duplex_merge(spark, sf):
-    s = fx.whole_sequences(spark, sf).where("length(seq) >= 60").select("doc_id", "seq").withColumn("qual", F.expr("array_repeat(30, length(seq))"))
+    s = fx.sequences(spark, sf).where("length(seq) >= 60").select("doc_id", "seq").withColumn("qual", F.expr("array_repeat(30, length(seq))"))
     fwd = s.selectExpr("'m' as movie", "doc_id as zmw", "0 as strand", "true as usable", "seq", "qual")
     rev = s.select(F.lit("m").alias("movie"), col("doc_id").alias("zmw"), F.lit(1).alias("strand"), F.lit(True).alias("usable"), codec.reverse_complement(F.expr("overlay(seq placing 'T' from 20 for 1)")).alias("seq"), "qual")
     return duplex.merge_pairs(duplex.pair_strands(fwd.unionByName(rev))).select("zmw", "seq", "dd")

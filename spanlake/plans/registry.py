@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import core, more
+from . import core, files, more
 
-QUERIES = {**core.QUERIES, **more.QUERIES}
-ORACLES = {**core.ORACLES, **more.ORACLES}
+QUERIES = {**core.QUERIES, **more.QUERIES, **files.QUERIES}
+ORACLES = {**core.ORACLES, **more.ORACLES, **files.ORACLES}
