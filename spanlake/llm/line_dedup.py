@@ -35,7 +35,7 @@ TOKEN = re.compile(r"\w+")
 SLOTS = 23
 SEGMENT = 15
 #: Candidates that a line hands out from one list at first.
-NEAREST = 4
+NEAREST = 8
 #: Longest list that is searched in numpy; longer ones go in rounds.
 LONG = 2048
 #: Order (8 log2 of the count) from which on a token's postings are dealt by line instead of being gathered: 2**16 lines.
