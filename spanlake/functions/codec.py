@@ -226,3 +226,45 @@ def query_on_reference(cigar: Column, seq: Column) -> Column:
         return F.struct(grown.alias("out"), (q + F.when(op.isin("D", "N", "H", "P"), 0).otherwise(n)).cast("bigint").alias("q"))
 
     return F.aggregate(cigar_ops(cigar), start, step, lambda a: a["out"])
+
+
+#: Code of two different bases.
+PAIR_CODES = {"AG": "R", "CT": "Y", "CG": "S", "AT": "W", "GT": "K", "AC": "M"}
+
+
+def paired_code(a: Column, b: Column) -> Column:
+    """IUPAC code of two paired bases or codes: the base both are, the code of two bases, a code that holds the other base, else N.
+
+    A pair of two codes, or of a code and a base that it doesn't hold, has none (null).
+    """
+    out = F.when((a == "N") | (b == "N"), "N").when((a == b) & a.isin(*"ACGTRYSWKM"), a)
+    for bases, code in PAIR_CODES.items():
+        x, y = bases
+        out = out.when(((a == x) & (b == y)) | ((a == y) & (b == x)), code)
+        out = out.when(((a == code) & b.isin(x, y)) | ((b == code) & a.isin(x, y)), code)
+    return out
+
+
+def log10_size(size: Column, is_translocation: Column, at: float = 9.25) -> Column:
+    """Size for a plot on a log scale; translocations have a fixed place."""
+    return F.when(is_translocation, F.lit(at)).otherwise(F.log10(size))
+
+
+def compress_integer(x: Column) -> Column:
+    """Three significant digits (of whole numbers, half up) with K, M or B."""
+    scale = F.pow(F.lit(10.0), F.floor(F.log10(x)) - 2).cast("bigint")
+    kept = F.floor((x + scale / 2) / scale) * scale
+    short = lambda unit: F.regexp_replace(F.format_string("%.2f", kept / unit), r"\.?0+$", "")
+    return (
+        F.when(x < 1000, x.cast("bigint").cast("string")).when(x < 1_000_000, F.concat(short(1e3), F.lit("K")))
+        .when(x < 1_000_000_000, F.concat(short(1e6), F.lit("M"))).otherwise(F.concat(short(1e9), F.lit("B")))
+    )
+
+
+def commify(x: Column) -> Column:
+    return F.format_number(x, 0)
+
+
+def round_count(x: Column, scalar: int = 1000) -> Column:
+    """Rounded half up at 1 / ``scalar``."""
+    return F.floor(x * scalar + 0.5) / scalar

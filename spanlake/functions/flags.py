@@ -134,3 +134,17 @@ def target_class(end5: Column, end3: Column) -> Column:
     """Class of two ends, each T (target), A (adjacent) or - (neither)."""
     pair = F.concat(end5, end3)
     return F.when(pair.isin("TA", "AT"), "TA").when(pair.isin("T-", "-T"), "T-").when(pair.isin("A-", "-A"), "A-").otherwise(pair)
+
+
+#: Number of each target class.
+TARGET_NUMBERS = {"--": 0, "TT": 1, "TA": 2, "T-": 3, "AA": 4, "A-": 5}
+
+
+def target_number(name: Column) -> Column:
+    """Number of a target class."""
+    return F.element_at(F.create_map(*(F.lit(x) for pair in TARGET_NUMBERS.items() for x in pair)), name)
+
+
+def packed_target(target_index: Column, class5: Column, class3: Column, own: Column) -> Column:
+    """Target of an alignment and the classes of its read's 5' and 3' alignments and its own, in one number."""
+    return F.shiftleft(target_index, 9) + F.shiftleft(target_number(class5), 6) + F.shiftleft(target_number(class3), 3) + target_number(own)

@@ -75,3 +75,29 @@ def fragment_statistics(frags: DataFrame, by: list[str], sizes: tuple[int, ...]
 def enzyme_summary(enzymes: DataFrame, statistics: DataFrame, key: str = "enzyme") -> DataFrame:
     """Full outer merge of the enzyme table with its statistics."""
     return enzymes.join(statistics, key, "full")
+
+
+#: Percentages and least sizes of the fragment summary.
+PERCENTS = (1, 2.5, 5, 10, 50, 90, 95, 97.5, 99)
+LEAST_SIZES = (*range(150, 351, 25), *range(1000, 15_001, 1000))
+
+
+def fragment_summary(frags: DataFrame, by: list[str], percents: tuple = PERCENTS, sizes: tuple[int, ...] = LEAST_SIZES) -> DataFrame:
+    """Number, Gb, least, most, quantiles ``q`` and weighted sizes ``n`` at each percentage, and shares of molecules and mass in [s, 2 s).
+
+    Columns: n_sites, total_gb, least, most, q_<percent>, nxx_<percent>, molar_<s>, mass_<s>, n_<s>; a point in a percentage is ``_``.
+    """
+    name = lambda p: str(p).replace(".", "_")
+    inside = lambda s: (F.col("size") >= s) & (F.col("size") < 2 * s)
+    counted = frags.groupBy(*by, "size").agg(F.count("*").alias("_n"))
+    n, mass = F.sum("_n"), F.sum(F.col("_n") * F.col("size"))
+    part = lambda s, v: F.coalesce(F.sum(F.when(inside(s), v)), F.lit(0))
+    out = counted.groupBy(*by).agg(
+        n.alias("n_sites"), F.round(mass / 1e9, 2).alias("total_gb"), F.min("size").alias("least"), F.max("size").alias("most"),
+        *(F.percentile("size", p / 100, F.col("_n")).alias(f"q_{name(p)}") for p in percents),
+        *(c for s in sizes for c in ((part(s, F.col("_n")) / n).alias(f"molar_{s}"), (part(s, F.col("_n") * F.col("size")) / mass).alias(f"mass_{s}"), part(s, F.col("_n")).alias(f"n_{s}"))),
+    )
+    run = Window.partitionBy(*by).orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = counted.withColumn("_cum", F.sum(F.col("_n") * F.col("size")).over(run)).withColumn("_all", F.sum(F.col("_n") * F.col("size")).over(Window.partitionBy(*by)))
+    reached = running.groupBy(*by).agg(*(F.max(F.when(F.col("_cum") >= F.col("_all") * (1 - p / 100), F.col("size"))).alias(f"nxx_{name(p)}") for p in percents))
+    return out.join(reached, by)

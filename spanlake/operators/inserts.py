@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,3 +64,28 @@ def outer_nodes(reads: DataFrame) -> DataFrame:
     n3 = F.when(F.col("paired_node").isNotNull(), -F.col("paired_node")).otherwise(F.col("node3"))
     swap = F.abs(F.col("node5")) > F.abs(n3)
     return reads.withColumn("outer1", F.when(swap, -n3).otherwise(F.col("node5"))).withColumn("outer2", F.when(swap, -F.col("node5")).otherwise(n3)).withColumn("was_flipped", swap.cast("bigint"))
+
+
+def middle_model(counts: DataFrame, bin_size: int, least: int = 10) -> DataFrame:
+    """Distribution of the summed sizes of two pieces, each drawn evenly from ``least`` to X - ``least`` bases of a fragment of X: size_bin, p.
+
+    Exact: the piece's distribution comes from running sums over the sizes, and the sum of two from one convolution.  The histogram has a
+    row for each size bin, whatever the reads, and goes to one task.
+    """
+    def run(batches):
+        rows = pd.concat(list(batches))
+        rows = rows[rows["size_bin"] >= 2 * least]
+        if not len(rows):
+            return
+        p = rows["n_observed"] / rows["n_observed"].sum()
+        edge = np.zeros(int(rows["size_bin"].max()) + 2)
+        for size, share in zip(rows["size_bin"], p / (rows["size_bin"] - 2 * least + 1)):
+            edge[least] += share
+            edge[int(size) - least + 1] -= share
+        piece = np.cumsum(edge)
+        total = np.convolve(piece, piece)
+        binned = np.add.reduceat(total, np.arange(0, len(total), bin_size))
+        at = np.flatnonzero(binned > 1e-15)
+        yield pd.DataFrame({"size_bin": at * bin_size, "p": binned[at]})
+
+    return counts.select("size_bin", "n_observed").coalesce(1).mapInPandas(run, "size_bin bigint, p double")

@@ -140,3 +140,16 @@ def complement(spans: DataFrame, chroms: DataFrame) -> DataFrame:
 def clip_window(runs: DataFrame, low: int, high: int) -> DataFrame:
     """Runs that meet [low, high), cut to it."""
     return runs.where((F.col(E) > low) & (F.col(S) < high)).withColumn(S, F.greatest(F.col(S), F.lit(low))).withColumn(E, F.least(F.col(E), F.lit(high)))
+
+
+#: Columns of a pileup track, with and without what isn't allowed to call variants.
+TRACK = {True: {c: c for c in ("n_ref", "n_a", "n_c", "n_g", "n_t", "n_del", "n_n", "n_ins")}, False: {"n_ref": "n_ref", "n_a": "n_a", "n_c": "n_c", "n_g": "n_g", "n_t": "n_t", "n_del_allowed": "n_del", "n_ins_allowed": "n_ins"}}
+
+
+def pileup_track(runs: DataFrame, low: int, high: int, include_unallowed: bool, bases_per_pixel: float, least_pixels: int = 3) -> DataFrame:
+    """Bars of a pileup in [low, high] (1-based): the columns of ``TRACK``, cut to the window, none narrower than ``least_pixels``."""
+    half = bases_per_pixel * least_pixels / 2
+    first, last = F.greatest(F.col(S) + 1, F.lit(low)), F.least(F.col(E), F.lit(high))
+    bars = runs.where((F.col(E) >= low) & (F.col(S) + 1 <= high)).select(first.alias("first"), last.alias("last"), *(F.col(c).alias(n) for c, n in TRACK[include_unallowed].items()))
+    narrow, middle = (F.col("last") - F.col("first") + 1) / bases_per_pixel < least_pixels, (F.col("first") + F.col("last")) / 2
+    return bars.withColumns({"first": F.when(narrow, F.floor(middle - half + 0.5)).otherwise(F.col("first")), "last": F.when(narrow, F.ceil(middle + half - 0.5)).otherwise(F.col("last"))})

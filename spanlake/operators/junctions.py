@@ -68,7 +68,8 @@ def add_classes(final: DataFrame) -> DataFrame:
         "jxn_stratum": flags.junction_stratum(F.col("n_dedup")),
         "offset_type": flags.offset_label(F.col("jxn_offset")),
         "coverage_type": flags.coverage_label(F.col("n_dedup"), F.col("n_instances")),
-    })
+        "genomicity": flags.genomicity_label(F.col("is_intergenomic")),
+    } | ({"chimericity": flags.chimericity_label(F.col("any_chimeric"))} if "any_chimeric" in final.columns else {}))
 
 
 def filter_chain(
@@ -109,3 +110,47 @@ def samples_of(final: DataFrame, samples: DataFrame) -> DataFrame:
 def expected_offsets(n: Column) -> Column:
     """Fixed probabilities of 0 to 7 shared bases at random breakpoints, times ``n``: P(k) = (k + 1) (3/4)**2 (1/4)**k."""
     return F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: (k + 1) * 0.5625 * F.pow(F.lit(0.25), k) * n)
+
+
+#: Keys of the breakpoint tally.
+TALLY = [
+    "genome", "is_gap", "on_target", "in_gene", "in_target_gene", "target_gene", "jxn_type", "is_local_sv", "is_intergenome", "is_validated",
+    "has_allowed_size", "has_disallowed_size", "has_passed_stem", "has_unpassed_stem", "has_passed_alns", "has_unpassed_alns", "has_passed_jxn", "has_unpassed_jxn",
+]
+
+
+def breakpoint_tally(final: DataFrame, genome: str) -> DataFrame:
+    """Breakpoints by the 18 keys of ``TALLY``, with their shares of their genome's and of all, cut to 4 digits.
+
+    Junctions seen twice, and all but translocations of up to 1000 bases, aren't tallied.  ``final``: chrom1, chrom2 (with the genome's
+    suffix in composite ones), target1, target2 (null or empty: none), genes1, genes2 (``,a,b,``; ``,``: none), jxn_type, sv_size,
+    is_intergenomic, n_observed, and the lists allowed_sizes, passed_stems, aln_flags, jxn_flags as comma-joined text.
+    """
+    trans = F.col("jxn_type") == "translocation"
+    kept = final.where(((F.col("n_observed") == 1) | (F.col("n_observed") >= 3)) & (trans | (F.col("sv_size") > 1000)))
+    chrom, target, genes = F.col("e.chrom"), F.coalesce("e.target", F.lit("")), F.col("e.genes")
+    ends = F.explode(F.array(*(F.struct(*(F.col(f"{c}{i}").alias(c) for c in ("chrom", "target", "genes"))) for i in (1, 2)))).alias("e")
+    has = lambda c, digits: F.col(c).rlike(f"[{digits}]")
+    suffix = F.get(F.split(chrom, "_"), F.lit(1))
+    keys = {
+        "genome": F.coalesce(suffix, F.lit(genome)), "is_gap": (target == "") & (genes == ","), "on_target": target != "", "in_gene": genes != ",",
+        "in_target_gene": (target != "") & F.contains(genes, F.concat(F.lit(","), target, F.lit(","))), "target_gene": F.when(target == "", "NA").otherwise(target), "jxn_type": F.col("jxn_type"),
+        "is_local_sv": ~trans & (F.col("sv_size") < 1_000_000), "is_intergenome": F.col("is_intergenomic") != 0, "is_validated": F.col("n_observed") != 1,
+        "has_allowed_size": has("allowed_sizes", "1"), "has_disallowed_size": has("allowed_sizes", "0"), "has_passed_stem": has("passed_stems", "1"), "has_unpassed_stem": has("passed_stems", "0"),
+        "has_passed_alns": has("aln_flags", "0"), "has_unpassed_alns": has("aln_flags", "1-9"), "has_passed_jxn": has("jxn_flags", "0"), "has_unpassed_jxn": has("jxn_flags", "1-9"),
+    }
+    n = kept.select("*", ends).select(*(c.alias(k) for k, c in keys.items())).groupBy(*TALLY).agg(F.count("*").alias("n_bkpts"))
+    share = lambda *by: F.floor(F.col("n_bkpts") / F.sum("n_bkpts").over(Window.partitionBy(*by)) * 10_000) / 10_000
+    return n.withColumn("frac_genome", share("genome")).withColumn("frac_all", share(F.lit(1)))
+
+
+def tally_summary(final: DataFrame) -> DataFrame:
+    """One row of counts: junctions, validated ones, single translocations, between genomes, and by targets and genes of either or both ends."""
+    on = [F.coalesce(F.col(f"target{i}"), F.lit("")) != "" for i in (1, 2)]
+    gene = [F.col(f"genes{i}") != "," for i in (1, 2)]
+    counts = {
+        "n_junctions": F.lit(True), "n_three_or_more": F.col("n_observed") >= 3, "n_single_translocations": (F.col("n_observed") == 1) & (F.col("jxn_type") == "translocation"), "n_intergenome": F.col("is_intergenomic") != 0,
+        "n_on_target_1": on[0] | on[1], "n_on_target_2": on[0] & on[1], "n_in_gene_1": gene[0] | gene[1], "n_in_gene_2": gene[0] & gene[1],
+        "n_target_gene_1": (on[0] | on[1]) & (gene[0] | gene[1]), "n_target_gene_2": on[0] & on[1] & gene[0] & gene[1],
+    }
+    return final.agg(*(F.count_if(c).alias(n) for n, c in counts.items()))

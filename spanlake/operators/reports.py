@@ -75,3 +75,29 @@ def composite(genomes: dict[str, DataFrame]) -> DataFrame:
         df = df.withColumn("chrom", F.concat_ws("_", F.col("chrom").cast("string"), F.lit(name)))
         out = df if out is None else out.unionByName(df)
     return out
+
+
+def final_counters(final: DataFrame) -> DataFrame:
+    """Counters of final junctions: report, key, n; needs the labels of ``add_classes``, jxn_type and n_dedup."""
+    one = lambda report, key, when=True: F.struct(F.lit(report).alias("report"), F.when(F.lit(when) if isinstance(when, bool) else when, F.col(key)).alias("key"))
+    reports = F.array(
+        one("offset", "offset_type"), one("type", "jxn_type"), one("chimericity", "chimericity"), one("singletons", "chimericity", F.col("n_dedup") == 1),
+        one("validated", "chimericity", F.col("n_dedup") >= 3), one("genomicity", "genomicity"), one("count", "coverage_type"),
+    )
+    return final.select(F.explode(reports).alias("r")).where("r.key is not null").groupBy("r.report", "r.key").agg(F.count("*").alias("n"))
+
+
+def target_summary(alignments: DataFrame, sizes: dict[str, int]) -> DataFrame:
+    """Alignments of single-alignment reads by target class (on, near, off), with densities over each class's size.
+
+    ``alignments``: class, start1, end1, site_first, site_last; ``sizes``: bases of each class in the genome.
+    """
+    bases = F.element_at(F.create_map(*(F.lit(x) for pair in sizes.items() for x in pair)), F.col("class"))
+    n = alignments.groupBy("class").agg(
+        F.count("*").alias("n_alns"), F.sum(F.col("end1") - F.col("start1") + 1).alias("n_seq_bases"), F.sum(F.abs(F.col("site_last") - F.col("site_first")) + 1).alias("n_proj_bases")
+    )
+    rounded = lambda x, scalar: F.floor(x * scalar + 0.5) / scalar
+    return n.select(
+        "*", rounded(F.col("n_alns") / bases, 1000).alias("aln_density"), rounded(F.col("n_seq_bases") / bases, 100).alias("seq_coverage"), rounded(F.col("n_proj_bases") / bases, 100).alias("proj_coverage"),
+        rounded(F.col("n_seq_bases") / F.col("n_alns"), 100).alias("avg_aln"), rounded(F.col("n_proj_bases") / F.col("n_alns"), 100).alias("avg_insert"), rounded(F.col("n_seq_bases") / F.col("n_proj_bases"), 1000).alias("frac_sequenced"),
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import core, files, more
+from . import core, extra, files, more
 
-QUERIES = {**core.QUERIES, **more.QUERIES, **files.QUERIES}
-ORACLES = {**core.ORACLES, **more.ORACLES, **files.ORACLES}
+QUERIES = {**core.QUERIES, **more.QUERIES, **files.QUERIES, **extra.QUERIES}
+ORACLES = {**core.ORACLES, **more.ORACLES, **files.ORACLES, **extra.ORACLES}
