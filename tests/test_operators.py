@@ -107,6 +107,55 @@ def brute_local(q, r):
     return best
 
 
+def test_duplex_differences_by_reference():
+    one = lambda a, b, ref=None: duplex.merge_many([a], [[9] * len(a)], [b], [[5] * len(b)], [ref])[0]
+    ref = "ACGTTGCAACGGTCA"
+    assert one(ref, ref, ref) == (ref, [9] * 15, "=15", 0)
+    both = ref[:7] + "G" + ref[8:]
+    assert one(both, both, ref)[2:] == ("=7*GA=7", duplex.BOTH_SUBS)
+    assert one(ref[:7] + "G" + ref[8:], ref, ref)[::2] == (ref, "=7<GA=7") and one(ref[:7] + "G" + ref[8:], ref[:7] + "C" + ref[8:], ref)[2:] == ("=7&GC=7", duplex.SUBS | duplex.SUBS_NEITHER)
+    lacks = ref[:6] + ref[7:]
+    assert one(ref, lacks, ref) == (ref, [9] * 15, "=6-C=8", duplex.INDEL) and one(lacks, ref, ref)[::2] == (ref, "=6-C=8")
+    more = ref[:6] + "T" + ref[6:]
+    assert one(more, ref, ref)[::2] == (ref, "=6+T=9") and one(ref, more, ref)[::2] == (ref, "=6+T=9")
+    assert one(ref, lacks)[:3] == (ref[:6] + "N" + ref[7:], [9] * 6 + [0] + [9] * 8, ":6!C:8")
+
+
+def test_alignment_modes():
+    assert align.align("ACGTACGTAC", "TTACGTACGTACGG", "query_end") == (10.0, 0, 10, 2, 12)
+    assert align.align("GGACGTACG", "TTACGTACGTTTT", "query_end")[:3] == (7.0, 2, 9)
+    assert align.align("ACGTACGCC", "TTACGTACGTTTT", "query_start")[:3] == (7.0, 0, 7)
+    assert align.align("ACGT", "ACGTTTTTACGT", "query_end") == (0.0, 0, 0, 0, 0)  # two ends as good
+    assert align.align("ACGTACGT", "TACGTACGTT", "ends", 3)[0] == 8.0
+
+
+def test_blocked_scans_match_plain_windows(spark):
+    from pyspark.sql import Window
+
+    from spanlake.operators import blocks
+
+    random.seed(9)
+    rows_ = [(c, random.randint(-400, 400), random.choice([None, 1, 5])) for c in (1, 2) for _ in range(60)]
+    df = spark.createDataFrame(sorted({(c, p): v for c, p, v in rows_}.items()), "k struct<c:int,p:long>, v int").select("k.c", "k.p", "v")
+    w = Window.partitionBy("c").orderBy("p")
+    before, up = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("c", "p", F.sum("v").over(up).alias("s"), F.max("v").over(before).alias("m"), F.lag("v").over(w).alias("g"), F.lead("v").over(w).alias("d"), F.min("p").over(w.rowsBetween(1, Window.unboundedFollowing)).alias("n"))
+    got = blocks.scan(df, ["c"], "p", ["p"], 64, s=("sum", F.col("v")), m=("max_before", F.col("v")), g=("lag", F.col("v")), d=("lead", F.col("v")), n=("min_after", F.col("p")))
+    names = ("c", "p", "s", "m", "g", "d", "n")
+    assert rows(got, *names) == rows(want, *names)
+    groups = blocks.number_groups(df, ["c"], "p", "g", lambda x, y: x - y > 20, 64)
+    flag = df.withColumn("f", F.when(F.col("p") - F.lag("p").over(w) <= 20, 0).otherwise(1)).withColumn("g", F.sum("f").over(up))
+    assert rows(groups, "c", "p", "g") == rows(flag, "c", "p", "g")
+
+
+def test_long_regions_take_few_bins(spark):
+    spans = spark.createDataFrame([(1, 0, 3_000_000, "a"), (1, 100, 700, "b"), (1, 5_000, 5_000, "c"), (1, 2_999_000, 900_000_000, "d")], "chrom_index1 long, start0 long, end1 long, name string")
+    assert intervals.levelled(spans, 512).groupBy("name").count().agg(F.max("count")).first()[0] <= intervals.STEP + 1
+    points = spark.createDataFrame([(1, p) for p in (1, 101, 700, 701, 2_999_500, 3_000_001, 900_000_000, 900_000_001)], "chrom_index1 long, pos1 long")
+    got = sorted((r["pos1"], r["name"]) for r in intervals.point_in_interval(points, spans).collect())
+    assert got == [(1, "a"), (101, "a"), (101, "b"), (700, "a"), (700, "b"), (701, "a"), (2_999_500, "a"), (2_999_500, "d"), (3_000_001, "d"), (900_000_000, "d")]
+
+
 def test_alignment_scores():
     random.seed(2)
     for _ in range(30):
@@ -125,9 +174,9 @@ def test_adapter_trimming(spark):
 
 
 def test_duplex_merge():
-    assert duplex.merge_strands("ACGT", [1] * 4, "ACGT", [2] * 4) == ("ACGT", [2] * 4, "=4")
+    assert duplex.merge_strands("ACGT", [1] * 4, "ACGT", [2] * 4) == ("ACGT", [2] * 4, ":4")
     assert duplex.merge_strands("ACGTACGT", [9] * 8, "ACGAACGT", [5] * 8, "ACGAACGT")[::2] == ("ACGAACGT", "=3<TA=4")
-    assert duplex.merge_strands("ACGTACGT", [9] * 8, "ACGAACGT", [5] * 8)[2] == "=3?TA=4"
+    assert duplex.merge_strands("ACGTACGT", [9] * 8, "ACGAACGT", [5] * 8)[::2] == ("ACGNACGT", ":3?TA:4")
 
 
 def test_site_clusters(spark):
