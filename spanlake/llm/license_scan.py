@@ -26,6 +26,21 @@ TEMPLATES = [
     ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at", ["except in compliance with the license"]),
     ("gpl", "this work is licensed under the gnu general public license version 3", ["general public license"]),
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", ["general public license"]),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", ["above copyright notice and this permission notice"]),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied", ["unless required by applicable law or agreed to in writing"]),
+    ("apache", "see the license for the specific language governing permissions and limitations under the license", ["specific language governing permissions and limitations"]),
+    ("gpl", "either version 2 of the license or at your option any later version", ["at your option any later version"]),
+    ("gpl", "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose", ["in the hope that it will be useful"]),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", ["redistributions of source code must retain"]),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution", ["redistributions in binary form must reproduce"]),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", ["endorse or promote products derived from this software"]),
+    ("boost", "boost software license version 1 0", ["boost software license"]),
+    ("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", ["accompanying documentation covered by this license"]),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software", ["in no event will the authors be held liable"]),
+    ("zlib", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software", ["must be plainly marked as such"]),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license", ["eclipse public license"]),
+    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work", ["waived all copyright and related"]),
+    ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means", ["anyone is free to copy modify publish"]),
     ("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation", ["lesser general public license"]),
     ("agpl", "under the terms of the gnu affero general public license as published by the free software foundation", ["affero general public license"]),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ["redistribution and use in source and binary forms"]),

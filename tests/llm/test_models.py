@@ -136,3 +136,17 @@ def test_toxicity_training_scores_all_windows(monkeypatch):
     monkeypatch.setattr(toxicity, "forward", spy)
     toxicity.train(rows, steps=2)
     assert sum(scored) == 12 * len(toxicity.windows(700))
+
+
+@pytest.mark.parametrize("run", [quality_crf.classify, toxicity.classify])
+def test_scores_dont_depend_on_other_rows(spark, tables, run):
+    """Repeated rows, rows of one doc_id, and a document by itself are scored alike."""
+    d, y = tables
+    few = d.where("doc_id in (3, 4, 5, 9003)").select("doc_id", "text")
+    more = few.union(few).union(few.where("doc_id = 3").selectExpr("4L as doc_id", "text")).union(d.where("doc_id > 200 and doc_id < 230").select("doc_id", "text"))
+    labelled = d.select("doc_id", "text").join(y.select("doc_id").distinct(), "doc_id", "left_semi")
+    whole = {(x["doc_id"], x["score"]) for x in run(labelled.union(more).coalesce(1), y).where("doc_id in (3, 5, 9003)").collect()}
+    by = {}
+    for i, score in whole:
+        by.setdefault(i, []).append(score)
+    assert set(by) == {3, 5, 9003} and all(max(v) - min(v) < 1e-6 for v in by.values())

@@ -135,6 +135,26 @@ def test_licences(spark):
     assert license_scan.scan(df.where("false")).count() == 0
 
 
+def test_licence_base_matches_brute_force(spark):
+    """Words, base places and labels against a plain search, over random mixtures, repeated rows and ties."""
+    r = random.Random(12)
+    parts = ["mit", "MIT", "license", "License,", "apache", "general", "public", "GNU", "x", "é", "-", "\n", "_", "licenses", "9"]
+    docs = [(i % 190, " ".join(r.choice(parts) for _ in range(r.randint(0, 40)))) for i in range(200)]
+    docs += [(500 + i, f"a {t} b") for i, (_, t, _) in enumerate(license_scan.TEMPLATES)]
+    got = {}
+    for x in license_scan.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        got.setdefault(x["doc_id"], []).append(x)
+    for d, text in docs:
+        words = re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate({c: c + 32 for c in range(65, 91)}).encode())
+        hits = [(i, label) for phrase, label in license_scan.BASE for p in [phrase.encode().split()] for i in range(len(words)) if words[i : i + len(p)] == p]
+        want = (len(words), len(hits), min((i for i, _ in hits), default=None), max((i for i, _ in hits), default=None), ",".join(sorted({x for _, x in hits})))
+        same = [x for x in got[d] if (x["n_words"], x["n_base"], x["first_word"], x["last_word"], x["base_labels"]) == want]
+        assert same and all(set(filter(None, x["base_labels"].split(","))) <= set(x["labels"].split(",")) and 0 <= x["score"] <= 1 for x in got[d])
+    assert sum(map(len, got.values())) == len(docs)
+    for i, (label, _, _) in enumerate(license_scan.TEMPLATES):
+        assert label in got[500 + i][0]["labels"].split(",") and got[500 + i][0]["score"] > 0.99
+
+
 def check_packing(rows, ids, window=2048):
     at, fill, n_pieces = {}, {}, {}
     for r in sorted(rows, key=lambda r: (r["doc_id"] is None, r["doc_id"], r["start"])):
