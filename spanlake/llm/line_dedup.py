@@ -11,7 +11,7 @@ similar sets can differ in words (bitmap filter).  Candidates are verified on th
 
 Texts are read again instead of carrying sets of words from step to step: only postings (one for each prefix
 token, packed by hash of the token) and the words of candidates are shuffled.  Every list of postings is searched within one task in numpy, where
-each line hands out its ``NEAREST`` best earlier lines.  Lists that this doesn't settle (a line without a match has more
+each line hands out its earlier lines, or the ``NEAREST`` if there are over ``FEW``.  Lists that this doesn't settle (a line without a match has more
 candidates there, or the list is long) go in rounds of hubs: the earliest line of each of ever more hashed parts of a list is
 paired with the lines after it that aren't matched yet, until each member has been a hub or no unmatched line is left after it.
 So no line's earlier match is missed, and no group's pairs are all made.
@@ -34,8 +34,8 @@ TOKEN = re.compile(r"\w+")
 #: shared; a full table makes lists longer but changes no result.
 SLOTS = 23
 SEGMENT = 15
-#: Candidates that a line hands out from one list at first.
-NEAREST = 8
+#: Candidates that a line hands out from one list: all of them if there are no more than FEW, else the NEAREST at first.
+NEAREST, FEW = 8, 32
 #: Longest list that is searched in numpy; longer ones go in rounds.
 LONG = 2048
 #: Order (8 log2 of the count) from which on a token's postings are dealt by line instead of being gathered: 2**16 lines.
@@ -243,8 +243,8 @@ def fits(x: str, y: str, percent: int) -> str:
 class ListSearch:
     """Candidates among the postings of whole lists, given in columns."""
 
-    def __init__(self, percent: int, nearest: int = NEAREST, long: int = LONG, spread: int = SPREAD):
-        self.percent, self.nearest, self.long, self.spread = percent, nearest, long, spread
+    def __init__(self, percent: int, nearest: int = NEAREST, long: int = LONG, spread: int = SPREAD, few: int = FEW):
+        self.percent, self.nearest, self.long, self.spread, self.few = percent, nearest, long, spread, few
 
     def distinct(self, p: dict) -> dict:
         """One posting for each key and class, with its earliest line, in order of key and size."""
@@ -274,24 +274,26 @@ class ListSearch:
         p = self.distinct(p)
         key, size = p["key"], len(p["key"])
         p |= {"n": p["size"] >> 31, "left": (p["size"] >> 31) - (p["size"] & ((1 << 31) - 1))}
-        first = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
-        length = np.diff(np.append(first, size))
-        end = np.repeat(first + length, length)
-        long = (length > self.long) | (key[first] >> 39 >= self.spread)
+        start = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
+        length = np.diff(np.append(start, size))
+        end = np.repeat(start + length, length)
+        long = (length > self.long) | (key[start] >> 39 >= self.spread)
         over = np.repeat(long, length)
         long = over.copy()
         pairs = []
-        for lo, hi in self.blocks(first, length, np.cumsum(length * (length - 1) // 2)):
+        for lo, hi in self.blocks(start, length, np.cumsum(length * (length - 1) // 2)):
             x, y, far = self.pairs(p, np.arange(lo, hi)[~long[lo:hi]], end)
             if len(x):
                 order = np.lexsort((p["line"][x], p["doc"][x], far, y))
                 x, y, far = x[order], y[order], far[order]
                 at = np.flatnonzero(np.diff(y, prepend=-1))
-                place = np.arange(len(y)) - np.repeat(at, np.diff(np.append(at, len(y))))
-                over[y[place >= self.nearest]] = True
-                x, y, far = (v[place < self.nearest] for v in (x, y, far))
+                count = np.diff(np.append(at, len(y)))
+                over[y[at[count > self.few]]] = True
+                place = np.arange(len(y)) - np.repeat(at, count)
+                first = place < np.repeat(np.where(count > self.few, self.nearest, count), count)
+                x, y, far = x[first], y[first], far[first]
                 pairs.append(np.stack([p["c"][x], p["c"][y], far, p["doc"][x], p["line"][x], p["doc"][y], p["line"][y]]))
-        opened = np.repeat(np.maximum.reduceat(over, first), length)
+        opened = np.repeat(np.maximum.reduceat(over, start), length)
         rest = {k: p[k][opened] for k in NAMES} | {"over": over[opened]}
         return np.concatenate([np.zeros((7, 0), np.int64), *pairs], axis=1), rest
 
@@ -343,7 +345,7 @@ class ListSearch:
         return [np.concatenate(v) for v in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
 
 
-def search_lists(lists: DataFrame, percent: int, nearest: int = NEAREST, long: int = LONG, spread: int = SPREAD) -> DataFrame:
+def search_lists(lists: DataFrame, percent: int, nearest: int = NEAREST, long: int = LONG, spread: int = SPREAD, few: int = FEW) -> DataFrame:
     """Candidates (a, b, far and places), and the postings of lists that need rounds (``POSTING``, over), as one table."""
     ends = ["a", "b", "far", "adoc", "aline", "bdoc", "bline"]
     columns = [*ends, *NAMES, "over"]
@@ -359,7 +361,7 @@ def search_lists(lists: DataFrame, percent: int, nearest: int = NEAREST, long: i
             yield pd.DataFrame(rest).reindex(columns=columns).astype({k: "Int64" for k in ends})
 
     def run(batches):
-        search, held, last = ListSearch(percent, nearest, long, spread), [], None
+        search, held, last = ListSearch(percent, nearest, long, spread, few), [], None
         for pdf in batches:
             for bucket, part in pdf.groupby("bucket"):  # in order; a bucket may go on in the next batch
                 if held and bucket != last:
@@ -429,10 +431,10 @@ def verified(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
     return scratch(both.select("a", "b", F.col("y.c2").alias("b2"), (overlap * (100 + percent) >= percent * (F.size(x) + F.size(y))).alias("ok")), "judged")
 
 
-def later_matches(documents: DataFrame, order: np.ndarray, total: int, percent: int, hubs: int = 8, growth: int = 64, nearest: int = NEAREST, long: int = LONG, spread: int = SPREAD) -> DataFrame:
-    """Classes (c, c2) to which an earlier class is similar; the last five decide only which way a match is found."""
+def later_matches(documents: DataFrame, order: np.ndarray, total: int, percent: int, hubs: int = 8, growth: int = 64, nearest: int = NEAREST, long: int = LONG, spread: int = SPREAD, few: int = FEW) -> DataFrame:
+    """Classes (c, c2) to which an earlier class is similar; the last six decide only which way a match is found."""
     buckets = max(4 * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET))
-    lists = scratch(search_lists(postings(documents, order, percent, min(buckets, 1 << 30), spread), percent, nearest, long, spread), "lists")
+    lists = scratch(search_lists(postings(documents, order, percent, min(buckets, 1 << 30), spread), percent, nearest, long, spread, few), "lists")
     pairs = scratch(lists.where("a is not null").groupBy("a", "b").agg(*(F.min(n).alias(n) for n in ("far", "adoc", "aline", "bdoc", "bline"))), "pairs")
     places = pairs.select(F.explode(F.array(F.struct(F.col("adoc").alias("doc"), F.col("aline").alias("line")), F.struct(F.col("bdoc").alias("doc"), F.col("bline").alias("line")))).alias("p"))
     held = scratch(sets_of(documents, places.select("p.*")), "held")

@@ -132,7 +132,7 @@ def test_line_dedup_ways_of_search(spark):
             base[i] = f"x{r.randint(0, 30)}"
         items.append((doc - 25 << 57, " ".join(base) + "\n" + " ".join(base[::-1] + ["more"])))
     want = brute_lines(items)
-    for ways in ({}, {"nearest": 1}, {"long": 3}, {"long": 3, "spread": 1, "growth": 2, "hubs": 1}):
+    for ways in ({}, {"nearest": 1, "few": 1}, {"long": 3}, {"long": 3, "spread": 1, "growth": 2, "hubs": 1}):
         assert {x["doc_id"]: x["text"] for x in line_dedup.dedup_lines(texts(spark, items), **ways).collect()} == want, ways
 
 
