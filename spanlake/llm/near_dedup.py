@@ -4,8 +4,8 @@ A document's sketch has ``T`` coordinates.  In round i < T every shingle is thro
 bin takes the least value of the first round that reaches it.  Round T + i throws all shingles into bin i, so
 that every coordinate is filled after 2 T rounds at the latest; rounds stop once no bin is empty.  Two sketches
 agree in a coordinate with the probability of the Jaccard similarity of the sets, with concentration as for
-independent coordinates.  ``BANDS`` bands of ``ROWS`` coordinates make the buckets: a pair at similarity 0.85
-shares none with probability (1 - 0.85**8)**48 = 2e-7, a pair at 0.5 shares one with probability 0.17.
+independent coordinates.  Bands of coordinates make the buckets, as many rows each as keep a pair at the threshold from sharing
+none with a probability of over ``MISSED``: at 0.85, 48 bands of 8, (1 - 0.85**8)**48 = 2e-7; at 0.8, 54 bands of 7, 3e-6.
 
 Texts with the same words are one class and go on as one document.  In a bucket, hubs are tried against the
 members of other components instead of all pairs: first one hub, then ever more, until each member of a bucket
@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 
 from .common import connected_components, drop_scratch, scratch, small_batches
 
-ROWS, BANDS = 8, 48
-T = ROWS * BANDS
+T = 384
+#: Largest probability that a pair at the threshold shares no bucket.
+MISSED = 1e-5
 #: Word hashes that a task keeps; the store is emptied when it is full.
 STORE = 100_000
 #: Shingles in the sets that a verifying task keeps at hand.
@@ -41,6 +42,14 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """(rows, bands): the most rows of a band, up to 8, with which a pair at ``percent`` % is missed with a probability of ``MISSED`` at most."""
+    for rows in range(8, 1, -1):
+        if (1 - (percent / 100) ** rows) ** (T // rows) <= MISSED:
+            return rows, T // rows
+    return 1, T
+
+
 SEEDS = _mix(np.arange(1, 2 * T + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
 
 
@@ -57,8 +66,9 @@ def shingle_set(words: list[bytes], k: int) -> frozenset:
 class Sketcher:
     """Hashed shingle sets and their sketches."""
 
-    def __init__(self, k: int):
+    def __init__(self, k: int, percent: int = 85):
         self.k = k
+        self.rows, self.count = banding(percent)
         self.store: dict[bytes, int] = {}
 
     def shingles(self, words: list[bytes]) -> np.ndarray:
@@ -99,18 +109,18 @@ class Sketcher:
 
     def bands(self, x: np.ndarray) -> list[int]:
         """One 64-bit bucket key for each band."""
-        s = self.sketch(x).reshape(BANDS, ROWS)
-        key = np.arange(BANDS, dtype=np.uint64)
-        for r in range(ROWS):
+        s = self.sketch(x)[: self.rows * self.count].reshape(self.count, self.rows)
+        key = np.arange(self.count, dtype=np.uint64)
+        for r in range(self.rows):
             key = _mix(key * _U(0x9E3779B97F4A7C15) + s[:, r])
         return key.view(np.int64).tolist()
 
 
-def sketches(documents: DataFrame, k: int) -> DataFrame:
+def sketches(documents: DataFrame, k: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, cls (digest of the word sequence; null without words), keys (bucket keys)."""
 
     def run(batches):
-        sketcher = Sketcher(k)
+        sketcher = Sketcher(k, percent)
         for pdf in batches:
             for a in range(0, len(pdf), 1000):
                 part, out = pdf.iloc[a : a + 1000], []
@@ -297,7 +307,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, crowd:
     no component and is kept.  An empty table gives an empty result; other columns are ignored.
     """
     small_batches(documents.sparkSession)
-    sk = scratch(sketches(documents, k), "sketches")
+    sk = scratch(sketches(documents, k, percent), "sketches")
     classes = sk.where("cls is not null and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("node"))
     classes = scratch(classes, "classes")
     reps = sk.where("cls is not null").join(classes, "cls").where("doc_id = node").select("node", "keys")
