@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codec, flags
-from ..operators import asof, digest, fuzzy, inserts, intervals, junctions, reads, reports, sites
+from ..operators import asof, digest, fuzzy, inserts, intervals, junctions, lookups, reads, reports, sites
 from ..sources import records
 from . import fixtures as fx
 
@@ -274,7 +274,7 @@ def p6_p7_insertion_quality(spark, sf):
 
 @query("select qname, aln_i, case when mapq >= 50 then seq else null end s from (select *, 'ACGT' seq from fx_aln)")
 def p9_dropped_columns(spark, sf):
-    return fx.alignments(spark, sf).select("qname", "aln_i", F.when(col("mapq") >= 50, F.lit("ACGT")).alias("s"))
+    return fx.alignments(spark, sf).select("qname", "aln_i", lookups.kept_where(F.lit("ACGT"), col("mapq") >= 50).alias("s"))
 
 
 @query("select case when mapq < 42 then 1 when div_pct = 8 then 2 when jxn_offset = 5 then 4 when pos1 % 10 > 7 then 8 when ref_span > 900 then 16 else 0 end::bigint flag, count(*) n from fx_aln where aln_i = 0 group by 1")
@@ -386,7 +386,7 @@ def p27_variant_class(spark, sf):
 
 @query("select sc, i1, i2, i3 from fin where (n_instances = 1 or n_instances >= 3) and (type_bits = 8 or sv_size > 1000)", f"{G}, {INST}, {FINAL}")
 def p28_tally_inclusion(spark, sf):
-    return final(spark, sf).where("(n_instances = 1 or n_instances >= 3) and (type_bits = 8 or sv_size > 1000)").select("sc", "i1", "i2", "i3")
+    return lookups.tallied(final(spark, sf)).select("sc", "i1", "i2", "i3")
 
 
 ENDS = "case when {0} % 3 = 0 then 'T' when {0} % 3 = 1 then 'A' else '-' end"
@@ -479,7 +479,7 @@ def j4_merge_site_tables(spark, sf):
 def j5_left_merge(spark, sf):
     a = fx.alignments(spark, sf).withColumn("size_bin", codec.bin_floor(col("ref_span"), 100))
     left = a.where("strand0 = 0").groupBy("size_bin").agg(F.count("*").alias("n"))
-    return left.join(a.where("strand0 = 1 and mapq > 50").groupBy("size_bin").agg(F.count("*").alias("m")), "size_bin", "left").na.fill(0)
+    return lookups.left_merge(left, a.where("strand0 = 1 and mapq > 50").groupBy("size_bin").agg(F.count("*").alias("m")), ["size_bin"])
 
 
 @query("""select qname // 2 zmw, case when count(distinct qname % 2) = 2 then 'pair' else 'orphan' end outcome from (select distinct qname from fx_aln) group by 1""")
@@ -500,7 +500,7 @@ def j7_mate_nodes(spark, sf):
 def j8_segment_union(spark, sf):
     a = fx.alignments(spark, sf)
     c = lambda w: a.where(w).groupBy("chrom_index1", "pos1").agg(F.count("*").alias("n"))
-    return c("aln_i = 0").unionByName(c("aln_i > 0")).groupBy("chrom_index1", "pos1").agg(F.sum("n").alias("n_observed"))
+    return lookups.summed_union([c("aln_i = 0"), c("aln_i > 0")], ["chrom_index1", "pos1"], "n", "n_observed")
 
 
 @query("select s.chrom_index1, s.site_pos1, coalesce(max(coverage), 0) coverage from isl s left join cov r on r.chrom_index1 = s.chrom_index1 and s.site_pos1 - 1 >= r.start0 and s.site_pos1 - 1 < r.end1 group by all", f"{OBS}, {COV}")
@@ -522,26 +522,25 @@ def j12_samples_of_mask(spark, sf):
 
 @query("select qname, aln_i, chrom_size from fx_aln join fx_chrom using (chrom_index1)")
 def j13_chrom_lookup(spark, sf):
-    return fx.alignments(spark, sf).join(F.broadcast(fx.chroms(spark)), "chrom_index1").select("qname", "aln_i", "chrom_size")
+    return lookups.with_chrom_sizes(fx.alignments(spark, sf), fx.chroms(spark)).select("qname", "aln_i", "chrom_size")
 
 
 @query("select qname, aln_i from fx_aln where qname in (select qname from fx_aln where mapq = 40)")
 def j14_key_set_semi(spark, sf):
     a = fx.alignments(spark, sf)
-    return a.join(a.where("mapq = 40").select("qname"), "qname", "left_semi").select("qname", "aln_i")
+    return lookups.rows_of_keys(a, a.where("mapq = 40"), "qname").select("qname", "aln_i")
 
 
 @query("select distinct sc::bigint sc, i1::bigint i1, i2::bigint i2, i3::bigint i3, qname, n from g6 join (select qname, count(*) n from fx_aln group by qname) using (qname)", G)
 def j15_junction_read_paths(spark, sf):
-    lists = grouped(spark, sf).groupBy("sc", "i1", "i2", "i3").agg(F.collect_set("qname").alias("qnames"))
     paths = reads.read_paths(fx.alignments(spark, sf)).select("qname", big(F.size("pos1s")).alias("n"))
-    return lists.select("sc", "i1", "i2", "i3", F.explode("qnames").alias("qname")).join(paths, "qname").select("sc", "i1", "i2", "i3", "qname", "n")
+    return lookups.reads_of_groups(grouped(spark, sf), paths, ["sc", "i1", "i2", "i3"]).select("sc", "i1", "i2", "i3", "qname", "n")
 
 
 @query("select distinct node1, node2 from k where abs(node1) between 536870912 * 2 + 1000 and 536870912 * 2 + 3000 or abs(node2) between 536870912 * 2 + 1000 and 536870912 * 2 + 3000", J)
 def j16_either_end(spark, sf):
     lo, hi = (2 << 29) + 1000, (2 << 29) + 3000
-    return junctions_of(spark, sf).where(F.abs("node1").between(lo, hi) | F.abs("node2").between(lo, hi)).select("node1", "node2").distinct()
+    return lookups.touching(junctions_of(spark, sf), lo, hi).select("node1", "node2").distinct()
 
 
 @query("select coalesce(a.k, b.k) k, a.n, b.m from (select mapq k, count(*) n from fx_aln where mapq < 52 group by 1) a full join (select mapq k, count(*) m from fx_aln where mapq > 48 and strand0 = 1 group by 1) b on a.k = b.k")

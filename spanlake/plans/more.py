@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import codec
-from ..operators import align, digest, duplex, fuzzy, inserts, intervals, junctions, reads, reports, sites, snv
+from ..operators import align, digest, duplex, fuzzy, inserts, intervals, junctions, lookups, reads, reports, sites, snv
 from ..sources import inputs, records
 from . import core
 from . import fixtures as fx
@@ -59,9 +59,7 @@ def a3_segment_counts(spark, sf):
 
 @query("select node1, node2, jxn_offset, count(*) n, string_agg(qname, ',' order by qname, aln_i) qnames from k group by all", J)
 def a4_exact_grouping(spark, sf):
-    items = F.array_sort(F.collect_list(F.struct("qname", "aln_i")))
-    j = junctions_of(spark, sf).groupBy("node1", "node2", "jxn_offset").agg(F.count("*").alias("n"), items.alias("i"))
-    return j.select("node1", "node2", "jxn_offset", "n", F.array_join(F.transform("i", lambda x: x["qname"].cast("string")), ",").alias("qnames"))
+    return lookups.group_exact(junctions_of(spark, sf))
 
 
 @query("""select sc::bigint sc, i1::bigint i1, i2::bigint i2, i3::bigint i3, count(*) n_instances, count(distinct qname) n_reads, max(min_mapq) max_min_mapq, bit_or(sample_bits) sample_bits,
@@ -95,8 +93,7 @@ def a6_best_sequence(spark, sf):
 
 @query("select sc::bigint sc, i1::bigint i1, arg_max(node1, {'n': n, 'k': -node1}) node1, max(n) n from (select sc, i1, node1, count(*) n from g6 group by all) group by all", G)
 def a7_representative(spark, sf):
-    n = grouped(spark, sf).groupBy("sc", "i1", "node1").agg(F.count("*").alias("n"))
-    return n.groupBy("sc", "i1").agg(F.max_by("node1", F.struct("n", -col("node1"))).alias("node1"), F.max("n").alias("n"))
+    return lookups.representative(grouped(spark, sf), ["sc", "i1"])
 
 
 @query()
@@ -368,12 +365,12 @@ def t3_down_sample(spark, sf):
 @query("select row_number() over (order by nxx desc, mapq) rank, mapq, nxx from (select mapq, max(ref_span) nxx from (select *, sum(m) over (partition by mapq order by ref_span desc rows unbounded preceding) c, sum(m) over (partition by mapq) a from (select mapq, ref_span, count(*) * ref_span m from fx_aln group by mapq, ref_span)) where c >= a * 0.5 group by 1)")
 def t4_order_by_n50(spark, sf):
     n = digest.nxx(fx.alignments(spark, sf), ["mapq"], 0.5, "ref_span")
-    return n.withColumn("rank", big(F.row_number().over(Window.orderBy(F.desc("nxx"), "mapq"))))
+    return lookups.ranked(n, "nxx", "mapq")
 
 
 @query("select qname, arg_max(pos1, mapq * 100 - aln_i) best, arg_min(pos1, mapq * 100 + aln_i) worst from fx_aln group by 1")
 def t6_arg_max(spark, sf):
-    return fx.alignments(spark, sf).groupBy("qname").agg(F.max_by("pos1", F.struct("mapq", -col("aln_i"))).alias("best"), F.min_by("pos1", F.struct("mapq", "aln_i")).alias("worst"))
+    return lookups.best_and_worst(fx.alignments(spark, sf), "qname", "pos1", "mapq", "aln_i")
 
 
 @query("select chrom_index1, pos1 p from fx_aln union select chrom_index1, site_pos1 from fx_site")
