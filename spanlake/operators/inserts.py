@@ -51,12 +51,21 @@ def frequencies(counts: DataFrame, keys: list[str], least: int = 50) -> DataFram
 def artifact_model(counts: DataFrame, bin_size: int) -> DataFrame:
     """Distribution of the summed sizes of two independent fragments, from a size histogram: size_bin, p.
 
-    The histogram has one row for each size bin, so its self join is small whatever the reads.
+    One convolution, exact; sums below 0 go.  The histogram has a row for each size bin, whatever the reads, and goes to one task.
     """
-    total = F.sum("n_observed").over(Window.partitionBy(F.lit(1)))
-    p = counts.withColumn("p", F.col("n_observed") / total).select("size_bin", "p")
-    a, b = p.toDF("a", "pa"), p.toDF("b", "pb")
-    return a.join(F.broadcast(b), F.col("a") + F.col("b") >= 0).groupBy((F.floor((F.col("a") + F.col("b")) / bin_size) * bin_size).alias("size_bin")).agg(F.sum(F.col("pa") * F.col("pb")).alias("p"))
+    def run(batches):
+        rows = pd.concat(list(batches))
+        if not len(rows):
+            return
+        low = int(rows["size_bin"].min())
+        p = np.bincount(rows["size_bin"] - low, rows["n_observed"] / rows["n_observed"].sum())
+        total = np.convolve(p, p)
+        at = np.flatnonzero(total > 0)
+        size = at + 2 * low
+        out = pd.DataFrame({"size_bin": size // bin_size * bin_size, "p": total[at]})[size >= 0]
+        yield out.groupby("size_bin", as_index=False)["p"].sum()
+
+    return counts.select("size_bin", "n_observed").coalesce(1).mapInPandas(run, "size_bin bigint, p double")
 
 
 def outer_nodes(reads: DataFrame) -> DataFrame:

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 def rank_rows(df: DataFrame, order: list[str], parts: int = 64) -> DataFrame:
     """Add ``r``, the 1-based rank in a total order.
 
-    Rows are dealt into ranges of the first column by exact quantile cuts; a range's rank offset is the number of rows
-    in the ranges before it, of which there are at most ``parts``.
+    Rows are dealt into ranges of the first column between approximate quantiles; ranks are exact, as a range's offset is the
+    counted number of rows in the ranges before it, of which there are at most ``parts``.  Rows of one first value are in one range.
     """
     key = order[0]
     cuts = df.agg(F.percentile_approx(key, [i / parts for i in range(1, parts)], 10_000)).first()[0] or []
