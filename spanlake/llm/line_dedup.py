@@ -38,8 +38,8 @@ SEGMENT = 15
 NEAREST, FEW = 8, 32
 #: Longest list that is searched in numpy; longer ones go in rounds.
 LONG = 2048
-#: Order (8 log2 of the count) from which on a token's postings are dealt by line instead of being gathered: 2**16 lines.
-SPREAD = 8 * 16
+#: Order (8 log2 of the count) from which on a token's postings are dealt by line instead of being gathered: 2**19 lines.
+SPREAD = 8 * 19
 #: Most hubs of a list in one array.
 HUBS = 1024
 #: Bits of the table that says which lines are wanted.
