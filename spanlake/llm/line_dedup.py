@@ -128,10 +128,8 @@ def lines_and_counts(documents: DataFrame, percent: int) -> DataFrame:
         def rows():
             nonlocal total
             for own, line, found in _read(batches):
-                keep = _first_of_class(found)
-                total += int(prefix_length(found.n[keep], percent).sum())
-                words, _, _ = _select(found, keep)
-                slots = np.sort((words & _U((1 << SLOTS) - 1)).astype(np.uint32))
+                total += int(prefix_length(found.n, percent).sum())
+                slots = np.sort((found.words & _U((1 << SLOTS) - 1)).astype(np.uint32))
                 first = np.flatnonzero(np.append(True, slots[1:] != slots[:-1])) if len(slots) else slots
                 table[slots[first]] += np.diff(np.append(first, len(slots))).astype(np.int32)
                 yield {"doc_id": own[:, 0], "version": own[:, 1], "line": line, "c": found.c, "c2": found.c2}
@@ -178,10 +176,19 @@ def token_order(read: DataFrame) -> tuple[np.ndarray, int]:
 
 def parities(words: np.ndarray, start: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
     """Parities of each set's words by bits of their hashes: 64 bits, and for larger sets what splits them into 128 or 256."""
-    bit, quarter = _U(1) << ((words >> _U(17)) & _U(63)), (words >> _U(15)) & _U(3)
-    fold = lambda of: np.bitwise_xor.reduceat(np.where(of, bit, _U(0)), start)
-    two = np.where(n > TWO, fold(quarter & _U(1) == 1), _U(0))
-    out = {"map": np.bitwise_xor.reduceat(bit, start), "map2": two, "map3": np.where(n > FOUR, fold(quarter == 2), _U(0)), "map4": np.where(n > FOUR, fold(quarter == 3), _U(0))}
+    bit = _U(1) << ((words >> _U(17)) & _U(63))
+    out = {k: np.zeros(len(n), _U) for k in ("map", "map2", "map3", "map4")}
+    out["map"] = np.bitwise_xor.reduceat(bit, start)
+    large = np.flatnonzero(n > TWO)
+    if len(large):
+        size = n[large]
+        first = np.cumsum(size) - size
+        at = np.repeat(start[large] - first, size) + np.arange(size.sum())
+        bit, quarter = bit[at], (words[at] >> _U(15)) & _U(3)
+        fold = lambda of: np.bitwise_xor.reduceat(np.where(of, bit, _U(0)), first)
+        out["map2"][large] = fold(quarter & _U(1) == 1)
+        for name, k in (("map3", 2), ("map4", 3)):
+            out[name][large] = np.where(size > FOUR, fold(quarter == k), _U(0))
     return {k: v.view(np.int64) for k, v in out.items()}
 
 
@@ -437,7 +444,8 @@ def later_matches(documents: DataFrame, order: np.ndarray, total: int, percent:
     lists = scratch(search_lists(postings(documents, order, percent, min(buckets, 1 << 30), spread), percent, nearest, long, spread, few), "lists")
     pairs = scratch(lists.where("a is not null").groupBy("a", "b").agg(*(F.min(n).alias(n) for n in ("far", "adoc", "aline", "bdoc", "bline"))), "pairs")
     places = pairs.select(F.explode(F.array(F.struct(F.col("adoc").alias("doc"), F.col("aline").alias("line")), F.struct(F.col("bdoc").alias("doc"), F.col("bline").alias("line")))).alias("p"))
-    held = scratch(sets_of(documents, places.select("p.*")), "held")
+    opened = lists.where("key is not null").select("doc", "line")
+    held = scratch(sets_of(documents, places.select("p.*").union(opened)), "held")
     # each line's likeliest candidate first; the others only where that fails
     judged = verified(pairs.groupBy("b").agg(F.min_by("a", F.struct("far", "a")).alias("a")), held, percent)
     found = judged.where("ok").select(F.col("b").alias("c"), F.col("b2").alias("c2")).distinct()
@@ -446,7 +454,6 @@ def later_matches(documents: DataFrame, order: np.ndarray, total: int, percent:
     tested = judged.union(more).where("not ok").select("a", "b")
     matched = scratch(found.union(more.where("ok").select("b", "b2")).distinct(), "matched")
     drop_scratch(pairs)
-    drop_scratch(held)
     columns = ["key", "c", "n", "pos", "map", "map2", "doc", "line"]
     # a frequent word's list comes in parts, and a class in several of them no more than once
     rest = lists.where("key is not null").groupBy("key", "c", "size", "map", "map2").agg(F.min(F.struct("doc", "line")).alias("at"), F.max("over").alias("over"))
@@ -463,8 +470,7 @@ def later_matches(documents: DataFrame, order: np.ndarray, total: int, percent:
     rest = scratch(pruned(rest.withColumn("done", F.lit(False)), matched), "rest")
     drop_scratch(lists)
     many = hubs
-    held = None if rest.isEmpty() else scratch(sets_of(documents, rest.select("doc", "line")), "held")
-    while held is not None and not rest.isEmpty():
+    while not rest.isEmpty():
         # a list's hubs travel as arrays of HUBS at most
         posting = F.struct(*columns[1:])
         part = F.pmod(F.xxhash64("c"), F.lit(many))
@@ -482,6 +488,8 @@ def later_matches(documents: DataFrame, order: np.ndarray, total: int, percent:
         left = scratch(pruned(dealt.withColumn("done", done), matched), "rest")
         drop_scratch(rest)
         rest, many = left, many * growth
+    drop_scratch(rest)
+    drop_scratch(held)
     return matched
 
 
@@ -495,8 +503,12 @@ def find_duplicates(documents: DataFrame, percent: int = 80, **ways) -> DataFram
     gone = scratch(gone.select("c", "c2", "first", "times", F.coalesce("gone", F.lit(False)).alias("gone")), "gone")
     # a class with over a thousandth of the lines: there are 1000 at most
     hot = F.col("times") * 1000 > rows.count()
-    hottest = F.broadcast(gone.where(hot))
-    lost = rows.join(hottest, ["c", "c2"]).unionByName(rows.join(hottest, ["c", "c2"], "left_anti").join(gone.where(~hot), ["c", "c2"]))
+    hottest = gone.where(hot)
+    if hottest.isEmpty():
+        lost = rows.join(gone, ["c", "c2"])
+    else:
+        hottest = F.broadcast(hottest)
+        lost = rows.join(hottest, ["c", "c2"]).unionByName(rows.join(hottest, ["c", "c2"], "left_anti").join(gone.where(~hot), ["c", "c2"]))
     lost = lost.where(F.col("gone") | (F.struct("doc_id", "line", "version") != F.col("first")))
     return lost.groupBy("doc_id", "version").agg(F.array_sort(F.collect_set("line")).alias("removed"))
 
