@@ -4,11 +4,11 @@ A seed is a pair of words that stand next to each other or one word apart, in th
 substituted, inserted or deleted word between them doesn't hide it.  An alignment that reaches ``least`` of a perfect
 copy's score (2 for a match, -1 for any edit) has n matches and e edits with 2 n - e >= 2 least N for an item of N words, and
 at most e / 2 of the steps between its matches span more than one edit.  So it has seeds at ``least`` N - 1 places of the item
-or more, and any choice of all but that many places holds one of them: an item is entered in the index at its
+or more, and any choice of all places but that many less c holds c of them: an item is entered in the index at its
 rarest such places only, and nothing that aligns is lost, however many documents or items hold a seed.
 
-Around each seed that a document shares, the words and seeds of the item are counted where the alignment could
-lie; what can still reach the score is aligned.  Items go to the tasks in blocks of a fixed size, each block against all documents.
+Where a document has c of them within the length of an alignment, the words and all seeds of the item are counted
+there; what can still reach the score is aligned.  Items go to the tasks in blocks of a fixed size, each block against all documents.
 """
 
 from __future__ import annotations
@@ -87,8 +87,9 @@ class Index:
                 self.id.setdefault(x, len(self.id) + 1)
         self.words = [np.array([self.id[x] for x in w], np.int64) for _, w in self.item]
         self.length = np.array([len(w) for w in self.words], np.int64)
-        #: Places with seeds that a copy has at least, and words that its place in the document can drift by.
+        #: Places with seeds that a copy has at least, those of them that are in the index, and words that its place in the document can drift by.
         self.need = np.maximum(1, np.ceil(least * self.length - 1e-9).astype(np.int64) - 1)
+        self.several = np.maximum(1, self.need // 3)
         self.drift = np.floor(2 * self.length * (1 - least) + 1e-9).astype(np.int64)
         none = np.zeros(0, np.int64)
         self.codes, of, place = [], [none], [none]
@@ -104,7 +105,7 @@ class Index:
         for j, (a, b) in enumerate(zip(ends - [len(c) for c in self.codes], ends)):
             often = np.zeros(place[a:b].max() + 1, np.int64)
             np.maximum.at(often, place[a:b], times[seed[a:b]])
-            rare = np.argsort(often, kind="stable")[: max(1, len(often) - self.need[j] + 1)]
+            rare = np.argsort(often, kind="stable")[: max(1, len(often) - self.need[j] + self.several[j])]
             keep[a:b] = np.isin(place[a:b], rare)
         of, place = of[keep], place[keep]
         self.known, seed = np.unique(np.concatenate([none.astype(np.uint64), *self.codes])[keep], return_inverse=True)
@@ -148,11 +149,18 @@ class Index:
         ids, at, seed = self.find(text)
         out = []
         for item, place, at_ in self.joined(at, seed, 0, len(self.words)):
-            order = np.lexsort((at_ - place, item))
-            item, shift = item[order], (at_ - place)[order]
+            # seeds from which on there are enough in an alignment's length
+            order = np.lexsort((at_, item))
+            item, place, at_ = item[order], place[order], at_[order]
+            stride = len(ids) + int(self.length.max() + self.drift.max()) + 1
+            last = np.searchsorted(item * stride + at_, item * stride + at_ + self.length[item] + self.drift[item], "right")
+            keep = last - np.arange(len(item)) >= self.several[item]
+            item, shift = item[keep], (at_ - place)[keep]
+            order = np.lexsort((shift, item))
+            item, shift = item[order], shift[order]
             low = np.maximum(0, shift - self.drift[item])
             high = np.minimum(len(ids), shift + self.drift[item] + self.length[item])
-            edges = np.flatnonzero(np.diff(item, prepend=-1, append=-1))
+            edges = np.flatnonzero(np.diff(item, prepend=-1, append=-1)) if len(item) else []
             for a, b in zip(edges[:-1], edges[1:]):
                 best = self.best(int(item[a]), ids, low[a:b], high[a:b])
                 if best:
