@@ -24,7 +24,10 @@ SKETCHES = 128
 K = 2
 ROUNDS = 127
 #: Draws that a text gets at first, if ``ROUNDS`` allow.
-DRAWS = 16 * SKETCHES
+DRAWS = 10 * SKETCHES
+#: Function and rank in a hash of 63 bits; the round's number stands between them, and an item's below.
+ROUND = 1 << 49
+HASHED = (127 << 56) | (((1 << 18) - 1) << 31)
 #: Letters that are words by themselves (kana, Han, Thai and Lao).
 LONE = "぀-ヿ㐀-䶿一-鿿฀-໿"
 WORD = f"[{LONE}]|[^ \t\n\r\f{LONE}]{{1,12}}"
@@ -43,17 +46,20 @@ def with_signature(df: DataFrame, text: str, out: str) -> DataFrame:
 
     def draws(rounds: str) -> str:
         """(function, round, rank, item) of every item in the rounds."""
-        one = f"shiftleft(shiftrightunsigned(v, 57), 56) | shiftleft(bigint(k), 49) | shiftleft(shiftrightunsigned(v, 39) & 262143L, 31) | bigint(j)"
-        return f"flatten(transform(sequence(0, {rounds} - 1), k -> transform(transform({q}, x -> xxhash64(shiftright(x, 31), k)), (v, j) -> {one})))"
+        one = f"(shiftrightunsigned(xxhash64(shiftright(x, 31), k), 1) & {HASHED}L) | k | bigint(j)"
+        return f"flatten(transform(sequence(0L, ({rounds} - 1) * {ROUND}L, {ROUND}L), k -> transform({q}, (x, j) -> {one})))"
 
     own = f"flatten(transform(sequence(0, {SKETCHES - 1}), f -> transform(transform({q}, x -> xxhash64(shiftright(x, 31), {ROUNDS} + 1 + f)), (v, j) -> shiftleft(bigint(f), 56) | shiftleft({ROUNDS}L, 49) | shiftleft(shiftrightunsigned(v, 46), 31) | bigint(j))))"
     begins = "if(size({s}) = 0, array(), filter(sequence(0, size({s}) - 1), j -> j = 0 or shiftright({s}[j], 56) <> shiftright({s}[j - 1], 56)))"
     # the first draw of another item than the first one
     seconds = (
-        f"transform({{b}}, (f, k) -> if({n} >= {DRAWS}, if(f + 1 < coalesce(get({{b}}, k + 1), size({{s}})), {{s}}[f + 1], null),"
+        f"transform({{b}}, (f, k) -> if({n} > {DRAWS}, if(f + 1 < coalesce(get({{b}}, k + 1), size({{s}})), {{s}}[f + 1], null),"
         f" get(filter(slice({{s}}, f + 2, coalesce(get({{b}}, k + 1), size({{s}})) - f - 1), v -> (v & {LOW}L) <> ({{s}}[f] & {LOW}L)), 0)))"
     )
     whole = f"size({b}1) = {SKETCHES} and not exists({e}1, v -> v is null)"
+    whole2 = whole.replace(f"{b}1", f"{b}2").replace(f"{e}1", f"{e}2")
+    several = seconds.replace(f"{n} > {DRAWS}", "false")
+    rounds = f"least({ROUNDS}, 1 + {DRAWS} div {n})"
     steps = {
         w: f"regexp_extract_all(`{text}`, r'{WORD}', 0)",
         # k-mers in order of hash; equal k-mers in order of place
@@ -64,12 +70,15 @@ def with_signature(df: DataFrame, text: str, out: str) -> DataFrame:
         o: f"if(size({r}) = {n}, array(), flatten(transform({r}, (s, k) -> sequence(0, coalesce(get({r}, k + 1), {n}) - s - 1))))",
         # items: later occurrences are hashed anew with their number
         q: f"if(size({r}) = {n}, {p}, transform({p}, (x, j) -> if({o}[j] = 0, x, shiftleft(shiftrightunsigned(xxhash64(shiftright(x, 31), {o}[j]), 32), 31) | (x & {LOW}L))))",
-        f"{s}1": f"if({n} = 0, array(), sort_array({draws(f'int(least({ROUNDS}, 1 + {DRAWS} div {n}))')}))",
+        f"{s}1": f"if({n} = 0, array(), sort_array({draws(rounds)}))",
         f"{b}1": begins.format(s=f"{s}1"),
         f"{e}1": seconds.format(s=f"{s}1", b=f"{b}1"),
-        s: f"if({n} = 0 or {whole}, {s}1, sort_array(concat({draws(str(ROUNDS))}, {own})))",
-        b: f"if({n} = 0 or {whole}, {b}1, {begins.format(s=s)})",
-        e: f"if({n} = 0 or {whole}, {e}1, {seconds.format(s=s, b=b).replace(f'{n} >= {DRAWS}', 'false')})",
+        f"{s}2": f"if({n} = 0 or {whole}, {s}1, sort_array({draws(f'least({ROUNDS}, 3 * {rounds})')}))",
+        f"{b}2": f"if({n} = 0 or {whole}, {b}1, {begins.format(s=f'{s}2')})",
+        f"{e}2": f"if({n} = 0 or {whole}, {e}1, {several.format(s=f'{s}2', b=f'{b}2')})",
+        s: f"if({n} = 0 or {whole2}, {s}2, sort_array(concat({draws(str(ROUNDS))}, {own})))",
+        b: f"if({n} = 0 or {whole2}, {b}2, {begins.format(s=s)})",
+        e: f"if({n} = 0 or {whole2}, {e}2, {several.format(s=s, b=b)})",
     }
     for name, step in steps.items():
         df = df.withColumn(name, F.expr(step))

@@ -210,7 +210,8 @@ def brute_signatures(spark, texts_):
     ids = {t: [x if o == 0 else again[x, o] for x, o in v] for t, v in items.items()}
     every = spark.createDataFrame([(x,) for x in sorted({x for v in ids.values() for x in v})], "x long")
     last = fingerprints.ROUNDS + fingerprints.SKETCHES
-    draw = {(r["x"], k): v & bits for r in every.select("x", *(F.xxhash64("x", F.lit(k)).alias(f"k{k}") for k in range(last + 1))).collect() for k, v in enumerate(r[1:])}
+    seed = lambda k: F.lit(k * fingerprints.ROUND).cast("long") if k < fingerprints.ROUNDS else F.lit(k)
+    draw = {(r["x"], k): v & bits for r in every.select("x", *(F.xxhash64("x", seed(k)).alias(f"k{k}") for k in range(last + 1))).collect() for k, v in enumerate(r[1:])}
     chosen = {}
     for t, v in ids.items():
         order = sorted(range(len(v)), key=lambda i: (v[i], i))
@@ -218,7 +219,7 @@ def brute_signatures(spark, texts_):
         for k in range(fingerprints.ROUNDS):
             for j, i in enumerate(order):
                 d = draw[v[i], k]
-                queue[d >> 57].append((k, d >> 39 & 262143, j, i))
+                queue[d >> 57].append((k, d >> 32 & 262143, j, i))
         for f in queue:
             queue[f] += [(fingerprints.ROUNDS, draw[v[i], fingerprints.ROUNDS + 1 + f] >> 46, j, i) for j, i in enumerate(order)]
             two = list(dict.fromkeys(i for *_, i in sorted(queue[f])))[:2]
