@@ -51,10 +51,11 @@ def with_signature(df: DataFrame, text: str, out: str) -> DataFrame:
 
     own = f"flatten(transform(sequence(0, {SKETCHES - 1}), f -> transform(transform({q}, x -> xxhash64(shiftright(x, 31), {ROUNDS} + 1 + f)), (v, j) -> shiftleft(bigint(f), 56) | shiftleft({ROUNDS}L, 49) | shiftleft(shiftrightunsigned(v, 46), 31) | bigint(j))))"
     begins = "if(size({s}) = 0, array(), filter(sequence(0, size({s}) - 1), j -> j = 0 or shiftright({s}[j], 56) <> shiftright({s}[j - 1], 56)))"
-    # the first draw of another item than the first one
+    # the first draw of another item than the first one: nearly always the next one
+    end = "coalesce(get({b}, k + 1), size({s}))"
     seconds = (
-        f"transform({{b}}, (f, k) -> if({n} > {DRAWS}, if(f + 1 < coalesce(get({{b}}, k + 1), size({{s}})), {{s}}[f + 1], null),"
-        f" get(filter(slice({{s}}, f + 2, coalesce(get({{b}}, k + 1), size({{s}})) - f - 1), v -> (v & {LOW}L) <> ({{s}}[f] & {LOW}L)), 0)))"
+        f"transform({{b}}, (f, k) -> if(f + 1 < {end} and ({n} > {DRAWS} or ({{s}}[f + 1] & {LOW}L) <> ({{s}}[f] & {LOW}L)), {{s}}[f + 1],"
+        f" get(filter(slice({{s}}, f + 2, {end} - f - 1), v -> (v & {LOW}L) <> ({{s}}[f] & {LOW}L)), 0)))"
     )
     whole = f"size({b}1) = {SKETCHES} and not exists({e}1, v -> v is null)"
     whole2 = whole.replace(f"{b}1", f"{b}2").replace(f"{e}1", f"{e}2")

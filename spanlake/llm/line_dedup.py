@@ -438,7 +438,7 @@ def verified(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
     return scratch(both.select("a", "b", F.col("y.c2").alias("b2"), (overlap * (100 + percent) >= percent * (F.size(x) + F.size(y))).alias("ok")), "judged")
 
 
-def later_matches(documents: DataFrame, order: np.ndarray, total: int, percent: int, hubs: int = 8, growth: int = 64, nearest: int = NEAREST, long: int = LONG, spread: int = SPREAD, few: int = FEW) -> DataFrame:
+def later_matches(documents: DataFrame, order: np.ndarray, total: int, percent: int, hubs: int = 8, growth: int = 512, nearest: int = NEAREST, long: int = LONG, spread: int = SPREAD, few: int = FEW) -> DataFrame:
     """Classes (c, c2) to which an earlier class is similar; the last six decide only which way a match is found."""
     buckets = max(4 * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET))
     lists = scratch(search_lists(postings(documents, order, percent, min(buckets, 1 << 30), spread), percent, nearest, long, spread, few), "lists")
