@@ -71,12 +71,14 @@ def page_outcomes(pages: DataFrame) -> DataFrame:
 
     Null (no label) for a null page or one of under ``LEAST_WORDS`` words.
     """
+    bad = "x.c < {0} * x.w or x.c > {1} * x.w or x.l * 100 < {2} * x.w or x.s * 100 > {3} * x.w".format(SHORT, LONG, LETTER_SHARE, SYMBOL_SHARE)
+    # one expression, in which the text and its counts are bound once
     outcome = F.expr(
-        f"""transform(array(regexp_replace(html, r'{TAGS}', ' ')), t -> named_struct('w', regexp_count(t, r'{WORD}'), 'l', regexp_count(t, r'{LETTERS}'),
-          'c', char_length(translate(t, '{BLANKS}', '')), 's', char_length(t) - char_length(translate(t, '{SYMBOLS}', ''))))[0]"""
+        f"""transform(transform(array(regexp_replace(html, r'{TAGS}', ' ')), t -> named_struct('w', regexp_count(t, r'{WORD}'), 'l', regexp_count(t, r'{LETTERS}'),
+          'c', char_length(translate(t, '{BLANKS}', '')), 's', char_length(t) - char_length(translate(t, '{SYMBOLS}', '')))),
+          x -> if(x.w >= {LEAST_WORDS}, cast({bad} as int), null))[0]"""
     )
-    bad = "_x.c < {0} * _x.w or _x.c > {1} * _x.w or _x.l * 100 < {2} * _x.w or _x.s * 100 > {3} * _x.w".format(SHORT, LONG, LETTER_SHARE, SYMBOL_SHARE)
-    return pages.select("*", outcome.alias("_x")).withColumn("outcome", F.expr(f"if(_x.w >= {LEAST_WORDS}, cast({bad} as int), null)")).drop("_x")
+    return pages.select("*", outcome.alias("outcome"))
 
 
 def _strength(nodes: DataFrame, by: str) -> DataFrame:
@@ -104,7 +106,7 @@ def host_reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
     Null outcomes don't count; hosts without a labelled page get no row.  Counts of hosts are written once
     and read by every level, so the outcomes are made once.
     """
-    hosts = scratch(outcomes.where("outcome is not null and host <> ''").groupBy("host").agg(F.count("*").alias("n"), F.sum("outcome").alias("k")), "hosts")
+    hosts = scratch(outcomes.where("host <> ''").groupBy("host").agg(F.count("outcome").alias("n"), F.sum("outcome").alias("k")).where("n > 0"), "hosts")
     domain, suffix = domains(F.col("host"))
     hosts = hosts.withColumn("domain", domain).withColumn("suffix", suffix)
     level_domain = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
