@@ -125,15 +125,20 @@ def merge_pairs(pairs: DataFrame) -> DataFrame:
     return rows.mapInPandas(run, "movie string, zmw bigint, seq string, qual array<int>, dt int, dd string")
 
 
+#: Bases of a piece.  Places in a string are counted from its start, so contexts are cut from short pieces.
+PIECE = 32
+
+
 def kinetics_contexts(reads: DataFrame) -> DataFrame:
     """Three-base contexts with their kinetics: base_context, ipd_before, pulse_width, ipd_after.
 
-    ``reads(qname, seq, ip, pw)``; the first and last base have no context.
+    ``reads(qname, seq, ip, pw)``; the first and last base have no context, so reads of under three have none.
     """
-    at = F.explode(F.sequence(F.lit(1), F.char_length("seq") - 2)).alias("i")
-    rows = reads.where(F.char_length("seq") >= 3).select("qname", "seq", "ip", "pw", at)
+    pieces = F.regexp_extract_all("seq", F.lit(f"(?s)(?=(.{{3,{PIECE + 2}}})).{{1,{PIECE}}}"), F.lit(1))
+    rows = reads.select("qname", "ip", "pw", F.posexplode(pieces).alias("_k", "_piece"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(1), F.char_length("_piece") - 2)).alias("_j")).withColumn("i", F.col("_k") * PIECE + F.col("_j"))
     return rows.select(
-        "qname", "i", F.expr("substring(seq, i, 3)").alias("base_context"), F.get("ip", F.col("i")).alias("ipd_before"),
+        "qname", "i", F.expr("substring(_piece, _j, 3)").alias("base_context"), F.get("ip", F.col("i")).alias("ipd_before"),
         F.get("pw", F.col("i")).alias("pulse_width"), F.get("ip", F.col("i") + 1).alias("ipd_after"),
     )
 

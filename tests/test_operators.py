@@ -225,3 +225,19 @@ def test_queries_without_sql_read_whole_texts(spark, tmp_path):
     assert (trimmed["trim5"], trimmed["trim3"]) == (32, 10)
     merged = registry.QUERIES["u4_duplex_merge"](spark, str(tmp_path)).first()
     assert len(merged["seq"]) == len(seq)
+
+
+def test_kinetics_contexts_of_long_reads(spark):
+    import time
+    from collections import Counter
+
+    dna = random.Random(5)
+    reads = {f"r{n}": "".join(dna.choice("ACGT") for _ in range(n)) for n in (0, 1, 2, 3, 4, 33, 34, 35, 36, 66, 67, 1_000_000)}
+    s = spark.createDataFrame([*reads.items(), ("none", None)], "qname string, seq string")
+    small = s.where("length(seq) < 100").withColumn("ip", F.expr("if(length(seq) > 0, sequence(1, length(seq)), array())")).withColumn("pw", F.expr("transform(ip, x -> -x)"))
+    want = sorted((q, i, x[i - 1 : i + 2], i + 1, -i - 1, i + 2) for q, x in reads.items() if len(x) < 100 for i in range(1, len(x) - 1))
+    assert rows(duplex.kinetics_contexts(small).withColumn("i", F.expr("ipd_before - 1")), "qname", "i", "base_context", "ipd_before", "pulse_width", "ipd_after") == want
+    began = time.monotonic()
+    found = duplex.kinetics_contexts(s.withColumn("ip", F.array()).withColumn("pw", F.array())).groupBy("base_context").count()
+    assert dict(rows(found, "base_context", "count")) == Counter(x[i : i + 3] for x in reads.values() for i in range(len(x) - 2))
+    assert time.monotonic() - began < 60  # minutes where a context is looked for from the read's start
