@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -144,12 +143,20 @@ def f3_query_on_reference(spark, sf):
     return s.select("doc_id", codec.query_on_reference(col("cigar"), col("seq")).alias("expanded"))
 
 
-def finished(stream: DataFrame, mode: str, name: str) -> DataFrame:
-    """All rows of a stream over the files that are there."""
-    name = f"{name}_{uuid.uuid4().hex[:8]}"
-    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).option("checkpointLocation", folder(stream.sparkSession, "stream")).start()
-    q.awaitTermination()
-    return stream.sparkSession.table(name)
+def finished(stream: DataFrame, mode: str, name: str, once: bool = False) -> DataFrame:
+    """All rows of a stream over the files that are there, by way of files, as there may be more than the driver can hold.
+
+    ``once``: in a single batch, for streams with timers, which never end by themselves.
+    """
+    spark, path = stream.sparkSession, folder(stream.sparkSession, name)
+    spark.createDataFrame([], stream.schema).write.parquet(path)  # of no input there is no batch
+    out = stream.writeStream.outputMode(mode).trigger(**{"once" if once else "availableNow": True}).option("checkpointLocation", folder(spark, "stream"))
+    if mode == "append":
+        out = out.format("parquet").option("path", path)
+    else:
+        out = out.foreachBatch(lambda rows, _: rows.write.mode("overwrite").parquet(path))  # each batch has all rows
+    out.start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)
 
 
 @query("select concat('r', qname) qname, count(*) n_alns from fx_aln group by 1")
@@ -164,15 +171,8 @@ def r2_stream_pairs(spark, sf):
     a = fx.alignments(spark, sf).where("aln_i = 0").selectExpr("cast(qname as string) as movie", "qname * 2 as zmw", "explode(if(qname % 3 = 0, array(0), array(0, 1))) as strand")
     a.withColumn("seq", F.when(col("strand") == 0, "A").otherwise("T")).write.parquet(path)
     s = spark.readStream.schema("movie string, zmw bigint, strand int, seq string").parquet(path)
-    expected = spark.read.parquet(path).where("strand = 1").count()
     # timers of strands that wait keep such a stream busy, so that it never ends by itself
-    name = f"r2_{uuid.uuid4().hex[:8]}"
-    q = streams.pair_strands(s, 3_600_000).writeStream.format("memory").queryName(name).outputMode("append").option("checkpointLocation", folder(spark, "stream")).start()
-    until = time.time() + 120
-    while q.isActive and time.time() < until and spark.table(name).count() < expected:
-        time.sleep(0.5)
-    q.stop()
-    return spark.table(name).where("outcome = 'pair'").withColumn("movie", col("movie").cast("bigint"))
+    return finished(streams.pair_strands(s, 3_600_000), "append", "r2", once=True).where("outcome = 'pair'").withColumn("movie", col("movie").cast("bigint"))
 
 
 @query("select chrom_index1, least(count(*), 25) n from fx_aln group by 1")

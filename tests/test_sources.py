@@ -3,6 +3,7 @@
 import time
 
 import pytest
+from conftest import SF, same_rows
 from pyspark.sql import functions as F
 
 from spanlake.sources import inputs, records
@@ -105,6 +106,23 @@ def test_stream_pairs(spark, tmp_path):
     assert F is not None
 
 
+def test_stream_rows_come_from_files(spark):
+    from spanlake.plans import files
+
+    for name in ("r1_stream_counts", "r5_stream_map"):
+        found = files.QUERIES[name](spark, SF)
+        assert found.inputFiles() and found.count()  # not from the driver's memory
+
+
+def test_stream_without_input(spark, tmp_path):
+    from spanlake.plans import files
+
+    (tmp_path / "in").mkdir()
+    lines = spark.readStream.text(str(tmp_path / "in"))
+    assert files.finished(streams.count_reads(lines), "complete", "none").collect() == []
+    assert files.finished(streams.map_records(lines, value=F.col("value")), "append", "none").collect() == []
+
+
 def test_stage_tags(spark, tmp_path):
     p = tmp_path / "a.sam"
     p.write_text("r1\t0\tc\t5\t60\t4M\t*\t0\t0\tACGT\tIIII\tcs:Z::4\tzz:i:1\n")
