@@ -9,32 +9,50 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-PAIRED = "movie string, zmw bigint, outcome string, seq0 string, seq1 string"
+#: Molecules are dealt to so many groups; a group's waiting strands are one state, so that Python is called for groups and not for molecules.
+GROUPS = 512
+PAIRED = "movie string, zmw string, outcome string, seq0 string, seq1 string"
+WAITING = "movie array<string>, zmw array<string>, seq0 array<string>, seq1 array<string>, until array<bigint>"
 
 
 def pair_strands(strands: DataFrame, wait_ms: int = 60_000) -> DataFrame:
     """Stream of (movie, zmw, strand, seq): a strand waits in state for its partner; after ``wait_ms`` it is an orphan."""
-
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        row = lambda outcome, a, b: pd.DataFrame([(*key, outcome, a, b)], columns=["movie", "zmw", "outcome", "seq0", "seq1"])
-        if state.hasTimedOut:
-            a, b = state.get
+    key, ends = ["movie", "zmw"], ["seq0", "seq1"]
+    names = [*key, *ends, "until"]
+
+    def update(_group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now = state.getCurrentProcessingTimeMs()
+        rows = pd.DataFrame(dict(zip(names, state.get)) if state.exists else {n: [] for n in names}, columns=names, dtype=object)
+        new = [pdf[[*key, "strand", "seq"]] for pdf in batches if len(pdf)]
+        if new:
+            got = pd.concat(new, ignore_index=True)
+            if not got["strand"].isin([0, 1]).all():
+                raise ValueError("strands are 0 or 1")
+            # a molecule's last row of each strand counts, in this batch or what waits from those before
+            last = got.drop_duplicates([*key, "strand"], keep="last")
+            either = [last.loc[last["strand"] == k, [*key, "seq"]].rename(columns={"seq": f"new{k}"}).assign(**{f"has{k}": True}) for k in (0, 1)]
+            met = either[0].merge(either[1], "outer", key)
+            rows = rows.merge(met, "outer", key)
+            for k, end in enumerate(ends):
+                rows[end] = rows[f"new{k}"].where(rows[f"has{k}"].notna(), rows[end])
+            rows["until"] = rows["until"].where(rows["has0"].isna() & rows["has1"].isna(), now + wait_ms)
+        rows = rows[names].astype(object)
+        rows = rows.where(rows.notna(), None)
+        pair = rows["seq0"].notna() & rows["seq1"].notna()
+        late = ~pair & (rows["until"] <= now)
+        out = rows.assign(outcome=pair.map({True: "pair", False: "orphan"})).loc[pair | late, [*key, "outcome", *ends]]
+        rows = rows[~(pair | late)]
+        if len(rows):
+            state.update(tuple(rows[n].tolist() for n in names))
+            state.setTimeoutDuration(max(1, int(rows["until"].min()) - now))
+        elif state.exists:
             state.remove()
-            yield row("orphan", a, b)
-            return
-        held = list(state.get) if state.exists else [None, None]
-        for pdf in batches:
-            for strand, seq in zip(pdf["strand"], pdf["seq"]):
-                held[int(strand)] = seq
-        if None not in held:
-            if state.exists:
-                state.remove()
-            yield row("pair", *held)
-        else:
-            state.update(tuple(held))
-            state.setTimeoutDuration(wait_ms)
-
-    return strands.groupBy("movie", "zmw").applyInPandasWithState(update, PAIRED, "a string, b string", "append", GroupStateTimeout.ProcessingTimeTimeout)
+        if len(out):
+            yield out
+
+    dealt = strands.select(F.col("movie"), F.col("zmw").cast("string").alias("zmw"), "strand", "seq", F.pmod(F.xxhash64("movie", "zmw"), F.lit(GROUPS)).alias("_group"))
+    paired = dealt.groupBy("_group").applyInPandasWithState(update, PAIRED, WAITING, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return paired.withColumn("zmw", F.col("zmw").cast("bigint"))
 
 
 def capped(rows: DataFrame, key: str, columns: str, n: int) -> DataFrame:

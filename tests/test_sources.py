@@ -123,6 +123,37 @@ def test_stream_without_input(spark, tmp_path):
     assert files.finished(streams.map_records(lines, value=F.col("value")), "append", "none").collect() == []
 
 
+def test_pairs_don_t_depend_on_the_clock(spark, duck, monkeypatch):
+    from types import SimpleNamespace
+
+    from spanlake.plans import files
+
+    ticks = iter(range(0, 10**9, 1000))
+    monkeypatch.setattr(files, "time", SimpleNamespace(time=lambda: next(ticks), sleep=time.sleep), raising=False)
+    assert same_rows(files.r2_stream_pairs(spark, SF), duck.sql(files.ORACLES["r2_stream_pairs"]))
+
+
+def test_pairs_over_batches(spark, tmp_path, monkeypatch):
+    """All molecules in one group: strands meet over batches, the last of a strand counts, and what waits too long is an orphan."""
+    monkeypatch.setattr(streams, "GROUPS", 1)
+    schema = "movie string, zmw bigint, strand int, seq string"
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    big = 2**53 + 1
+
+    def batch(rows, wait_ms):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        pairs = streams.pair_strands(spark.readStream.schema(schema).parquet(src), wait_ms)
+        pairs.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "c")).trigger(once=True).start().awaitTermination()
+        return sorted(tuple(r) for r in spark.read.schema(pairs.schema).parquet(out).select("zmw", "outcome", "seq0", "seq1").collect())
+
+    first = batch([("m", big, 0, "A"), ("m", big, 1, "T"), ("m", 2, 0, "C"), ("m", 3, 1, "G")], 3_600_000)
+    assert first == [(big, "pair", "A", "T")]
+    second = batch([("m", 2, 0, "CC"), (None, 2, 1, "X"), ("m", 2, 1, "GG"), ("m", big, 0, "A")], 3_600_000)
+    assert sorted(set(second) - set(first)) == [(2, "pair", "CC", "GG")]
+    third = batch([("m", 9, 0, "N")], 0)
+    assert sorted(set(third) - set(second)) == [(9, "orphan", "N", None)]
+
+
 def test_stage_tags(spark, tmp_path):
     p = tmp_path / "a.sam"
     p.write_text("r1\t0\tc\t5\t60\t4M\t*\t0\t0\tACGT\tIIII\tcs:Z::4\tzz:i:1\n")
