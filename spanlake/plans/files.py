@@ -24,19 +24,19 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{(shared or tempfile.mkdtemp(prefix='spanlake-')).removeprefix('file://')}/spanlake-files/{name}-{uuid.uuid4().hex}"
 
 
-def text_file(lines: DataFrame, name: str) -> str:
+def text_file(lines: DataFrame, name: str, compression: str = "none") -> str:
     """Write a one-column table as text; the folder."""
     path = folder(lines.sparkSession, name)
-    lines.write.text(path)
+    lines.write.text(path, compression=compression)
     return path
 
 
 SAM = "concat_ws('\\t', 'r' || qname, cast(strand0 * 16 as string), 'chr' || chrom_index1, cast(pos1 as string), cast(mapq as string), ref_span || 'M', '*', '0', '0', 'ACGT', 'IIII', 'de:f:0.5', 'xi:i:' || aln_i, 'cs:Z::' || ref_span, 'ip:B:C,1,' || mapq)"
 
 
-def sam_file(spark: SparkSession, sf: str) -> str:
+def sam_file(spark: SparkSession, sf: str, compression: str = "none") -> str:
     header = spark.sql("select '@HD\tVN:1.6' as value")
-    return text_file(header.union(fx.alignments(spark, sf).select(F.expr(SAM).alias("value"))), "sam")
+    return text_file(header.union(fx.alignments(spark, sf).select(F.expr(SAM).alias("value"))), "sam", compression)
 
 
 @query("select concat('r', qname) qname, strand0 * 16 flag, concat('chr', chrom_index1) rname, pos1, mapq, concat(ref_span, 'M') cigar, aln_i xi, 0.5::double de, mapq::int ip from fx_aln")
@@ -161,7 +161,7 @@ def finished(stream: DataFrame, mode: str, name: str, once: bool = False) -> Dat
 
 @query("select concat('r', qname) qname, count(*) n_alns from fx_aln group by 1")
 def r1_stream_counts(spark, sf):
-    return finished(streams.count_reads(spark.readStream.text(sam_file(spark, sf))), "complete", "r1")
+    return finished(streams.count_reads(spark.readStream.text(sam_file(spark, sf, "gzip"))), "complete", "r1")
 
 
 @query("select qname movie, qname * 2 zmw, 'pair' outcome, 'A' seq0, 'T' seq1 from fx_aln where aln_i = 0 and qname % 3 <> 0")
@@ -185,7 +185,7 @@ def r3_stream_cap(spark, sf):
 
 @query("select concat('r', qname) qname, mapq from fx_aln")
 def r5_stream_map(spark, sf):
-    lines = spark.readStream.text(sam_file(spark, sf)).where("value not like '@%'")
+    lines = spark.readStream.text(sam_file(spark, sf, "gzip")).where("value not like '@%'")
     return finished(streams.map_records(lines, qname=F.substring_index("value", "\t", 1), mapq=F.get(F.split("value", "\t"), F.lit(4)).cast("bigint")), "append", "r5")
 
 
