@@ -11,7 +11,9 @@ similar sets can differ in words (bitmap filter).  Candidates are verified on th
 
 Texts are read again instead of carrying sets of words from step to step: only postings (one for each prefix
 token, packed by hash of the token) and the words of candidates are shuffled.  Every list of postings is searched within one task in numpy, where
-each line hands out its earlier lines, or the ``NEAREST`` if there are over ``FEW``.  Lists that this doesn't settle (a line without a match has more
+each line hands out its earlier lines, or the ``NEAREST`` if there are over ``FEW``.  Lists of over ``WIDE`` lines are first split by a second token:
+similar sets share two of their first n - ceil(t n) + 2 tokens, the first of them within the prefix, so a posting of a frequent token also
+carries short hashes of the tokens after it up to there, and a line is only compared with lines that share one of these.  Lists that this doesn't settle (a line without a match has more
 candidates there, or the list is long) go in rounds of hubs: the earliest line of each of ever more hashed parts of a list is
 paired with the lines after it that aren't matched yet, until each member has been a hub or no unmatched line is left after it.
 So no line's earlier match is missed, and no group's pairs are all made.
@@ -38,6 +40,10 @@ SEGMENT = 15
 NEAREST, FEW = 8, 32
 #: Longest list that is searched in numpy; longer ones go in rounds.
 LONG = 2048
+#: Longest list that is searched as it is; longer ones are split by a second token.
+WIDE = 768
+#: Order (8 log2 of the count) from which on a token's postings carry what splits their list.
+PAIRED = 8 * 9
 #: Order (8 log2 of the count) from which on a token's postings are dealt by line instead of being gathered: 2**19 lines.
 SPREAD = 8 * 19
 #: Most hubs of a list in one array.
@@ -98,16 +104,21 @@ def _select(found, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def _gathered(parts, rows: int = 50_000):
-    """Dictionaries of columns as frames of about ``rows`` rows."""
+    """Dictionaries of columns, joined to ones of about ``rows`` rows."""
     held, size = [], 0
     for part in parts:
         held.append(part)
         size += len(part["c"])
         if size >= rows:
-            yield pd.DataFrame({k: np.concatenate([x[k] for x in held]) for k in held[0]})
+            yield {k: np.concatenate([x[k] for x in held]) for k in held[0]}
             held, size = [], 0
     if size:
-        yield pd.DataFrame({k: np.concatenate([x[k] for x in held]) for k in held[0]})
+        yield {k: np.concatenate([x[k] for x in held]) for k in held[0]}
+
+
+def _ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The ``n`` numbers from each ``first`` on, one after the other."""
+    return np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
 
 
 def _documents(documents: DataFrame, versions: bool = False) -> DataFrame:
@@ -134,7 +145,8 @@ def lines_and_counts(documents: DataFrame, percent: int) -> DataFrame:
                 table[slots[first]] += np.diff(np.append(first, len(slots))).astype(np.int32)
                 yield {"doc_id": own[:, 0], "version": own[:, 1], "line": line, "c": found.c, "c2": found.c2}
 
-        for frame in _gathered(rows()):
+        for part in _gathered(rows()):
+            frame = pd.DataFrame(part)
             yield frame.assign(segment=pd.Series([None] * len(frame), dtype="Int64"), counts=None)
         slots = np.flatnonzero(table)
         cut = np.searchsorted(slots, np.arange(0, (1 << SLOTS) + 1, 1 << SEGMENT))
@@ -192,12 +204,20 @@ def parities(words: np.ndarray, start: np.ndarray, n: np.ndarray) -> dict[str, n
     return {k: v.view(np.int64) for k, v in out.items()}
 
 
-def postings(documents: DataFrame, order: np.ndarray, percent: int, buckets: int, spread: int = SPREAD) -> DataFrame:
+def tokens_after(key: np.ndarray, size: np.ndarray, percent: int, spread: int = SPREAD, paired: int = PAIRED) -> np.ndarray:
+    """How many tokens after its own each posting carries: those among the set's first ``prefix_length`` + 1."""
+    if least_size(percent) * percent <= 100:  # sets might be similar by one word
+        return np.zeros(len(key), np.int64)
+    n, order = size >> 31, key >> 39
+    return np.where((order >= paired) & (order < spread), prefix_length(n, percent) - (size & ((1 << 31) - 1)), 0)
+
+
+def postings(documents: DataFrame, order: np.ndarray, percent: int, buckets: int, spread: int = SPREAD, paired: int = PAIRED) -> DataFrame:
     """Prefix postings of the words that several lines may share, packed: ``bucket`` and the columns of ``POSTING`` as binaries.
 
     key: place of the word in the global order (8 bits of count, 39 of hash; words of one key count as one); c: class; size: the set's
     number of words and below it the number of those before this one (31 bits); map...: see ``parities``; doc, line: first line of the
-    class that was seen.  A key's postings share a bucket; those of frequent words, which are only passed on, are dealt by class.
+    class that was seen; after: 16 bits of hash of each of the ``tokens_after``.  A key's postings share a bucket; those of frequent words, which are only passed on, are dealt by class.
     """
     sent = documents.sparkSession.sparkContext.broadcast(order.tobytes())
     least = least_size(percent)
@@ -219,19 +239,25 @@ def postings(documents: DataFrame, order: np.ndarray, percent: int, buckets: int
             maps = parities(words, start, n)
             of = of[at]
             row = keep[of]
-            yield {"key": key[at].view(np.int64), "c": found.c[row], "size": (n[of] << 31) | pos[at], "doc": own[row, 0], "line": line[row]} | {k: v[of] for k, v in maps.items()}
+            own_key, size = key[at].view(np.int64), (n[of] << 31) | pos[at]
+            after = (mix(key[_ranges(at + 1, tokens_after(own_key, size, percent, spread, paired))]) & _U(0xFFFF)).astype("<u2")
+            yield {"key": own_key, "c": found.c[row], "size": size, "doc": own[row, 0], "line": line[row], "after": after} | {k: v[of] for k, v in maps.items()}
 
     def run(batches):
-        for pdf in _gathered(rows(batches), 200_000):
-            key, c = pdf["key"].to_numpy(), pdf["c"].to_numpy()
+        for part in _gathered(rows(batches), 200_000):
+            key, c = part["key"], part["c"]
             bucket = (mix(np.where(key >> 39 >= spread, c, key).view(_U)) % _U(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             found, first = np.unique(bucket[order], return_index=True)
             edges = np.append(first, len(order))
-            held = {k: pdf[k].to_numpy().astype("<i8")[order] for k in NAMES}
-            yield pd.DataFrame({"bucket": found} | {k: [v[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])] for k, v in held.items()})
+            n = tokens_after(key, part["size"], percent, spread, paired)
+            after = part["after"][_ranges((np.cumsum(n) - n)[order], n[order])]
+            ends = np.append(0, np.cumsum(n[order]))[edges]
+            held = {k: part[k].astype("<i8")[order] for k in NAMES}
+            out = {"bucket": found} | {k: [v[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])] for k, v in held.items()}
+            yield pd.DataFrame(out | {"after": [after[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]})
 
-    return _documents(documents).mapInPandas(run, "bucket int, " + ", ".join(f"{k} binary" for k in NAMES))
+    return _documents(documents).mapInPandas(run, "bucket int, " + ", ".join(f"{k} binary" for k in [*NAMES, "after"]))
 
 
 def fits(x: str, y: str, percent: int) -> str:
@@ -250,8 +276,8 @@ def fits(x: str, y: str, percent: int) -> str:
 class ListSearch:
     """Candidates among the postings of whole lists, given in columns."""
 
-    def __init__(self, percent: int, nearest: int = NEAREST, long: int = LONG, spread: int = SPREAD, few: int = FEW):
-        self.percent, self.nearest, self.long, self.spread, self.few = percent, nearest, long, spread, few
+    def __init__(self, percent: int, nearest: int = NEAREST, long: int = LONG, spread: int = SPREAD, few: int = FEW, wide: int = WIDE, paired: int = PAIRED):
+        self.percent, self.nearest, self.long, self.spread, self.few, self.wide, self.paired = percent, nearest, long, spread, few, wide, paired
 
     def distinct(self, p: dict) -> dict:
         """One posting for each key and class, with its earliest line, in order of key and size."""
@@ -278,13 +304,56 @@ class ListSearch:
         Candidates: earlier class, later class, difference of their parities, document and line of either.
         ``over`` marks postings whose line has more candidates in the list than it hands out.
         """
-        p = self.distinct(p)
-        key, size = p["key"], len(p["key"])
+        after = p["after"]
+        n = tokens_after(p["key"], p["size"], self.percent, self.spread, self.paired)
+        p = self.distinct({k: p[k] for k in NAMES} | {"from": np.cumsum(n) - n})
         p |= {"n": p["size"] >> 31, "left": (p["size"] >> 31) - (p["size"] & ((1 << 31) - 1))}
-        start = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
+        start = np.flatnonzero(np.diff(p["key"], prepend=p["key"][0] - 1))
+        length = np.diff(np.append(start, len(p["key"])))
+        n = tokens_after(p["key"], p["size"], self.percent, self.spread, self.paired)
+        wide = np.repeat(length > self.wide, length) & (n > 0)
+        found = [self.search_lists({k: v[~wide] for k, v in p.items()})]
+        found += [self.search_lists(part) for part in self.split({k: v[wide] for k, v in p.items()}, n[wide], after)]
+        return np.concatenate([x for x, _ in found], axis=1), {k: np.concatenate([x[k] for _, x in found]) for k in found[0][1]}
+
+    def split(self, p: dict, n: np.ndarray, after: np.ndarray, rows: int = 500_000):
+        """The lists ``p`` as lists of those that also share one of the ``n`` tokens after; a list's key is made of both."""
+        key = p["key"]
+        starts = np.append(np.flatnonzero(np.diff(key, prepend=-1)), len(key))
+        total = np.append(0, np.cumsum(n))
+        lo = 0
+        while lo < len(starts) - 1:  # whole lists of about ``rows`` postings in all
+            hi = max(lo + 1, int(np.searchsorted(total[starts], total[starts[lo]] + rows, "right")) - 1)
+            a, b = starts[lo], starts[hi]
+            i = np.repeat(np.arange(a, b), n[a:b])
+            second = after[_ranges(p["from"][a:b], n[a:b])].astype(np.int64)
+            part = (np.cumsum(np.diff(key[a:b], prepend=-1) != 0)[i - a] << 16) | second
+            order = np.argsort(part, kind="stable")  # sizes still rise within a list
+            part, i = part[order], i[order]
+            new = np.append(True, (part[1:] != part[:-1]) | (i[1:] != i[:-1]))
+            part, i = part[new], i[new]
+            alike = part[1:] == part[:-1]
+            several = np.append(False, alike) | np.append(alike, False)
+            part, i = part[several], i[several]
+            first = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+            at = 0
+            while at < len(first) - 1:
+                to = max(at + 1, int(np.searchsorted(first, first[at] + rows, "right")) - 1)
+                own = slice(first[at], first[to])
+                both = mix(key[i[own]].view(_U) ^ mix((part[own] & 0xFFFF).view(_U))) >> _U(2)
+                yield {k: v[i[own]] for k, v in p.items()} | {"key": (both | _U(1 << 62)).view(np.int64)}
+                at = to
+            lo = hi
+
+    def search_lists(self, p: dict) -> tuple[np.ndarray, dict]:
+        """``search`` in lists as they are, which stand one after the other, sizes rising in each."""
+        key, size = p["key"], len(p["key"])
+        if not size:
+            return np.zeros((7, 0), np.int64), {k: p[k] for k in NAMES} | {"over": np.zeros(0, bool)}
+        start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         length = np.diff(np.append(start, size))
         end = np.repeat(start + length, length)
-        long = (length > self.long) | (key[start] >> 39 >= self.spread)
+        long = (length > self.long) | ((key[start] >> 39 >= self.spread) & (key[start] < 1 << 62))
         over = np.repeat(long, length)
         long = over.copy()
         pairs = []
@@ -352,13 +421,13 @@ class ListSearch:
         return [np.concatenate(v) for v in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
 
 
-def search_lists(lists: DataFrame, percent: int, nearest: int = NEAREST, long: int = LONG, spread: int = SPREAD, few: int = FEW) -> DataFrame:
+def search_lists(lists: DataFrame, percent: int, nearest: int = NEAREST, long: int = LONG, spread: int = SPREAD, few: int = FEW, wide: int = WIDE, paired: int = PAIRED) -> DataFrame:
     """Candidates (a, b, far and places), and the postings of lists that need rounds (``POSTING``, over), as one table."""
     ends = ["a", "b", "far", "adoc", "aline", "bdoc", "bline"]
     columns = [*ends, *NAMES, "over"]
 
     def frames(search, held):
-        found, rest = search.search({k: np.frombuffer(b"".join(v for part in held for v in part[k]), "<i8") for k in NAMES})
+        found, rest = search.search({k: np.frombuffer(b"".join(v for part in held for v in part[k]), "<u2" if k == "after" else "<i8") for k in [*NAMES, "after"]})
         if found.shape[1]:
             found = found[:, np.lexsort((found[2], found[0], found[1]))]
             new = np.ones(found.shape[1], bool)
@@ -368,7 +437,7 @@ def search_lists(lists: DataFrame, percent: int, nearest: int = NEAREST, long: i
             yield pd.DataFrame(rest).reindex(columns=columns).astype({k: "Int64" for k in ends})
 
     def run(batches):
-        search, held, last = ListSearch(percent, nearest, long, spread, few), [], None
+        search, held, last = ListSearch(percent, nearest, long, spread, few, wide, paired), [], None
         for pdf in batches:
             for bucket, part in pdf.groupby("bucket"):  # in order; a bucket may go on in the next batch
                 if held and bucket != last:
@@ -438,10 +507,10 @@ def verified(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
     return scratch(both.select("a", "b", F.col("y.c2").alias("b2"), (overlap * (100 + percent) >= percent * (F.size(x) + F.size(y))).alias("ok")), "judged")
 
 
-def later_matches(documents: DataFrame, order: np.ndarray, total: int, percent: int, hubs: int = 8, growth: int = 512, nearest: int = NEAREST, long: int = LONG, spread: int = SPREAD, few: int = FEW) -> DataFrame:
-    """Classes (c, c2) to which an earlier class is similar; the last six decide only which way a match is found."""
+def later_matches(documents: DataFrame, order: np.ndarray, total: int, percent: int, hubs: int = 8, growth: int = 512, nearest: int = NEAREST, long: int = LONG, spread: int = SPREAD, few: int = FEW, wide: int = WIDE, paired: int = PAIRED) -> DataFrame:
+    """Classes (c, c2) to which an earlier class is similar; the last eight decide only which way a match is found."""
     buckets = max(4 * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET))
-    lists = scratch(search_lists(postings(documents, order, percent, min(buckets, 1 << 30), spread), percent, nearest, long, spread, few), "lists")
+    lists = scratch(search_lists(postings(documents, order, percent, min(buckets, 1 << 30), spread, paired), percent, nearest, long, spread, few, wide, paired), "lists")
     pairs = scratch(lists.where("a is not null").groupBy("a", "b").agg(*(F.min(n).alias(n) for n in ("far", "adoc", "aline", "bdoc", "bline"))), "pairs")
     places = pairs.select(F.explode(F.array(F.struct(F.col("adoc").alias("doc"), F.col("aline").alias("line")), F.struct(F.col("bdoc").alias("doc"), F.col("bline").alias("line")))).alias("p"))
     opened = lists.where("key is not null").select("doc", "line")

@@ -136,6 +136,29 @@ def test_line_dedup_ways_of_search(spark):
         assert {x["doc_id"]: x["text"] for x in line_dedup.dedup_lines(texts(spark, items), **ways).collect()} == want, ways
 
 
+def test_line_dedup_of_wide_lists(spark):
+    """Lists that are split by a second token, searched or in rounds, match brute force."""
+    r = random.Random(12)
+    items = [(doc, "\n".join(" ".join(f"w{int(40 * r.random() ** 2)}" for _ in range(r.randint(4, 14))) for _ in range(6))) for doc in range(50)]
+    items += [(doc + 50, "\n".join(" ".join(r.choice([w, w, w, w, w, f"w{r.randint(0, 40)}"]) for w in line.split()) for line in text.split("\n"))) for doc, text in items]
+    want = brute_lines(items)
+    for ways in ({"wide": 2, "paired": 8}, {"wide": 2, "paired": 8, "long": 3, "hubs": 1, "growth": 2}, {"wide": 4, "paired": 24, "spread": 48, "few": 1, "nearest": 1}):
+        assert {x["doc_id"]: x["text"] for x in line_dedup.dedup_lines(texts(spark, items), **ways).collect()} == want, ways
+
+
+def test_wide_list_of_unlike_lines():
+    """Lines that share a frequent word only aren't compared, however long its list is, and go to no rounds."""
+    n, m = 3000, 12
+    r = np.random.default_rng(1)
+    key = np.int64(80 << 39 | 5)
+    own = {k: np.zeros(n, np.int64) for k in line_dedup.NAMES} | {"key": np.full(n, key), "c": np.arange(n), "doc": np.arange(n), "size": np.full(n, m << 31)}
+    after = r.integers(0, 1 << 16, (n, 3)).astype("<u2")
+    after[1] = after[0] = [7, 8, 9]
+    assert line_dedup.tokens_after(own["key"][:1], own["size"][:1], 80).tolist() == [3]
+    found, rest = line_dedup.ListSearch(80).search(own | {"after": after.ravel()})
+    assert (0, 1) in set(zip(found[0].tolist(), found[1].tolist())) and found.shape[1] < n and not len(rest["key"])
+
+
 def test_line_dedup_of_many_lines(spark):
     """Lines beyond 2**20 of a document, hashed ids, and rows of one doc_id."""
     head = "\n" * (1 << 20)
