@@ -117,7 +117,9 @@ def train(rows: list[tuple[str, int]], rounds: int = 150, rate: float = 0.1, dec
     model = {"w": np.zeros((N_FEATURES, 2)), "start": np.zeros(2), "pair": np.zeros((2, 2))}
     if not rows:
         return model
-    x, _, counts = line_features([t for t, _ in rows])
+    # a text's features don't depend on others; those of all texts at once would take some 25 bytes a character
+    parts = [line_features([t for t, _ in rows[a:b]]) for a, b in pieces([t for t, _ in rows])]
+    x, counts = np.concatenate([p[0] for p in parts]), np.concatenate([p[2] for p in parts])
     y = np.repeat([int(v > 0) for _, v in rows], counts)
     hot = np.eye(2)[y]
     begin = np.cumsum(counts) - counts

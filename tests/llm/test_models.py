@@ -150,3 +150,21 @@ def test_scores_dont_depend_on_other_rows(spark, tables, run):
     for i, score in whole:
         by.setdefault(i, []).append(score)
     assert set(by) == {3, 5, 9003} and all(max(v) - min(v) < 1e-6 for v in by.values())
+
+
+def test_quality_training_memory():
+    """Training takes no memory that follows the characters of its sample, and features don't depend on the other texts."""
+    import tracemalloc
+
+    r = np.random.default_rng(4)
+    texts = ["\n".join("w" * int(n) for n in r.integers(1, 40_000, 8)) for _ in range(60)]
+    size = sum(map(len, texts))
+    tracemalloc.start()
+    model = quality_crf.train([(t, i % 2) for i, t in enumerate(texts)], rounds=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert size > 8_000_000 and peak < 80_000_000
+    x, _, counts = quality_crf.line_features(texts)
+    halves = [quality_crf.line_features(texts[:25]), quality_crf.line_features(texts[25:])]
+    assert (np.concatenate([h[0] for h in halves]) == x).all() and (np.concatenate([h[2] for h in halves]) == counts).all()
+    assert np.isfinite(model["w"]).all()
