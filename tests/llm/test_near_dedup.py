@@ -1,6 +1,7 @@
 """Near-dedup, components and line dedup against brute force; edge cases."""
 
 import random
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -269,6 +270,16 @@ def test_fingerprints_match_definition(spark):
             assert (got[d]["near_edited"], got[d]["near_next"]) == (like(own, changed), like(own, after))
 
 
+def test_word_patterns_agree(spark):
+    """The pattern that runs finds the words of the defining one, for every code point and for runs of several kinds."""
+    r = random.Random(6)
+    points = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    items = ["".join(points[i : i + 30_000]) for i in range(0, len(points), 30_000)]
+    items += ["".join(r.choice("ab9_é—☃ \t\n\r\f\v\x1f\x7f\x85\u00a0\u3000\u0dff\u0e00\u0eff\u0f00ก一龥あヿ\u3100㐀\u4dc0\U00020000") for _ in range(400)) for _ in range(50)]
+    rows = spark.createDataFrame(list(enumerate(items)), "i int, t string").selectExpr("i", f"regexp_extract_all(t, r'{fingerprints.PATTERN}', 0) w").collect()
+    assert len(rows) == len(items) and all(x["w"] == re.findall(fingerprints.WORD, items[x["i"]]) for x in rows)
+
+
 def test_fingerprint_of_a_long_text(spark):
     """Texts around the length from which one round is drawn, and a long one: the same as by all rounds."""
     r = random.Random(6)
