@@ -13,9 +13,11 @@ Texts are read again instead of carrying sets of words from step to step: only p
 token, packed by hash of the token) and the words of candidates are shuffled.  Every list of postings is searched within one task in numpy, where
 each line hands out its earlier lines, or the ``NEAREST`` if there are over ``FEW``.  Lists of over ``WIDE`` lines are first split by a second token:
 similar sets share two of their first n - ceil(t n) + 2 tokens, the first of them within the prefix, so a posting of a frequent token also
-carries short hashes of the tokens after it up to there, and a line is only compared with lines that share one of these.  Lists that this doesn't settle (a line without a match has more
+carries short hashes of the tokens after it up to there, and a line is only compared with lines that share one of these.  As the first two tokens that
+two sets share, both leave enough tokens after them (positional filter by the second), so a line stays out of lists where it fits nobody.  Lists that this doesn't settle (a line without a match has more
 candidates there, or the list is long) go in rounds of hubs: the earliest line of each of ever more hashed parts of a list is
-paired with the lines after it that aren't matched yet, until each member has been a hub or no unmatched line is left after it.
+paired with the lines after it that aren't matched yet, until each member has been a hub or no unmatched line is left after it.  Only lines that come before
+an unmatched one go there, and where a list has few unmatched ones (``SEEKERS``), only those that pass the filters with one of them.
 So no line's earlier match is missed, and no group's pairs are all made.
 """
 
@@ -38,8 +40,8 @@ SLOTS = 23
 SEGMENT = 15
 #: Candidates that a line hands out from one list: all of them if there are no more than FEW, else the NEAREST at first.
 NEAREST, FEW = 8, 32
-#: Longest list that is searched in numpy; longer ones go in rounds.
-LONG = 2048
+#: Longest list that is searched whole in numpy; longer ones go in rounds, after each line was compared with its NEIGHBOURS by size.
+LONG, NEIGHBOURS = 2048, 64
 #: Longest list that is searched as it is; longer ones are split by a second token.
 WIDE = 768
 #: Order (8 log2 of the count) from which on a token's postings carry what splits their list.
@@ -48,6 +50,8 @@ PAIRED = 8 * 9
 SPREAD = 8 * 19
 #: Most hubs of a list in one array.
 HUBS = 1024
+#: Unmatched lines of a list that are held against all lines before them at once, and the hashed parts in which they are told apart.
+SEEKERS, PARTS = 64, 4096
 #: Bits of the table that says which lines are wanted.
 WANTED = 25
 _U = np.uint64
@@ -326,25 +330,47 @@ class ListSearch:
             hi = max(lo + 1, int(np.searchsorted(total[starts], total[starts[lo]] + rows, "right")) - 1)
             a, b = starts[lo], starts[hi]
             i = np.repeat(np.arange(a, b), n[a:b])
+            skipped = _ranges(np.zeros(b - a, np.int64), n[a:b])
             second = after[_ranges(p["from"][a:b], n[a:b])].astype(np.int64)
             part = (np.cumsum(np.diff(key[a:b], prepend=-1) != 0)[i - a] << 16) | second
             order = np.argsort(part, kind="stable")  # sizes still rise within a list
-            part, i = part[order], i[order]
+            part, i, skipped = part[order], i[order], skipped[order]
             new = np.append(True, (part[1:] != part[:-1]) | (i[1:] != i[:-1]))
-            part, i = part[new], i[new]
-            alike = part[1:] == part[:-1]
-            several = np.append(False, alike) | np.append(alike, False)
-            part, i = part[several], i[several]
+            part, i, skipped = part[new], i[new], skipped[new]
+            for useful in (self.several, lambda *x: self.fitting(*x, p), self.several):
+                kept = useful(part, i, skipped)
+                part, i, skipped = part[kept], i[kept], skipped[kept]
             first = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
             at = 0
             while at < len(first) - 1:
                 to = max(at + 1, int(np.searchsorted(first, first[at] + rows, "right")) - 1)
                 own = slice(first[at], first[to])
                 both = mix(key[i[own]].view(_U) ^ mix((part[own] & 0xFFFF).view(_U))) >> _U(2)
-                yield {k: v[i[own]] for k, v in p.items()} | {"key": (both | _U(1 << 62)).view(np.int64)}
+                lists = {k: v[i[own]] for k, v in p.items()} | {"key": (both | _U(1 << 62)).view(np.int64)}
+                yield lists | {"size": lists["size"] + skipped[own], "left": lists["left"] - skipped[own]}
                 at = to
             lo = hi
 
+    @staticmethod
+    def several(part: np.ndarray, *_) -> np.ndarray:
+        """Which entries aren't alone in their list."""
+        alike = part[1:] == part[:-1]
+        return (np.append(False, alike) | np.append(alike, False))[: len(part)]
+
+    def fitting(self, part: np.ndarray, i: np.ndarray, skipped: np.ndarray, p: dict) -> np.ndarray:
+        """Which entries leave enough tokens for the smallest other set of their list that may be similar by its size.
+
+        ``skipped``: tokens between the two of a list, of which none is shared if these are the first two that are.
+        """
+        n, top = p["n"][i], (1 << 20) - 1
+        code = (np.cumsum(np.diff(part, prepend=part[:1]) != 0) << 20) | np.minimum(n, top)
+        at = np.searchsorted(code, (code & ~top) | np.minimum(-(-self.percent * n // 100), top))
+        at += at == np.arange(len(at))
+        at = np.minimum(at, len(at) - 1)
+        # one that fits nobody by its size stays, if it leaves enough for a set of its own size
+        least = np.where(code[at] >> 20 == code >> 20, np.minimum(n[at], top), n)
+        return (p["left"][i] - skipped) * (100 + self.percent) >= self.percent * (n + least)
+
     def search_lists(self, p: dict) -> tuple[np.ndarray, dict]:
         """``search`` in lists as they are, which stand one after the other, sizes rising in each."""
         key, size = p["key"], len(p["key"])
@@ -353,12 +379,15 @@ class ListSearch:
         start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         length = np.diff(np.append(start, size))
         end = np.repeat(start + length, length)
-        long = (length > self.long) | ((key[start] >> 39 >= self.spread) & (key[start] < 1 << 62))
+        spread = (key[start] >> 39 >= self.spread) & (key[start] < 1 << 62)
+        long = (length > self.long) | spread
+        reach = np.where(long, np.where(spread, 0, np.minimum(length - 1, NEIGHBOURS)), length - 1)
+        end = np.minimum(end, np.arange(size) + 1 + np.repeat(reach, length))
         over = np.repeat(long, length)
         long = over.copy()
         pairs = []
-        for lo, hi in self.blocks(start, length, np.cumsum(length * (length - 1) // 2)):
-            x, y, far = self.pairs(p, np.arange(lo, hi)[~long[lo:hi]], end)
+        for lo, hi in self.blocks(start, length, np.cumsum(length * (reach + 1) // 2)):
+            x, y, far = self.pairs(p, np.arange(lo, hi), end)
             if len(x):
                 order = np.lexsort((p["line"][x], p["doc"][x], far, y))
                 x, y, far = x[order], y[order], far[order]
@@ -366,7 +395,7 @@ class ListSearch:
                 count = np.diff(np.append(at, len(y)))
                 over[y[at[count > self.few]]] = True
                 place = np.arange(len(y)) - np.repeat(at, count)
-                first = place < np.repeat(np.where(count > self.few, self.nearest, count), count)
+                first = place < np.repeat(np.where((count > self.few) | long[y[at]], self.nearest, count), count)
                 x, y, far = x[first], y[first], far[first]
                 pairs.append(np.stack([p["c"][x], p["c"][y], far, p["doc"][x], p["line"][x], p["doc"][y], p["line"][y]]))
         opened = np.repeat(np.maximum.reduceat(over, start), length)
@@ -524,40 +553,45 @@ def later_matches(documents: DataFrame, order: np.ndarray, total: int, percent:
     matched = scratch(found.union(more.where("ok").select("b", "b2")).distinct(), "matched")
     drop_scratch(pairs)
     columns = ["key", "c", "n", "pos", "map", "map2", "doc", "line"]
-    # a frequent word's list comes in parts, and a class in several of them no more than once
-    rest = lists.where("key is not null").groupBy("key", "c", "size", "map", "map2").agg(F.min(F.struct("doc", "line")).alias("at"), F.max("over").alias("over"))
+    place, posting = F.struct("doc", "line", "c"), F.struct(*columns[1:])
     size = F.shiftright("size", 31).cast("int").alias("n"), F.col("size").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("pos")
-    rest = rest.select("key", "c", *size, "map", "map2", "at.doc", "at.line", "over")
-
-    def pruned(rest: DataFrame, matched: DataFrame) -> DataFrame:
-        """Lists in which an unmatched line still has earlier ones to try, up to the last such line."""
-        after = rest.join(matched.select("c", F.lit(True).alias("matched")).distinct(), "c", "left").withColumn("matched", F.coalesce("matched", F.lit(False)))
-        place = F.struct("doc", "line", "c")
-        bound = after.groupBy("key").agg(F.max(F.when(~F.col("matched") & F.col("over"), place)).alias("last"), F.min(F.when(~F.col("done"), place)).alias("next")).where("next < last")
-        return after.join(bound.select("key", "last"), "key").where(place <= F.col("last")).where("not (done and matched)").select(*columns, "over", "done")
-
-    rest = scratch(pruned(rest.withColumn("done", F.lit(False)), matched), "rest")
+    rest = lists.where("key is not null").select("key", "c", *size, "map", "map2", "doc", "line", "over")
+
+    def whole(postings: DataFrame) -> DataFrame:
+        """A frequent word's list comes in parts, and a class in several of them no more than once."""
+        return postings.groupBy("key", "c", "n", "map", "map2").agg(F.min("pos").alias("pos"), F.min(F.struct("doc", "line")).alias("at")).select(*columns[:4], "map", "map2", "at.*")
+
+    def tried(postings: DataFrame, seekers: DataFrame) -> DataFrame:
+        """Those that come before one of the list's ``seekers``, and pass the filters with one if there are few."""
+        parts = seekers.groupBy("key", F.pmod(F.xxhash64("c"), F.lit(PARTS)).alias("part")).agg(F.min_by(posting, place).alias("s"), F.max(place).alias("last"), F.count("*").alias("k"))
+        bound = parts.groupBy("key").agg(F.max("last").alias("last"), F.sum("k").alias("k"), F.collect_list("s").alias("all"))
+        few = F.when((F.col("k") <= SEEKERS) & (F.size("all") == F.col("k")), F.col("all")).alias("few")
+        near = F.expr(f"few is null or exists(few, s -> {fits('me', 's', percent)})")
+        return postings.withColumn("me", posting).join(bound.select("key", "last", few), "key").where((place < F.col("last")) & near).select(postings.columns)
+
+    seekers = scratch(whole(rest.where("over").join(matched.select("c").distinct(), "c", "left_anti")), "seekers")
+    members = scratch(whole(tried(rest, seekers)), "members")
     drop_scratch(lists)
     many = hubs
-    while not rest.isEmpty():
+    while not members.isEmpty():
         # a list's hubs travel as arrays of HUBS at most
-        posting = F.struct(*columns[1:])
         part = F.pmod(F.xxhash64("c"), F.lit(many))
-        least = rest.where("not done").groupBy("key", part.alias("part")).agg(F.min_by(posting, F.struct("doc", "line", "c")).alias("hub"))
+        least = members.groupBy("key", part.alias("part")).agg(F.min_by(posting, place).alias("hub"))
         arrays = least.groupBy("key", F.floor(F.col("part") / HUBS).alias("g")).agg(F.collect_list("hub").alias("hubs")).drop("g")
         near = F.expr(f"filter(hubs, h -> {fits('h', 'me', percent)})")
-        mine = rest.where("over").join(matched.select("c"), "c", "left_anti").withColumn("me", posting)
-        pairs = mine.join(arrays, "key").select(F.explode(near).alias("h"), F.col("c").alias("b"))
+        pairs = seekers.withColumn("me", posting).join(arrays, "key").select(F.explode(near).alias("h"), F.col("c").alias("b"))
         pairs = pairs.select(F.col("h.c").alias("a"), "b").distinct().join(tested, ["a", "b"], "left_anti")
         judged = verified(pairs, held, percent)
         tested = tested.union(judged.where("not ok").select("a", "b"))
         matched = scratch(matched.union(judged.where("ok").select("b", "b2")).distinct(), "matched")
-        dealt = rest.join(least.select("key", "hub.c", F.lit(True).alias("was")), ["key", "c"], "left")
-        done = F.col("done") | F.coalesce("was", F.lit(False))
-        left = scratch(pruned(dealt.withColumn("done", done), matched), "rest")
-        drop_scratch(rest)
-        rest, many = left, many * growth
-    drop_scratch(rest)
+        left = scratch(seekers.join(matched.select("c").distinct(), "c", "left_anti").select(columns), "seekers")
+        hub = least.select("key", "hub.c")
+        after = scratch(tried(members, left).join(hub, ["key", "c"], "left_anti").select(columns), "members")
+        drop_scratch(seekers)
+        drop_scratch(members)
+        seekers, members, many = left, after, many * growth
+    drop_scratch(seekers)
+    drop_scratch(members)
     drop_scratch(held)
     return matched
 

@@ -160,6 +160,44 @@ def test_wide_list_of_unlike_lines():
     assert (0, 1) in set(zip(found[0].tolist(), found[1].tolist())) and found.shape[1] < n and not len(rest["key"])
 
 
+def test_lists_of_alike_long_lines():
+    """Two frequent tokens make a list of alike lines only where enough tokens are left after both; lists that end up empty are no error."""
+    n, m, after = 900, 60, 13
+    own = {k: np.zeros(n * after, np.int64) for k in line_dedup.NAMES}
+    pos, c = np.repeat(np.arange(after), n), np.tile(np.arange(n), after)
+    own |= {"key": (80 << 39) + pos, "c": c, "doc": c, "size": (m << 31) | pos}
+    held = np.concatenate([np.arange(p + 1, after + 1) for p in pos]).astype("<u2")
+    found, rest = line_dedup.ListSearch(80).search(own | {"after": held})
+    # 60 words: 54 have to be shared, so 6 may stand before the second token besides the first
+    assert len(set(rest["key"].tolist())) == 28 and set(found[1].tolist()) == set(range(1, n))
+    own["size"] = np.full(n * after, (m << 31) | 12)
+    found, rest = line_dedup.ListSearch(80).search({k: v[:n] for k, v in own.items()} | {"after": np.full(n, 7, "<u2")})
+    assert not found.shape[1] and not len(rest["key"])
+
+
+def test_line_dedup_rounds_of_few_lines(spark, monkeypatch):
+    """Lists go in rounds with the lines that a line without a match has to try, not with all lines; results match brute force."""
+    r = random.Random(4)
+    often = [f"y{i}" for i in range(40)]
+    items = [(doc, " ".join([f"w{i}" for i in range(24)] + r.sample(often, 6))) for doc in range(160)]
+    items.append((160, "\n".join(" ".join(often + [f"u{i * 15 + k}" for k in range(15)]) for i in range(170))))
+    want, rows, scratch = brute_lines(items), [], line_dedup.scratch
+
+    def counted(df, tag):
+        out = scratch(df, tag)
+        rows.extend([out.count()] if tag in ("rest", "members") else [])
+        return out
+
+    monkeypatch.setattr(line_dedup, "scratch", counted)
+    made = []
+    for seekers, ways in ((64, {"long": 20, "wide": 10, "paired": 8, "growth": 8}), (0, {"long": 20, "wide": 10, "paired": 8})):
+        monkeypatch.setattr(line_dedup, "SEEKERS", seekers, raising=False)
+        rows.clear()
+        assert {x["doc_id"]: x["text"] for x in line_dedup.dedup_lines(texts(spark, items), **ways).collect()} == want, ways
+        made.append(sum(rows))
+    assert made[0] < min(made[1], 4000), made
+
+
 def test_line_dedup_of_many_lines(spark):
     """Lines beyond 2**20 of a document, hashed ids, and rows of one doc_id."""
     head = "\n" * (1 << 20)
